@@ -1,28 +1,24 @@
-"""Input schemas (FIXTURES.md, section A). Reads never infer a schema."""
+"""Input schemas (FIXTURES.md, section A), as DDL texts every reader takes. Reads never infer a schema."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
 
-def fields(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 def all_text(*names: str) -> T.StructType:
     """Reference tables arrive as text files in which every column is text."""
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-EVENT_HEADER = fields(
+EVENT_HEADER = (
     "id string, serialNumber string, tenantCode string, thingType string, specName string, bridgeKey string, time timestamp"
 )
-EVENT_ATTRIBUTE = fields("metadataId string, serialNumber string, key string, value string, time timestamp")
-REFERENCE_LIST = fields(
+EVENT_ATTRIBUTE = ("metadataId string, serialNumber string, key string, value string, time timestamp")
+REFERENCE_LIST = (
     "serialNumber string, tenantCode string, key string, value string, rflSiteCode string, time timestamp"
 )
 PROCESS_LIST = all_text("KeyField_L", "FeatureSet", "Process", "SubProcess")
-BILLING_LINE = fields(
+BILLING_LINE = (
     "service struct<id:string,description:string>, sku struct<id:string,description:string>, "
     "project struct<id:string,number:string>, usage struct<amount:double,unit:string>, "
     "resource struct<name:string,global_name:string>, "
@@ -33,26 +29,26 @@ PROJECT_DIMENSION = all_text(
     "id", "provider", "tier", "bu", "costType", "category", "subCategory",
     "EntityFinance", "CategoryFinance", "tenantFinance", "ResourceGr", "unitFinance", "Class",
 )
-COLLECTION_SIZE = fields(
+COLLECTION_SIZE = (
     "date timestamp, tenant string, real_name string, size_db bigint, size_storage bigint, size_index bigint"
 )
-DATABASE_SIZE = fields("date timestamp, shard_id string, tenant string, size_on_disk bigint")
-INGRESS_REQUEST = fields(
+DATABASE_SIZE = ("date timestamp, shard_id string, tenant string, size_on_disk bigint")
+INGRESS_REQUEST = (
     "time timestamp, method string, uri string, host string, status int, length bigint, latency double, "
     "source string, user string, apikey string, auth string, token string"
 )
 API_KEY = all_text("apiKey_l", "Description")
-DEPLOYED_SITE = fields(
+DEPLOYED_SITE = (
     "timestamp timestamp, environment string, tenant_parent_code string, id string, hierarchyCode string"
 )
-TENANT_COST = fields("date_LA_2 date, tenant_full string, compute_cost double, storage_cost double")
-PREMISE = fields(
+TENANT_COST = ("date_LA_2 date, tenant_full string, compute_cost double, storage_cost double")
+PREMISE = (
     "tenant string, code string, bizLocation string, name string, level string, type string, "
     "addressCountry string, latitude double, longitude double"
 )
-ZONE = fields("tenant string, code string, bizLocation string, hierarchy struct<premiseId:string>")
-FIXTURE = fields("tenant string, id string, locationCode string, premise string, bizLocation string")
-ITEM_STATUS = fields(
+ZONE = ("tenant string, code string, bizLocation string, hierarchy struct<premiseId:string>")
+FIXTURE = ("tenant string, id string, locationCode string, premise string, bizLocation string")
+ITEM_STATUS = (
     "tenant string, premise string, disposition string, bizStep string, action string, "
     "gtin string, sku string, hexa string"
 )
@@ -60,11 +56,11 @@ PRODUCT = all_text(
     "gtin", "productLabelLong", "categoryParent", "brandLabel", "modelLabel", "colorCode", "imageURL", "contentQty",
     "packagingUOM", "categoryLevel1Label", "categoryLevel2Label", "categoryLevel3Label", "categoryLevel4Label",
 )
-WEATHER_PAYLOAD = fields("code string, hourly struct<time:array<string>,temperature_2m:array<double>>")
-SALES = fields(
+WEATHER_PAYLOAD = ("code string, hourly struct<time:array<string>,temperature_2m:array<double>>")
+SALES = (
     "`Thing Type Code` string, `Thing Serial` string, `Thing Name` string, `Owner Group` string, "
     "`Alias Config` string, date string, categoryParent string, siteCode string, siteName string, "
     "fixture string, totalSalesUSD double, totalSalesQty int"
 )
-TIME_OFF = fields("name string, start date, end date")
+TIME_OFF = ("name string, start date, end date")
 WEEK_TO_SPRINT = all_text("YEAR_WEEK", "RESOURCE_SPRINT_NAME")
