@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.functions.columns import ratio, share_pct
-from tallyloom.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast
+from tallyloom.functions.columns import share_pct
+from tallyloom.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast, skew_join
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "event_count") -> DataFrame:
@@ -92,7 +92,7 @@ def share_of_total(df: DataFrame, keys: Sequence[str], measure: str, total: str,
     The total is an aggregate joined back. A window would put each whole group through one task.
     """
     totals = df.groupBy(*keys).agg(F.sum(measure).alias(total))
-    out = df.join(totals, list(keys), "left")
+    out = skew_join(df, totals, keys, "left")
     return out.withColumn(share, share_pct(measure, total)) if share else out
 
 
@@ -147,10 +147,3 @@ def positions(df: DataFrame, order: Sequence[str], out: str = "position", max_ro
         .withColumn(out, F.col("_start") + F.col("_local"))
         .drop("_id", "_range", "_local", "_start")
     )
-
-
-__all__ = [
-    "count_by", "sum_by", "sum_all", "numeric_columns", "distinct_counts", "pivot_first", "pivot_sum",
-    "delimited_values", "last_per_key", "first_per_key", "share_of_total", "totals", "row_quality", "sum_by_unit",
-    "top_unmapped", "positions", "ratio",
-]

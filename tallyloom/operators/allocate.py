@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.cases import all_hold, case_first
 from tallyloom.functions.columns import LOCAL_ZONE, day_text, local_time, month_text, per_thousand, ratio, share_pct
 from tallyloom.operators.aggregate import distinct_counts, share_of_total, sum_by
-from tallyloom.operators.joins import full_outer, lookup
+from tallyloom.operators.joins import full_outer, skew_join
 from tallyloom.operators.shape import fill_zero
 
 COST, AFTER = "cost", "cost_after_discount"
@@ -37,7 +37,7 @@ def allocate_by_hourly_rate(
     """Each hour's cost over that hour's events. Hours missing on either side drop out; see ``unallocated``."""
     rates = hourly_rates(usage, costs, hour, count, cost, after)
     thousands = F.col(count) / F.lit(1000.0)
-    return usage.join(rates, hour, "inner").withColumns({
+    return skew_join(usage, rates, hour).withColumns({
         "allocated_cost": thousands * F.col("cost_per_1000"),
         "allocated_cost_after_discount": thousands * F.col("cost_per_1000_after_discount"),
         f"{hour}_local": local_time(hour, zone),
@@ -80,7 +80,7 @@ def allocate_by_bytes(
     stored = sum_by(sizes.withColumn("day", day_text(size_time)), ["day", *keys], {"size_storage": "size_storage"})
     shared = share_of_total(stored, ["day"], "size_storage", "size_storage_total")
     part = ratio("size_storage", "size_storage_total")
-    return shared.join(pool, "day", "left").select(
+    return skew_join(shared, pool, "day", "left").select(
         "day", *keys, "size_storage",
         share_pct("size_storage", "size_storage_total").alias("size_storage_percentage"),
         (part * F.col("pool_cost")).alias("storage_cost_assigned"),
@@ -138,7 +138,7 @@ def allocate_by_requests(
         F.sum(length).alias(f"{length}_h"), F.avg(latency).alias(f"{latency}_h"), F.sum(calls).alias(f"{calls}_h")
     )
     rated = hourly.join(pool, keys, "left")
-    return requests.join(rated, keys, "left").withColumns({
+    return skew_join(requests, rated, keys, "left").withColumns({
         "cost_assigned_length": ratio(length, f"{length}_h") * F.col(cost),
         "cost_assigned_call_count": ratio(calls, f"{calls}_h") * F.col(cost),
         "average_length": ratio(length, f"{length}_h"),
@@ -215,8 +215,3 @@ def cost_per_site(
     out = out.withColumn("total_cost", F.col("compute_cost") + F.col("storage_cost"))
     return (out.where(F.col("_spent").startswith(month)) if month else out).drop("_spent")
 
-
-__all__ = [
-    "hourly_rates", "allocate_by_hourly_rate", "unallocated", "allocate_by_bytes", "allocate_by_component",
-    "allocate_by_requests", "allocate_monthly_flat", "allocate_evenly", "cost_per_site", "lookup",
-]

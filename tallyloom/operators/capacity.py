@@ -11,7 +11,7 @@ from tallyloom.functions.cases import case_last
 from tallyloom.functions.columns import week_label, weekday_flag
 from tallyloom.operators.aggregate import positions, sum_by
 from tallyloom.operators.intervals import assign_interval
-from tallyloom.operators.joins import full_outer, lookup, split_by_match
+from tallyloom.operators.joins import full_outer, lookup, skew_join, split_by_match
 from tallyloom.operators.shape import fill_by_column, fill_zero, union_by_name
 from tallyloom.operators.work import UNKNOWN_TYPE, WORK_TYPES
 
@@ -62,8 +62,7 @@ def capacity_grid(
     )
     last = numbered.agg(F.max("_n")).scalar()
     seats = resources.withColumn("_n", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    grid = lookup(seats, numbered, "_n", "inner").drop("_n")
-    grid = lookup(grid, holidays, "RESOURCE_SPRINT_NAME")
+    grid = lookup(lookup(seats, numbered, "_n").drop("_n"), holidays, "RESOURCE_SPRINT_NAME")
     grid = grid.join(time_off, [name, "RESOURCE_SPRINT_NAME"], "left")
     return fill_zero(grid, "HOLIDAYS", "PTO").withColumns({
         "HOLIDAYS": F.col("HOLIDAYS").cast("int"), "PTO": F.col("PTO").cast("int"),
@@ -126,7 +125,7 @@ def match_worklogs(
     leafs = hierarchy.where(F.col(child).isNotNull() & F.coalesce(F.col(sub) == "", F.lit(True)))
     by_child = leafs.select(F.col(child).alias(logged), *carried).distinct()
     on_child, others = split_by_match(logs, by_child, logged)
-    return union_by_name(others.join(by_sub, logged, "left"), on_child)
+    return union_by_name(skew_join(others, by_sub, logged, "left"), on_child)
 
 
 def utilisation(
@@ -149,7 +148,9 @@ def utilisation(
     typed = typed.withColumn("WORKLOG_TYPE", worklog_type())
     placed = assign_interval(typed, intervals, time, "SPRINT_ASSIGNED", carry=("start", "end"))
     seats = grid.withColumnsRenamed({"NAME": person, "RESOURCE_SPRINT_NAME": "SPRINT_ASSIGNED"})
-    out = full_outer(placed, seats, [person, "SPRINT_ASSIGNED"])
+    # Matching keeps every log, so the logs alone tell which seats are taken.
+    taken = assign_interval(logs.select(person, time), intervals, time, "SPRINT_ASSIGNED")
+    out = full_outer(placed, seats, [person, "SPRINT_ASSIGNED"], left_keys=taken)
     return fill_by_column(out, {person: "Unknown"})
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.cases import all_hold, case_first
 from tallyloom.functions.columns import LOCAL_ZONE, hour_of, local_time, segment
 from tallyloom.operators.aggregate import count_by, pivot_first
-from tallyloom.operators.joins import full_outer, small, spread_nulls
+from tallyloom.operators.joins import full_outer, lookup, spread_nulls
 from tallyloom.operators.shape import MISSING, ensure_columns, fill_text, union_by_name
 
 IDENT = "id_serial_number"
@@ -81,15 +81,13 @@ def content_site(
     lists = reference.select("serialNumber", "tenantCode", "value", "rflSiteCode").distinct()
     if dedupe:
         lists = lists.groupBy("serialNumber").agg(F.min("value").alias("value"), F.min("rflSiteCode").alias("rflSiteCode"))
-    lists = small(lists.select(
-        F.col("serialNumber").alias("_list"),
-        F.col("value").alias("bizLocation_rfl"),
-        F.col("rflSiteCode").alias(out),
-    ))
+    lists = lists.select(
+        F.col("serialNumber").alias("_list"), F.col("value").alias("bizLocation_rfl"), F.col("rflSiteCode").alias(out)
+    )
     # Most events are not content and have no list: spread them instead of sending them to one task.
     keyed = events.withColumn("referenceListSerial1", serial)
     keyed = keyed.withColumn("_list", spread_nulls("referenceListSerial1", "serialNumber", IDENT))
-    return keyed.join(lists, "_list", "left").drop("_list")
+    return lookup(keyed, lists, "_list").drop("_list")
 
 
 def hourly_event_counts(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.aggregate import positions
 from tallyloom.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast, lookup
+from tallyloom.session import settle
 
 BEFORE_ALL = "0001-01-01"
 
@@ -27,6 +28,7 @@ def build_intervals(
     carry the ordinal in front, padded to two digits.
     """
     rows = calendar.select(F.col(boundary).alias("end"), F.col(name).alias("_name")).where(F.col("end").isNotNull())
+    rows = settle(rows)  # a calendar is read several times from here on, and may have been derived from a large table
     placed = positions(rows, ["end", "_name"], "ordinal", max_rows)
     if fits_broadcast(rows, max_rows):
         whole = Window.orderBy("ordinal")

@@ -2,10 +2,12 @@
 
 Rules followed here:
 
-* a side is broadcast only after its rows and bytes were counted against a bound; beyond the bound the same join runs as
-  a shuffled join, whose oversized partitions adaptive execution splits;
-* adaptive execution can split only the preserved side of an outer join, so outer joins whose *other* side may be
-  skewed are written as an inner join (either side can be split) plus the preserved rows without a partner;
+* a reference table is broadcast only after its rows and bytes were measured against a bound; beyond the bound the same
+  join runs shuffled, and adaptive execution splits its oversized partitions;
+* adaptive execution splits a join only where both sides were shuffled for that very join. A side that was just
+  aggregated by the join key is not shuffled again, so ``skew_join`` gives both sides a second, equivalent key;
+* only the preserved side of an outer join can be split, so outer joins whose *other* side may be skewed are written as
+  an inner join (either side can be split) plus the preserved rows without a partner;
 * a full outer join cannot be split at all and is written as a left join plus the right rows without a partner.
 """
 
@@ -15,9 +17,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 200_000
-MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 Keys = str | Sequence[str]
 
@@ -26,23 +29,45 @@ def _names(on: Keys) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Count rows and text size of at most ``max_rows + 1`` rows."""
-    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
-    return seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
+def _width(field: T.StructField) -> Column:
+    """Bytes a value takes, roughly."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return F.lit(8)
 
 
-def small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast if the frame provably fits, otherwise leave the join to adaptive execution."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Measure rows and bytes. Every task reports one pair of numbers, so a large table costs a scan and nothing more."""
+    width = sum((_width(f) for f in df.schema.fields), F.lit(0))
+    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
 
 
 def lookup(
-    facts: DataFrame, dimension: DataFrame, on: Keys | Column, how: str = "left", max_rows: int = MAX_BROADCAST_ROWS
+    facts: DataFrame, reference: DataFrame, on: Keys | Column, how: str = "left", max_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
-    """Join facts to a reference table. Without a shuffle of the facts when the table is proven small."""
-    return facts.join(small(dimension, max_rows), _names(on) if not isinstance(on, Column) else on, how)
+    """Join facts to a reference table (rules, lists, catalogues): without moving the facts if the table is small."""
+    if fits_broadcast(reference, max_rows):
+        return facts.join(F.broadcast(reference), on if isinstance(on, Column) else _names(on), how)
+    return facts.join(reference, on, how) if isinstance(on, Column) else skew_join(facts, reference, on, how)
+
+
+MEET = "_meet"
+
+
+def skew_join(left: DataFrame, right: DataFrame, on: Keys, how: str = "inner") -> DataFrame:
+    """Inner, left, semi or anti join (USING) whose hot keys adaptive execution can split.
+
+    Both sides carry a hash of the key as one more join key. It never changes a match, but neither side is already
+    partitioned by the longer key, so both are shuffled for this join and their partition sizes are known to it.
+    """
+    names = _names(on)
+    meet = F.xxhash64(*names)
+    joined = left.withColumn(MEET, meet).join(right.withColumn(MEET, meet), [MEET, *names], how)
+    return joined.drop(MEET)
 
 
 def spread_nulls(key: Column | str, *seed: Column | str, salts: int = 1024) -> Column:
@@ -55,19 +80,30 @@ def spread_nulls(key: Column | str, *seed: Column | str, salts: int = 1024) -> C
     return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000null-"), salt))
 
 
-def left_fan_out(parents: DataFrame, children: DataFrame, on: Keys) -> DataFrame:
-    """Left join of few parents to many children, where one parent may own a large part of the children."""
+def left_fan_out(parents: DataFrame, children: DataFrame, on: Keys, child_keys: DataFrame | None = None) -> DataFrame:
+    """Left join of few parents to many children, where one parent may own a large part of the children.
+
+    ``child_keys`` may name a cheaper frame with the same set of keys as ``children``.
+    """
     names = _names(on)
-    matched = parents.join(children, names, "inner")
-    childless = parents.join(children.select(*names).distinct(), names, "left_anti")
+    matched = skew_join(parents, children, names, "inner")
+    owners = (children if child_keys is None else child_keys).select(*names).distinct()
+    childless = parents.join(owners, names, "left_anti")
     return matched.unionByName(childless, allowMissingColumns=True)
 
 
-def full_outer(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
-    """Full outer join (USING): the left join plus the right rows without a partner."""
+def full_outer(left: DataFrame, right: DataFrame, on: Keys, left_keys: DataFrame | None = None) -> DataFrame:
+    """Full outer join (USING): the left join plus the right rows without a partner.
+
+    ``left_keys`` may name a cheaper frame with the same set of keys as ``left``.
+
+    The second part marks the keys seen on the left instead of using an anti join, which the optimizer would move below
+    an aggregation on the right and so aggregate it twice; this way its shuffle is reused.
+    """
     names = _names(on)
-    matched = left.join(right, names, "left")
-    right_only = right.join(left.select(*names).distinct(), names, "left_anti")
+    matched = skew_join(left, right, names, "left")
+    seen = (left if left_keys is None else left_keys).select(*names).distinct().withColumn("_seen", F.lit(True))
+    right_only = right.join(seen, names, "left").where(F.col("_seen").isNull()).drop("_seen")
     return matched.unionByName(right_only, allowMissingColumns=True)
 
 
@@ -75,6 +111,6 @@ def split_by_match(rows: DataFrame, other: DataFrame, on: Keys) -> tuple[DataFra
     """(rows joined to their matches, rows without a match): together they hold every row."""
     names = _names(on)
     return (
-        rows.join(other, names, "inner"),
-        rows.join(other.select(*names).distinct(), names, "left_anti"),
+        skew_join(rows, other, names, "inner"),
+        skew_join(rows, other.select(*names).distinct(), names, "left_anti"),
     )

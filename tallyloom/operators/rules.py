@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.cases import case_first, all_hold
-from tallyloom.operators.joins import MAX_BROADCAST_ROWS, lookup
+from tallyloom.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast, lookup, skew_join
 from tallyloom.operators.shape import MISSING
 
 IS, NOT = "_is", "_not"
@@ -40,16 +40,14 @@ def rule_slots(rules: DataFrame, keys: Sequence[str], targets: Sequence[str]) ->
     )
     order = Window.partitionBy("target", *keys).orderBy("priority")
     ranked = kept.withColumn("_slot", F.row_number().over(order) - 1)
-    slots = ranked.agg(F.max("_slot")).first()[0]
-    slots = 0 if slots is None else slots + 1
+    slots = (ranked.agg(F.max("_slot")).first()[0] or 0) + 1 if guards else 1
     picks = [
         F.max(F.when((F.col("target") == t) & (F.col("_slot") == i), F.col(c))).alias(f"_{n}_{i}_{c}")
         for n, t in enumerate(targets)
         for i in range(slots)
         for c in ["value", *guards]
     ]
-    table = ranked.groupBy(*keys).agg(*picks) if picks else ranked.select(*keys).distinct()
-    return table, slots
+    return ranked.groupBy(*keys).agg(*picks), slots
 
 
 def classify(
@@ -66,8 +64,13 @@ def classify(
     targets are answered by a single join.
     """
     guards = guard_columns(rules, keys)
-    table, slots = rule_slots(rules, keys, targets)
-    joined = lookup(events, table, list(keys), "left", max_rows)
+    if fits_broadcast(rules, max_rows):
+        # A measured small table is prepared in one task, without a shuffle, and its events stay where they are.
+        table, slots = rule_slots(rules.coalesce(1), keys, targets)
+        joined = events.join(F.broadcast(table), list(keys), "left")
+    else:
+        table, slots = rule_slots(rules, keys, targets)
+        joined = skew_join(events, table, list(keys), "left")
     answers = {}
     for n, t in enumerate(targets):
         tries = []
@@ -78,7 +81,7 @@ def classify(
                 column = F.col(g.removesuffix(NOT) if negate else g.removesuffix(IS))
                 hit = hit & _guard_holds(column, F.col(f"_{n}_{i}_{g}"), negate)
             tries.append((hit, F.col(f"_{n}_{i}_value")))
-        answers[t] = case_first(tries, default) if tries else F.lit(default)
+        answers[t] = case_first(tries, default)
     return joined.select(*[F.col(c) for c in events.columns], *[a.alias(t) for t, a in answers.items()])
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.cases import case_first, case_last
 from tallyloom.functions.columns import ratio, seconds_to_hours
 from tallyloom.operators.aggregate import delimited_values, last_per_key
-from tallyloom.operators.joins import left_fan_out
+from tallyloom.operators.joins import left_fan_out, skew_join
 from tallyloom.operators.shape import prefix_columns
 
 # Work type of an issue type for planned work.
@@ -116,7 +116,8 @@ def issue_hierarchy(
     """Root issue, linked issue, its children and their subs, with the points of the deepest level present.
 
     ``attributes`` are carried for every level under ``LINKED_1_``, ``CHILD_`` and ``SUB_``. One linked issue may own
-    any number of children, so those joins keep childless rows apart instead of relying on a left join.
+    any number of children, so those joins keep childless rows apart instead of relying on a left join. The lower two
+    levels are joined first: they come straight from the issues, and the roots are then joined once.
     """
     level = list(dict.fromkeys([issue_type, *attributes, points]))
     roots = issues.where(F.col(issue_type).startswith(root))
@@ -128,7 +129,8 @@ def issue_hierarchy(
     below = issues.where((F.col(issue_type) != root) & F.col(parent).isNotNull()).select(key, parent, *level)
     children = prefix_columns(below, "CHILD_").withColumnRenamed("CHILD_" + parent, "LINKED_1_" + key)
     subs = prefix_columns(below.distinct(), "SUB_").withColumnRenamed("SUB_" + parent, "CHILD_" + key)
-    tree = left_fan_out(left_fan_out(rooted, children, "LINKED_1_" + key), subs, "CHILD_" + key)
+    family = left_fan_out(children, subs, "CHILD_" + key)
+    tree = left_fan_out(rooted, family, "LINKED_1_" + key, child_keys=children)
     return tree.withColumn("TOTAL_" + points, deepest_present([
         (F.col("SUB_" + key), F.col("SUB_" + points)),
         (F.col("CHILD_" + key), F.col("CHILD_" + points)),
@@ -160,5 +162,5 @@ def spread_points(
 ) -> DataFrame:
     """One row per hierarchy row and attribute value of its linked issue, with an equal part of the points."""
     counted = long_attribute.groupBy(key).agg(F.count(value).alias(f"{value}_COUNT"))
-    valued = long_attribute.select(key, value).join(counted, key, "left").withColumnRenamed(key, linked)
-    return hierarchy.join(valued, linked, "inner").withColumn("ADJ_" + points, ratio(points, f"{value}_COUNT"))
+    valued = skew_join(long_attribute.select(key, value), counted, key, "left").withColumnRenamed(key, linked)
+    return skew_join(hierarchy, valued, linked).withColumn("ADJ_" + points, ratio(points, f"{value}_COUNT"))
