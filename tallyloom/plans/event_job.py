@@ -37,7 +37,7 @@ def classified_events(
 ) -> DataFrame:
     """Wide events with FeatureSet, Process, SubProcess, Is_InternalEvent, EventSource and StoreCode."""
     wide = require_event_columns(widen_events(prepare_headers(headers), attributes, keys), fixed.EVENT_KEYS)
-    wide = content_site(wide, reference).withColumn("premise_from_fixture", F.lit(""))
+    wide = content_site(wide, reference.where(F.col("key") == "bizLocation")).withColumn("premise_from_fixture", F.lit(""))
     named = classify(wide, rules, fixed.RULE_KEYS, fixed.RULE_TARGETS)
     named = route(named, "EventSource", fixed.event_source_routes(routes))
     named = route(named, "StoreCode", fixed.store_code_routes(routes))

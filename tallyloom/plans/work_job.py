@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.columns import week_label
 from tallyloom.operators.capacity import capacity_grid, time_off_per_sprint, utilisation, weekday_time_off
 from tallyloom.operators.intervals import assign_interval, build_intervals
 from tallyloom.operators.joins import full_outer
@@ -20,6 +19,10 @@ LEVEL = (
     "ISSUE_STATUS_NAME", "CURRENT_ASSIGNEE_NAME", "SPRINT_NAME", "START_DATE", "END_DATE", "VERSION_NAME", "BU",
     "CUSTOMERS", "CATEGORY", "THEME",
 )
+SPREAD = (
+    "LINKED_1_ISSUE_KEY", "LINKED_1_ISSUE_STATUS_NAME", "LINKED_1_BU", "LINKED_1_VERSION_NAME", "CHILD_SPRINT_DATE_VERSION",
+    "CHILD_SPRINT_END_DATE_VERSION", "SUB_ISSUE_KEY", "SUB_STORYPOINTS",
+)
 CARRIED = ("ISSUE_KEY", "LINKED_1_ISSUE_KEY", "CHILD_ISSUE_KEY", "CHILD_SPRINT_NAME", "TOTAL_STORYPOINTS")
 
 
@@ -86,8 +89,5 @@ def work_tracking(t: Tracker) -> dict[str, DataFrame]:
     for name, tree in (("requests", requests), ("ideas", ideas)):
         for label in ("CUSTOMERS", "CATEGORY"):
             table, value = t.labels[label]
-            out[f"{name}_{label.lower()}"] = spread_points(tree, table, value)
+            out[f"{name}_{label.lower()}"] = spread_points(tree.select(*SPREAD), table, value)
     return out
-
-
-__all__ = ["Tracker", "work_tracking", "wide_issues", "dated_hierarchy", "grid", "ideas_with_capacity", "week_label"]
