@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.columns import share_pct
-from tallyloom.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast, skew_join
+from tallyloom.operators.joins import fits_broadcast, skew_join
+from tallyloom.session import settle
 
 
 def count_by(df: DataFrame, keys: Sequence[str], name: str = "event_count") -> DataFrame:
@@ -124,16 +125,14 @@ def top_unmapped(
     return out.limit(limit) if limit else out
 
 
-def positions(df: DataFrame, order: Sequence[str], out: str = "position", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def positions(df: DataFrame, order: Sequence[str], out: str = "position", few: bool | None = None) -> DataFrame:
     """Number the rows of a whole table from 0 in ``order``.
 
-    A counted small table goes through one window. A larger one is range-partitioned: rows are numbered inside each
-    range, and the start of each range comes from the row counts of the ranges before it.
+    A table measured to have few rows goes through one window. A larger one is range-partitioned: rows are numbered
+    inside each range, and the start of each range comes from the row counts of the ranges before it.
     """
-    if fits_broadcast(df, max_rows):
+    if fits_broadcast(df) if few is None else few:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint") - 1)
-    from tallyloom.session import settle
-
     ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
     numbered = settle(ranged.withColumn("_id", F.monotonically_increasing_id()))
     numbered = numbered.withColumns(

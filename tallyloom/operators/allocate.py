@@ -12,6 +12,7 @@ from tallyloom.functions.columns import LOCAL_ZONE, day_text, local_time, month_
 from tallyloom.operators.aggregate import distinct_counts, share_of_total, sum_by
 from tallyloom.operators.joins import full_outer, skew_join
 from tallyloom.operators.shape import fill_zero
+from tallyloom.session import settle
 
 COST, AFTER = "cost", "cost_after_discount"
 
@@ -174,7 +175,7 @@ def allocate_evenly(
     """Each month's measures in equal parts to every distinct tenant of ``tenants``."""
     valid = tenants.select(tenant).distinct()
     spent = costs.withColumn("month", month_of)
-    monthly = sum_by(spent, ["month"], {m: m for m in measures})
+    monthly = settle(sum_by(spent, ["month"], {m: m for m in measures}))  # one row per month, read twice below
     heads = valid.agg(F.count(F.lit(1))).scalar()
     parts = monthly.select("month", *[ratio(m, heads).alias(f"{m}_by_tenant") for m in measures])
     # Every tenant takes part in every month: pair them through the month instead of a product.

@@ -124,8 +124,9 @@ def match_worklogs(
     by_sub = hierarchy.select(F.col(sub).alias(logged), *carried).where(F.col(logged).isNotNull()).distinct()
     leafs = hierarchy.where(F.col(child).isNotNull() & F.coalesce(F.col(sub) == "", F.lit(True)))
     by_child = leafs.select(F.col(child).alias(logged), *carried).distinct()
-    on_child, others = split_by_match(logs, by_child, logged)
-    return union_by_name(skew_join(others, by_sub, logged, "left"), on_child)
+    # Decide between the two once per issue, so that the logs are moved by a single join.
+    _, only_sub = split_by_match(by_sub, by_child, logged)
+    return skew_join(logs, union_by_name(by_child, only_sub), logged, "left")
 
 
 def utilisation(
@@ -152,9 +153,3 @@ def utilisation(
     taken = assign_interval(logs.select(person, time), intervals, time, "SPRINT_ASSIGNED")
     out = full_outer(placed, seats, [person, "SPRINT_ASSIGNED"], left_keys=taken)
     return fill_by_column(out, {person: "Unknown"})
-
-
-__all__ = [
-    "expand_days", "weekday_time_off", "time_off_per_sprint", "capacity_grid", "utilisation_type", "worklog_type",
-    "match_worklogs", "utilisation", "UNKNOWN_TYPE",
-]

@@ -29,8 +29,9 @@ def build_intervals(
     """
     rows = calendar.select(F.col(boundary).alias("end"), F.col(name).alias("_name")).where(F.col("end").isNotNull())
     rows = settle(rows)  # a calendar is read several times from here on, and may have been derived from a large table
-    placed = positions(rows, ["end", "_name"], "ordinal", max_rows)
-    if fits_broadcast(rows, max_rows):
+    few = fits_broadcast(rows, max_rows)
+    placed = positions(rows, ["end", "_name"], "ordinal", few)
+    if few:
         whole = Window.orderBy("ordinal")
         placed = placed.withColumns({
             "start": F.lag("end").over(whole), "is_last": F.lead("end").over(whole).isNull(),

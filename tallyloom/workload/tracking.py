@@ -13,6 +13,7 @@ from tallyloom.operators.tickets import ticket_facts, ticket_time_in_status, tic
 from tallyloom.operators.work import (
     deepest_present, issue_hierarchy, issue_wide, spread_points, status_milestones, work_type,
 )
+from tallyloom.session import settle
 from tallyloom.workload.registry import query
 from tallyloom.workload.standins import QUARTERS, k, quarters, read, units
 
@@ -282,8 +283,9 @@ def seats(spark: SparkSession, sf: str) -> DataFrame:
     off = off.agg(F.count_distinct("l_shipdate").alias("PTO")).join(names, F.col("l_suppkey") == F.col("s_suppkey"))
     free = orders.where(F.col("o_orderpriority") == "1-URGENT").groupBy(quarter("o_orderdate").alias("RESOURCE_SPRINT_NAME"))
     free = free.agg(F.count_distinct("o_orderdate").alias("HOLIDAYS")).where(F.col("HOLIDAYS") > 5)
+    # Sprints and holidays are lists; here they are derived from the orders, so derive them once.
     return capacity_grid(
-        names.drop("s_suppkey"), sprint_table(spark, sf), free, off.select("NAME", "RESOURCE_SPRINT_NAME", "PTO")
+        names.drop("s_suppkey"), settle(sprint_table(spark, sf)), settle(free), off.select("NAME", "RESOURCE_SPRINT_NAME", "PTO")
     )
 
 
