@@ -1,8 +1,8 @@
 from tallyloom.sources.audit import load_audit, observed
 from tallyloom.sources.payloads import arrays_to_rows, flatten_structs, read_json
-from tallyloom.sources.tables import Table, by_environment, day_slice, padded_days, process_day, read_csv, scan
+from tallyloom.sources.tables import Table, by_environment, day_slice, padded_days, process_day, read_csv, run_sql, scan
 
 __all__ = [
     "Table", "arrays_to_rows", "by_environment", "day_slice", "flatten_structs", "load_audit", "observed",
-    "padded_days", "process_day", "read_csv", "read_json", "scan",
+    "padded_days", "process_day", "read_csv", "read_json", "run_sql", "scan",
 ]

@@ -78,3 +78,8 @@ def by_environment(
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, **options: str) -> DataFrame:
     """CSV with a header row and a given schema; both line endings are understood. Empty cells are nulls."""
     return spark.read.options(header=True, **options).schema(schema).csv(path)
+
+
+def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame], **values: object) -> DataFrame:
+    """A SQL text over frames, named ``{table}`` in it, and over values, named ``:value``."""
+    return spark.sql(text, args=values, **tables)

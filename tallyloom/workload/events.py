@@ -15,9 +15,12 @@ from tallyloom.operators.events import (
 )
 from tallyloom.operators.rules import classify, classify_by_key, rules_schema
 from tallyloom.operators.shape import MISSING, ensure_columns, fill_text
-from tallyloom.sources import day_slice, load_audit
+from tallyloom.plans.event_job import SETS as COUNT_SETS
+from tallyloom.plans.event_job import classified_events
+from tallyloom.plans.fixed_values import RULE_KEYS, event_routes
+from tallyloom.sources import Table, by_environment, day_slice, load_audit, run_sql
 from tallyloom.workload.registry import query
-from tallyloom.workload.standins import event_attributes, event_headers, plain, read
+from tallyloom.workload.standins import event_attributes, event_headers, k, plain, read
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -305,3 +308,119 @@ def content_sites(spark: SparkSession, sf: str) -> DataFrame:
         F.col("n_name").alias("rflSiteCode"),
     )
     return content_site(events, lists).select("c_custkey", "bizLocation_rfl", "premise_from_biz")
+
+
+# -- the daily job ---------------------------------------------------------------------------------------------------
+
+
+def typed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Views as content, clicks as items, purchases as stores, signups as stock counts; errors come counted."""
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    return read(spark, sf, "events").where(kind != "error").select(
+        F.col("event_id").cast("string").alias("id"), F.concat(F.lit("u-x-y-L"), user).alias("serialNumber"),
+        F.lit("T").alias("tenantCode"),
+        case_first([(kind == "view", "CONTENT"), (kind == "click", "ITEM"), (kind == "purchase", "STORE")], "SOH").alias("thingType"),
+        case_first([(kind == "view", "SERVICES"), (kind == "click", "EPCIS")], "").alias("specName"),
+        case_first([(kind == "view", "/SERVICES"), (kind == "click", "/x/EPCIS"),
+                    (kind == "purchase", F.concat(F.lit("/x/ALEB_00"), user))], "/x/FEED").alias("bridgeKey"),
+        F.col("ts").alias("time"),
+    )
+
+
+def typed_attributes(spark: SparkSession, sf: str) -> DataFrame:
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+
+    def pair(key, value):
+        return F.struct(F.lit(key).alias("key"), value.alias("value"))
+
+    pairs = F.array(
+        pair("source", F.when((kind == "click") & (F.col("value") >= 50), "LISTED")),
+        pair("Retail_Premise", F.when(kind == "click", F.lpad(k().cast("string"), 5, "0"))),
+        pair("transactionId", F.when(kind == "view", F.when(F.col("value") >= 30, "unlink").otherwise("link"))),
+        pair("referenceListSerial", F.when(kind == "view", F.concat(F.lit("L"), user))),
+        pair("Retail_SOHStoreNumber", F.when(kind == "signup", F.lpad(user, 8, "0"))),
+    )
+    rows = read(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("metadataId"), F.concat(F.lit("u-x-y-L"), user).alias("serialNumber"),
+        F.explode(pairs).alias("pair"), F.col("ts").alias("time"),
+    )
+    return rows.select("metadataId", "serialNumber", "pair.key", "pair.value", "time").where(F.col("value").isNotNull())
+
+
+def customer_lists(spark: SparkSession, sf: str) -> DataFrame:
+    return read(spark, sf, "customer").where(F.col("c_acctbal") >= 0).select(
+        F.concat(F.lit("L"), F.col("c_custkey").cast("string")).alias("serialNumber"), F.lit("T").alias("tenantCode"),
+        F.lit("bizLocation").alias("key"), F.lit("biz").alias("value"),
+        F.lpad(F.col("c_nationkey").cast("string"), 4, "0").alias("rflSiteCode"), F.lit(None).cast("timestamp").alias("time"),
+    )
+
+
+def taxonomy(spark: SparkSession) -> DataFrame:
+    content, item = ("CONTENT", "SERVICES", "SERVICES", "N/A", "N/A", "N/A"), ("ITEM", "EPCIS", "EPCIS", "LISTED", "N/A", "N/A")
+    rules = [
+        ("FeatureSet", 1, *content, "unlink", None, "SUPPLY CHAIN"), ("FeatureSet", 2, *content, None, "unlink", "CATALOGUE"),
+        ("Is_InternalEvent", 3, *content, None, None, "0"), ("FeatureSet", 4, *item, None, None, "SOURCING"),
+        ("Process", 5, *item, None, None, "COMMISSIONING"), ("Is_InternalEvent", 6, *item, None, None, "1"),
+    ]
+    return spark.createDataFrame(rules, rules_schema(RULE_KEYS, ("transactionId_is", "transactionId_not")))
+
+
+@query("""
+WITH site AS (SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS code FROM customer WHERE c_acctbal >= 0),
+e AS (
+  SELECT date_trunc('hour', ts) AS datetime_h, event_type, user_id, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k, code,
+         event_type = 'click' AND value >= 50 AS listed
+  FROM events LEFT JOIN site ON user_id = c_custkey
+)
+SELECT datetime_h,
+       CASE event_type WHEN 'view' THEN 'CONTENT' WHEN 'click' THEN 'ITEM' WHEN 'purchase' THEN 'STORE' WHEN 'error' THEN 'error'
+            ELSE 'SOH' END AS "thingType",
+       CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN CASE WHEN value >= 30 THEN 'SUPPLY CHAIN' ELSE 'CATALOGUE' END
+            ELSE CASE WHEN listed THEN 'SOURCING' ELSE 'N/A' END END AS "FeatureSet",
+       CASE WHEN event_type = 'error' THEN NULL WHEN listed THEN 'COMMISSIONING' ELSE 'N/A' END AS "Process",
+       CASE event_type WHEN 'view' THEN 'SERVICES' WHEN 'click' THEN CASE WHEN listed THEN 'LISTED' ELSE 'N/A' END
+            WHEN 'purchase' THEN 'ALEB' WHEN 'signup' THEN 'FEED' END AS "EventSource",
+       CASE event_type WHEN 'view' THEN ltrim(code, '0') WHEN 'click' THEN CASE WHEN listed THEN ltrim(CAST(k AS VARCHAR), '0') ELSE 'N/A' END
+            WHEN 'purchase' THEN '00' || user_id WHEN 'signup' THEN ltrim(CAST(user_id AS VARCHAR), '0') END AS "StoreCode",
+       CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'view' THEN '0' WHEN listed THEN '1' ELSE 'N/A' END AS "Is_InternalEvent",
+       count(*) AS event_count
+FROM e GROUP BY ALL
+""")
+def classified_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole daily classification over all events, with the errors that arrive counted."""
+    routes = event_routes(["LISTED"], ["LISTED"], ["APP"], ["READER"], ["SERVICES"])
+    named = classified_events(
+        typed_headers(spark, sf), typed_attributes(spark, sf), customer_lists(spark, sf), taxonomy(spark), routes
+    )
+    counted = named.groupBy(*COUNT_SETS["events_classification"]).agg(F.count(F.lit(1)).alias("event_count"))
+    errors = read(spark, sf, "events").where(F.col("event_type") == "error")
+    elsewhere = hourly_event_counts(errors, "ts", [F.col("event_type").alias("thingType")], name="count")
+    wanted = ["datetime_h", "thingType", "FeatureSet", "Process", "EventSource", "StoreCode", "Is_InternalEvent"]
+    # The job keeps more dimensions than are shown here.
+    shown = add_preaggregated(counted, elsewhere).groupBy(*wanted).agg(F.sum("event_count").alias("event_count"))
+    return shown.withColumn("datetime_h", plain("datetime_h"))
+
+
+# -- sources ---------------------------------------------------------------------------------------------------------
+
+
+@query("""
+SELECT 'demand' AS environment, c_nationkey AS nation, count(*) AS n FROM customer GROUP BY 2
+UNION ALL SELECT 'supply', s_nationkey, count(*) FROM supplier GROUP BY 2
+""")
+def environments(spark: SparkSession, sf: str) -> DataFrame:
+    tables = {"demand": Table("customer", f"{sf}/customer.parquet"), "supply": Table("supplier", f"{sf}/supplier.parquet")}
+    nations = {"demand": "c_nationkey", "supply": "s_nationkey"}
+    parts = [by_environment(spark, tables, e).select("environment", F.col(nations[e]).alias("nation")) for e in tables]
+    return parts[0].unionByName(parts[1]).groupBy("environment", "nation").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders
+WHERE o_orderpriority LIKE '%URGENT%' AND o_orderdate >= TIMESTAMP '1996-01-01' GROUP BY 1
+""")
+def sql_text(spark: SparkSession, sf: str) -> DataFrame:
+    return run_sql(spark, """
+        SELECT date_format(o_orderdate, 'yyyy-MM') AS month, count(*) AS n FROM {orders}
+        WHERE o_orderpriority LIKE :like AND o_orderdate >= to_date(:since) GROUP BY 1
+    """, {"orders": read(spark, sf, "orders")}, like="%URGENT%", since="1996-01-01")
