@@ -6,9 +6,9 @@ Rules followed here:
   join runs shuffled, and adaptive execution splits its oversized partitions;
 * adaptive execution splits a join only where both sides were shuffled for that very join. A side that was just
   aggregated by the join key is not shuffled again, so ``skew_join`` gives both sides a second, equivalent key;
-* only the preserved side of an outer join can be split, so outer joins whose *other* side may be skewed are written as
-  an inner join (either side can be split) plus the preserved rows without a partner;
-* a full outer join cannot be split at all and is written as a left join plus the right rows without a partner.
+* adaptive execution can split only the preserved side of an outer join, and no side of a full outer join. Where the
+  other side has a hot key, ``left_fan_out`` and ``full_outer`` are written with joins that can be split. A sample of the
+  keys decides which way is taken; both ways give every row.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+HOT_ROWS = 1_000_000
+HOT_SAMPLE = 0.001
 
 Keys = str | Sequence[str]
 
@@ -80,31 +82,57 @@ def spread_nulls(key: Column | str, *seed: Column | str, salts: int = 1024) -> C
     return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000null-"), salt))
 
 
-def left_fan_out(parents: DataFrame, children: DataFrame, on: Keys, child_keys: DataFrame | None = None) -> DataFrame:
-    """Left join of few parents to many children, where one parent may own a large part of the children.
+def has_hot_key(df: DataFrame, on: Keys, hot_rows: int = HOT_ROWS, sample: float = HOT_SAMPLE) -> bool:
+    """Whether some key (null included) has about ``hot_rows`` rows, judged by a sample of the key columns."""
+    keys = df.select(*_names(on))
+    seen = keys.sample(sample, seed=7) if sample < 1 else keys
+    counts = seen.groupBy(*_names(on)).agg(F.count(F.lit(1)).alias("_n"))
+    return not counts.where(F.col("_n") >= hot_rows * sample).isEmpty()
 
+
+def left_fan_out(
+    parents: DataFrame, children: DataFrame, on: Keys, child_keys: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS, sample: float = HOT_SAMPLE,
+) -> DataFrame:
+    """Left join of parents to many children, where one parent may own a large part of the children.
+
+    With a hot parent it is the inner join, of which either side can be split, plus the childless parents.
     ``child_keys`` may name a cheaper frame with the same set of keys as ``children``.
     """
     names = _names(on)
+    keys = (children if child_keys is None else child_keys).select(*names)
+    if not has_hot_key(keys.where(_all_present(names)), names, hot_rows, sample):
+        return parents.join(children, names, "left")
     matched = skew_join(parents, children, names, "inner")
-    owners = (children if child_keys is None else child_keys).select(*names).distinct()
-    childless = parents.join(owners, names, "left_anti")
+    childless = parents.join(keys.distinct(), names, "left_anti")
     return matched.unionByName(childless, allowMissingColumns=True)
 
 
-def full_outer(left: DataFrame, right: DataFrame, on: Keys, left_keys: DataFrame | None = None) -> DataFrame:
-    """Full outer join (USING): the left join plus the right rows without a partner.
+def _all_present(names: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for n in names:
+        out = out & F.col(n).isNotNull()
+    return out
 
-    ``left_keys`` may name a cheaper frame with the same set of keys as ``left``.
 
-    The second part marks the keys seen on the left instead of using an anti join, which the optimizer would move below
-    an aggregation on the right and so aggregate it twice; this way its shuffle is reused.
+def full_outer(
+    left: DataFrame, right: DataFrame, on: Keys, left_keys: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS, sample: float = HOT_SAMPLE,
+) -> DataFrame:
+    """Full outer join (USING) of many rows to a side with few rows per key.
+
+    With a hot key on the left, the keys only the right has are first added to the left as empty rows; a left join, of
+    which the left can be split, then finds every partner. ``left_keys`` may name a cheaper frame with the same set of
+    keys as ``left``.
     """
     names = _names(on)
-    matched = skew_join(left, right, names, "left")
-    seen = (left if left_keys is None else left_keys).select(*names).distinct().withColumn("_seen", F.lit(True))
-    right_only = right.join(seen, names, "left").where(F.col("_seen").isNull()).drop("_seen")
-    return matched.unionByName(right_only, allowMissingColumns=True)
+    keys = (left if left_keys is None else left_keys).select(*names)
+    if not has_hot_key(keys, names, hot_rows, sample):
+        return left.join(right, names, "full_outer")
+    orphans = right.select(*names).where(_all_present(names)).distinct().join(keys.distinct(), names, "left_anti")
+    matched = skew_join(left.unionByName(orphans, allowMissingColumns=True), right, names, "left")
+    unkeyed = right.where(~_all_present(names))  # a null matches nothing
+    return matched.unionByName(unkeyed, allowMissingColumns=True)
 
 
 def split_by_match(rows: DataFrame, other: DataFrame, on: Keys) -> tuple[DataFrame, DataFrame]:

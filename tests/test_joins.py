@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.aggregate import positions, share_of_total
 from tallyloom.operators.joins import (
-    fits_broadcast, full_outer, left_fan_out, lookup, skew_join, split_by_match, spread_nulls,
+    fits_broadcast, full_outer, has_hot_key, left_fan_out, lookup, skew_join, split_by_match, spread_nulls,
 )
 
 LEFT = [("a", 1), ("a", 2), ("b", 3), (None, 4), ("z", 5)]
@@ -23,17 +23,32 @@ def right(spark):
     return spark.createDataFrame(RIGHT, "k string, r string")
 
 
-def test_full_outer_is_a_full_outer_join(left, right):
-    assert rows(full_outer(left, right, "k")) == rows(left.join(right, "k", "full_outer"))
+ALWAYS_HOT, NEVER_HOT = {"hot_rows": 1, "sample": 1.0}, {"hot_rows": 10**9, "sample": 1.0}
+WAYS = pytest.mark.parametrize("way", [{}, ALWAYS_HOT, NEVER_HOT])
 
 
-def test_full_outer_over_an_aggregate_with_given_keys(left, right):
+@WAYS
+def test_full_outer_is_a_full_outer_join(left, right, way):
+    assert rows(full_outer(left, right, "k", **way)) == rows(left.join(right, "k", "full_outer"))
+
+
+@WAYS
+def test_full_outer_over_an_aggregate_with_given_keys(left, right, way):
     grouped = right.groupBy("k").agg(F.min("r").alias("r"))
-    assert rows(full_outer(left, grouped, ["k"], left_keys=left.select("k"))) == rows(left.join(grouped, "k", "full_outer"))
+    got = full_outer(left, grouped, ["k"], left_keys=left.select("k"), **way)
+    assert rows(got) == rows(left.join(grouped, "k", "full_outer"))
+
+
+@WAYS
+def test_fan_out_is_a_left_join(left, right, way):
+    assert rows(left_fan_out(left, right, "k", **way)) == rows(left.join(right, "k", "left"))
 
 
-def test_fan_out_is_a_left_join(left, right):
-    assert rows(left_fan_out(left, right, "k")) == rows(left.join(right, "k", "left"))
+@pytest.mark.parametrize("keys", [["a"] * 400 + ["b"], [None] * 400 + ["b"]])
+def test_hot_keys_are_seen_in_a_sample(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    assert has_hot_key(df, "k", 300, 0.5) and has_hot_key(df, "k", 400, 1.0)
+    assert not has_hot_key(df, "k", 401, 1.0) and not has_hot_key(df, "k")
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -107,9 +122,9 @@ def test_operators_split_their_hot_keys(spark, split_soon):
     hot = _hot(spark)
     assert "skew=true" in _final_plan(share_of_total(hot, ["k"], "v", "total"))
     parents = hot.select("k").distinct().withColumn("p", F.lit(1))
-    assert "skew=true" in _final_plan(left_fan_out(parents, hot, "k"))
+    assert "skew=true" in _final_plan(left_fan_out(parents, hot, "k", hot_rows=1000))
     unique = hot.groupBy("k").agg(F.max("pad").alias("pad2"))
-    assert "skew=true" in _final_plan(full_outer(hot, unique, "k"))
+    assert "skew=true" in _final_plan(full_outer(hot, unique, "k", hot_rows=1000))
     found, missing = split_by_match(hot, unique, "k")
     assert "skew=true" in _final_plan(found)
 
