@@ -101,6 +101,11 @@ def between_half_open(time: Column | str, start: Column, end: Column) -> Column:
     return (_col(time) >= start) & (_col(time) < end)
 
 
+def shift(time: Column | str, days: int = 0, seconds: int = 0) -> Column:
+    """The instant that many days and seconds later."""
+    return _col(time) + F.make_dt_interval(days=F.lit(days), secs=F.lit(float(seconds)))
+
+
 def hours_between(start: Column | str, end: Column | str) -> Column:
     micros = F.unix_micros(_col(end).cast("timestamp")) - F.unix_micros(_col(start).cast("timestamp"))
     return micros / F.lit(3.6e9)

@@ -12,17 +12,10 @@ from tallyloom.operators.aggregate import distinct_counts
 from tallyloom.operators.joins import lookup
 from tallyloom.operators.shape import prefix_columns
 
-# Dispositions that take an item out of the count.
+# Dispositions that take an item out of the count, as the last part of their URN
+# (``urn:...:disp:blacklisted``): several vocabularies share them.
 EXCLUDED_DISPOSITIONS = (
-    "urn:epcglobal:cbv:disp:blacklisted",
-    "urn:econnectware:epcis:disp:blacklisted",
-    "urn:epcglobal:cbv:disp:destroyed",
-    "urn:epcglobal:cbv:disp:dispensed",
-    "urn:epcglobal:cbv:disp:disposed",
-    "urn:epcglobal:cbv:disp:in_transit",
-    "urn:epcglobal:cbv:disp:missing",
-    "urn:epcglobal:cbv:disp:retail_sold",
-    "urn:epcglobal:cbv:disp:stolen",
+    "blacklisted", "destroyed", "dispensed", "disposed", "in_transit", "missing", "retail_sold", "stolen",
 )
 
 
@@ -40,13 +33,26 @@ def zone_catalogue(zones: DataFrame, premises: DataFrame) -> DataFrame:
     return lookup(flat, premise, ["tenant", "premise"])
 
 
+def premise_of_location(
+    events: DataFrame, sites: DataFrame, site_column: str, event_column: str, code: str, out: str, tenant: str = "tenantCode"
+) -> DataFrame:
+    """Premise of an event by (tenant, location) or by (tenant, fixture), from the distinct pairs of a site catalogue.
+
+    ``site_column`` is the catalogue's location or fixture and ``code`` its premise; ``event_column`` is compared to it.
+    """
+    pairs = sites.select(
+        F.col("tenant").alias(tenant), F.col(site_column).alias(event_column), F.col(code).alias(out)
+    ).dropDuplicates()
+    return lookup(events, pairs, [tenant, event_column])
+
+
 def item_counts(
     items: DataFrame,
     keys: Sequence[str] = ("tenant", "premise", "disposition", "bizStep", "action"),
     excluded: Sequence[str] = EXCLUDED_DISPOSITIONS,
 ) -> DataFrame:
     """Distinct products, SKUs and tags, and items, per place and state, leaving out excluded dispositions."""
-    kept = items.where(~F.col("disposition").isin(list(excluded)))
+    kept = items.where(~F.substring_index("disposition", ":", -1).isin(list(excluded)))
     return distinct_counts(
         kept, keys, {"distinct_gtin": "gtin", "distinct_sku": "sku", "distinct_hexa": "hexa"}, "item_count"
     )

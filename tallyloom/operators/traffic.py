@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.cases import case_first
@@ -30,7 +30,7 @@ def endpoint_stats(requests: DataFrame) -> DataFrame:
     )
 
 
-def _complete(*columns: str):
+def _complete(*columns: str) -> Column:
     """Groups with a missing key are not reported."""
     out = F.lit(True)
     for c in columns:
@@ -38,7 +38,8 @@ def _complete(*columns: str):
     return out
 
 
-def outcome(ok_up_to: int = OK_UP_TO):
+def outcome(ok_up_to: int = OK_UP_TO) -> Column:
+    """SUCCESS up to the bound (a missing page still counts as answered), FAILURE beyond, null without a status."""
     return case_first([(F.col("status") <= ok_up_to, "SUCCESS"), (F.col("status") > ok_up_to, "FAILURE")])
 
 

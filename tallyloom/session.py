@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Only a new session can take these: checkpoint files go when the frames that use them are gone.
+START_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
 
 def build_session(app: str = "tallyloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -24,7 +26,7 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    for key, value in {**SETTINGS, **START_SETTINGS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -41,14 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may fall back to a temporary folder: on a cluster such a folder would exist on one machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tallyloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyloom-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -61,7 +63,8 @@ def settle(df):
 
     The rows are written once to the cluster's checkpoint folder; a lost executor costs a re-read, not a recomputation.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    context = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

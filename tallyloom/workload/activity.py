@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import (
     collapse_separator, correct_dates, day_text, hour_of, hour_text, hours_between, join_present, json_value,
-    local_time, month_text, nth, parse_time, path_prefix, segment, strip_zeros, to_long, week_label, weekday_flag,
+    local_time, month_text, nth, parse_time, path_prefix, segment, shift, strip_zeros, to_long, week_label, weekday_flag,
 )
 from tallyloom.operators import catalog, traffic
 from tallyloom.operators.aggregate import distinct_counts, first_per_key, last_per_key, pivot_sum
@@ -44,6 +44,16 @@ def failing_endpoints(spark: SparkSession, sf: str) -> DataFrame:
     return traffic.failing_endpoints(requests(spark, sf))
 
 
+@query(f"""
+WITH {REQUESTS}
+SELECT method, status, CASE WHEN status <= 404 THEN 'SUCCESS' WHEN status > 404 THEN 'FAILURE' END AS outcome, count(*) AS calls
+FROM r GROUP BY 1, 2, 3
+""")
+def request_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    judged = requests(spark, sf).withColumn("outcome", traffic.outcome())
+    return judged.groupBy("method", "status", "outcome").agg(F.count(F.lit(1)).alias("calls"))
+
+
 @query(f"""
 WITH {REQUESTS}
 SELECT date_trunc('hour', time) AS datetime_h, host, usr AS user, 'basic' AS auth, '-' AS token, 'edge' AS source, method,
@@ -125,6 +135,22 @@ def item_counts(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.item_counts(items, ["premise", "disposition", "action"], excluded=["R"])
 
 
+@query("""
+WITH t AS (SELECT DISTINCT s_nationkey, n_regionkey FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT c_custkey, n_regionkey AS premise_from_biz FROM customer LEFT JOIN t ON c_nationkey = s_nationkey
+""")
+def premise_by_location(spark: SparkSession, sf: str) -> DataFrame:
+    suppliers, nations = read(spark, sf, "supplier"), read(spark, sf, "nation")
+    sites = suppliers.join(nations, suppliers.s_nationkey == nations.n_nationkey).select(
+        F.lit("all").alias("tenant"), F.col("s_nationkey").alias("bizLocation"), F.col("n_regionkey").alias("code")
+    )
+    customers = read(spark, sf, "customer").select(
+        "c_custkey", F.lit("all").alias("tenantCode"), F.col("c_nationkey").alias("bizLocation_rfl")
+    )
+    found = catalog.premise_of_location(customers, sites, "bizLocation", "bizLocation_rfl", "code", "premise_from_biz")
+    return found.select("c_custkey", "premise_from_biz")
+
+
 @query("""
 WITH w AS (
   SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, user_id AS code, max(value) AS temperature
@@ -301,7 +327,7 @@ SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H') AS hour, st
        (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 3.6e9 AS hours,
        CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS parsed,
        CASE WHEN strftime(ts, '%Y-%m-%d') = '2024-01-07' THEN '2024-01-08' ELSE strftime(ts, '%Y-%m-%d') END AS corrected,
-       ts + INTERVAL 1 DAY AS next_day, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+       ts + INTERVAL 1 DAY AS next_day, ts + INTERVAL 86399 SECOND AS day_end, CAST(json_extract(props, '$.k') AS BIGINT) AS k
 FROM events
 """)
 def time_functions(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,7 +338,8 @@ def time_functions(spark: SparkSession, sf: str) -> DataFrame:
         hours_between(F.lit("2024-01-01 00:00:00"), "ts").alias("hours"),
         plain(parse_time(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))).alias("parsed"),
         correct_dates(F.date_format("ts", "yyyy-MM-dd"), {"2024-01-07": "2024-01-08"}).alias("corrected"),
-        (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("next_day"), to_long(json_value("props", "$.k")).alias("k"),
+        shift("ts", days=1).alias("next_day"),
+        shift("ts", seconds=86399).alias("day_end"), to_long(json_value("props", "$.k")).alias("k"),
     )
 
 

@@ -108,7 +108,7 @@ def test_api_keys(spark):
 
 
 def test_items(spark):
-    gone = catalog.EXCLUDED_DISPOSITIONS[7]
+    gone = "urn:epcglobal:cbv:disp:retail_sold"
     df = spark.createDataFrame([
         ("t", "p", "active", "b", "ADD", "g1", "s1", "h1"), ("t", "p", "active", "b", "ADD", "g1", "s2", "h2"),
         ("t", "p", gone, "b", "ADD", "g9", "s9", "h9"), ("t", "p", None, "b", "ADD", "g9", "s9", "h9"),
@@ -125,6 +125,16 @@ def test_site_catalogue(spark):
     assert rows(catalog.zone_catalogue(zones, premises), "code", "premise", "premise_name") == [("z1", "p1", "Main")]
 
 
+def test_premise_by_location_and_by_fixture(spark):
+    sites = spark.createDataFrame([("t", "c1", "biz1", "f1", "p1"), ("t", "c1", "biz1", "f2", "p1"), ("u", "c2", "biz1", "f1", "p2")],
+                                  "tenant string, code string, bizLocation string, fixture string, premise string")
+    facts = spark.createDataFrame([("1", "t", "biz1", "f2"), ("2", "u", "biz1", "f2"), ("3", "t", "x", None)],
+                                  "id string, tenantCode string, bizLocation_rfl string, zone string")
+    got = catalog.premise_of_location(facts, sites, "bizLocation", "bizLocation_rfl", "code", "premise_from_biz")
+    got = catalog.premise_of_location(got, sites, "fixture", "zone", "premise", "premise_from_fixture")
+    assert rows(got, "id", "premise_from_biz", "premise_from_fixture") == [("1", "c1", "p1"), ("2", "c2", None), ("3", None, None)]
+
+
 def test_enrichment_keeps_every_event(spark):
     facts = spark.createDataFrame([("1", "P", "G", T), ("2", "Q", None, T)], "id string, premise string, gtin string, time timestamp")
     sites = spark.createDataFrame([("P", "Main")], "code string, name string")
