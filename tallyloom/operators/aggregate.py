@@ -17,9 +17,14 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "event_count") -> D
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def sum_by(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str | Column]) -> DataFrame:
-    """Named sums; ``measures`` maps the output name to a column or an expression."""
-    return df.groupBy(*keys).agg(*[F.sum(m).alias(out) for out, m in measures.items()])
+def sum_by(
+    df: DataFrame, keys: Sequence[str], measures: Mapping[str, str | Column], empty: float | None = None
+) -> DataFrame:
+    """Named sums; ``measures`` maps the output name to a column or an expression. ``empty`` replaces a sum of nothing."""
+    def summed(m: str | Column) -> Column:
+        return F.sum(m) if empty is None else F.coalesce(F.sum(m), F.lit(empty))
+
+    return df.groupBy(*keys).agg(*[summed(m).alias(out) for out, m in measures.items()])
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -60,12 +65,12 @@ def pivot_sum(
 
 
 def delimited_values(df: DataFrame, key: str | Sequence[str], value: str, out: str, separator: str = ":") -> DataFrame:
-    """The distinct values per key, sorted and joined to one text.
+    """The distinct values per key, sorted and joined to one text. A key without any value has no row.
 
     Duplicates collapse in each task before the shuffle, so a reducer sees the label domain, not the rows.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(F.concat_ws(separator, F.array_sort(F.collect_set(value))).alias(out))
+    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.concat_ws(separator, F.array_sort(F.collect_set(value))).alias(out))
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -111,10 +116,8 @@ def row_quality(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def sum_by_unit(df: DataFrame, keys: Sequence[str], unit: str, amount: str, units: Mapping[str, str]) -> DataFrame:
-    """One sum per unit of measure; ``units`` maps the output name to the unit."""
-    return df.groupBy(*keys).agg(
-        *[F.sum(F.when(F.col(unit) == u, F.col(amount))).alias(out) for out, u in units.items()]
-    )
+    """One sum per unit of measure, 0 without any; ``units`` maps the output name to the unit."""
+    return sum_by(df, keys, {out: F.when(F.col(unit) == u, F.col(amount)) for out, u in units.items()}, empty=0.0)
 
 
 def top_unmapped(

@@ -75,7 +75,7 @@ def hourly_pool(lines: DataFrame, mark: str = billing.STORAGE_MARK) -> DataFrame
         "cost", "usage_unit", "usage_amount",
     )
     units = {n: F.when(F.col("usage_unit") == u, F.col("usage_amount")) for n, u in fixed.UNIT_SUMS.items()}
-    return sum_by(keyed, ["date", "hour"], {"cost_h": "cost", **units})
+    return sum_by(keyed, ["date", "hour"], {"cost_h": "cost", **units}, empty=0.0)
 
 
 def request_allocation(hourly_requests: DataFrame, lines: DataFrame, month: str) -> DataFrame:
@@ -97,13 +97,15 @@ REPORT_MEASURES = {
 }
 
 
-def local_cost_report(lines: DataFrame, month: str | None = None, zone: str = LOCAL_ZONE) -> DataFrame:
-    """The cost measures per local hour, promotions kept out of the discounts."""
-    parts = billing.split_compute_storage(billing.split_credits(billing.flatten_billing(lines), "exact"))
+def local_cost_report(
+    lines: DataFrame, month: str | None = None, zone: str = LOCAL_ZONE, mark: str = billing.STORAGE_MARK
+) -> DataFrame:
+    """The cost measures per local hour, promotions kept out of the discounts; 0 where an hour has none."""
+    parts = billing.split_compute_storage(billing.split_credits(billing.flatten_billing(lines), "exact"), mark=mark)
     local = parts.withColumn("usage_start_time_local", local_time("usage_start_time", zone))
     if month:
         local = local.where(month_text("usage_start_time_local") == month)
-    return sum_by(local, ["usage_start_time_local"], REPORT_MEASURES)
+    return sum_by(local, ["usage_start_time_local"], REPORT_MEASURES, empty=0.0)
 
 
 def adjusted_report(

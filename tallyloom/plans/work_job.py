@@ -23,7 +23,19 @@ SPREAD = (
     "LINKED_1_ISSUE_KEY", "LINKED_1_ISSUE_STATUS_NAME", "LINKED_1_BU", "LINKED_1_VERSION_NAME", "CHILD_SPRINT_DATE_VERSION",
     "CHILD_SPRINT_END_DATE_VERSION", "SUB_ISSUE_KEY", "SUB_STORYPOINTS",
 )
-CARRIED = ("ISSUE_KEY", "LINKED_1_ISSUE_KEY", "CHILD_ISSUE_KEY", "CHILD_SPRINT_NAME", "TOTAL_STORYPOINTS")
+CARRIED = (
+    "ISSUE_KEY", "LINKED_1_ISSUE_KEY", "CHILD_ISSUE_KEY", "CHILD_SPRINT_NAME", "SUB_SPRINT_NAME", "TOTAL_STORYPOINTS",
+)
+# Columns of a resource, as they are called beside a work log and beside an idea.
+RESOURCE_NAMES = {
+    "NAME_ID": ("UPDATE_NAME_ID", "RESOURCE_NAME_ID"),
+    "AREA_ID": ("UPDATE_NAME_AREA_ID", "RESOURCE_AREA_ID"),
+    "AREA": ("UPDATE_NAME_AREA", "RESOURCE_AREA"),
+    "RESOURCE_STATUS": ("UPDATE_NAME_STATUS", "RESOURCE_STATUS"),
+    "TRACKING_PHASE": ("UPDATE_NAME_TRACK_PHASE", "RESOURCE_TRACK_PHASE"),
+    "DEPARTMENT": ("UPDATE_NAME_DEPARTMENT", "RESOURCE_DEPARTMENT"),
+}
+UNKNOWN = "Unknown"
 
 
 @dataclass
@@ -65,13 +77,28 @@ def grid(t: Tracker) -> DataFrame:
 
 
 def ideas_with_capacity(tree: DataFrame, seats: DataFrame) -> DataFrame:
-    """Ideas beside the grid of their last assignee and child sprint; idle seats stay."""
-    assigned = tree.withColumn("LAST_ASSIGNEE_NAME", last_assignee("CHILD_CURRENT_ASSIGNEE_NAME", "SUB_CURRENT_ASSIGNEE_NAME"))
-    named = seats.withColumnsRenamed({"NAME": "LAST_ASSIGNEE_NAME", "RESOURCE_SPRINT_NAME": "CHILD_SPRINT_NAME"})
+    """Ideas beside the grid of their last assignee and child sprint; idle seats stay. Ideas without a sub have its
+    texts empty."""
+    subs = [f.name for f in tree.schema.fields if f.name.startswith("SUB_") and f.dataType.simpleString() == "string"]
+    assigned = tree.fillna("", subset=subs).withColumn(
+        "LAST_ASSIGNEE_NAME", last_assignee("CHILD_CURRENT_ASSIGNEE_NAME", "SUB_CURRENT_ASSIGNEE_NAME")
+    )
+    named = seats.withColumnsRenamed({
+        "NAME": "LAST_ASSIGNEE_NAME", "RESOURCE_SPRINT_NAME": "CHILD_SPRINT_NAME",
+        **{old: idea for old, (_, idea) in RESOURCE_NAMES.items()},
+    })
     out = full_outer(assigned, named, ["LAST_ASSIGNEE_NAME", "CHILD_SPRINT_NAME"])
     return out.withColumns({"UTILIZATION_TYPE": F.lit("Idea"), "WORK_TYPE": work_type("SUB_ISSUE_TYPE_NAME")})
 
 
+def logged_work(logs: DataFrame, ideas: DataFrame, seats: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Work logs beside the grid; what is not known about a person is called so."""
+    named = seats.withColumnsRenamed({old: log for old, (log, _) in RESOURCE_NAMES.items()})
+    out = utilisation(logs, ideas, named, calendar, CARRIED)
+    texts = [log for log, _ in RESOURCE_NAMES.values() if log in out.columns]
+    return out.fillna(UNKNOWN, subset=[*texts, "SUB_SPRINT_NAME"])
+
+
 def work_tracking(t: Tracker) -> dict[str, DataFrame]:
     """All outputs of the job, by name."""
     wide = wide_issues(t)
@@ -84,7 +111,7 @@ def work_tracking(t: Tracker) -> dict[str, DataFrame]:
     out = {
         "requests": requests,
         "ideas": ideas_with_capacity(ideas, seats),
-        "worklogs": utilisation(logs, ideas, seats, calendar, CARRIED),
+        "worklogs": logged_work(logs, ideas, seats, calendar),
     }
     for name, tree in (("requests", requests), ("ideas", ideas)):
         for label in ("CUSTOMERS", "CATEGORY"):

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions import day_text, hour_text, local_time, month_text, net_of
+from tallyloom.functions import day_text, hour_text, month_text
 from tallyloom.operators import allocate, billing
 from tallyloom.operators.aggregate import share_of_total, sum_all, sum_by, sum_by_unit, top_unmapped, totals
 from tallyloom.operators.events import hourly_event_counts
-from tallyloom.plans.cost_jobs import REPORT_MEASURES, local_cost_report
+from tallyloom.plans.cost_jobs import adjusted_report, local_cost_report
+from tallyloom.plans.fixed_values import UNIT_SUMS
 from tallyloom.workload.registry import query
 from tallyloom.workload.standins import (
     BILLING, PURCHASES, STORAGE, billing_lines, k, plain, purchases, read, units,
@@ -365,15 +366,13 @@ def cost_per_site(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""
 WITH {BILLING}
 SELECT strftime(usage_start_time, '%Y-%m-%d') AS date, strftime(usage_start_time, '%H') AS hour,
-       sum(CASE WHEN usage_unit = 'bytes' THEN usage_amount END) AS bytes_h,
-       sum(CASE WHEN usage_unit = 'requests' THEN usage_amount END) AS requests_h,
-       sum(CASE WHEN usage_unit = 'seconds' THEN usage_amount END) AS seconds_h,
-       sum(CASE WHEN usage_unit = 'byte-seconds' THEN usage_amount END) AS bytes_seconds_h
+       sum(CASE WHEN usage_unit = 'bytes' THEN usage_amount ELSE 0 END) AS bytes_h,
+       sum(CASE WHEN usage_unit = 'requests' THEN usage_amount ELSE 0 END) AS requests_h,
+       sum(CASE WHEN usage_unit = 'seconds' THEN usage_amount ELSE 0 END) AS seconds_h,
+       sum(CASE WHEN usage_unit = 'byte-seconds' THEN usage_amount ELSE 0 END) AS bytes_seconds_h
 FROM c WHERE NOT is_storage GROUP BY 1, 2
 """)
 def unit_sums(spark: SparkSession, sf: str) -> DataFrame:
-    from tallyloom.plans.fixed_values import UNIT_SUMS
-
     flat = billing.only_compute(billing.flatten_billing(billing_lines(spark, sf)), mark=STORAGE)
     keyed = flat.withColumns({"date": day_text("usage_start_time"), "hour": hour_text("usage_start_time")})
     return sum_by_unit(keyed, ["date", "hour"], "usage_unit", "usage_amount", UNIT_SUMS)
@@ -407,21 +406,14 @@ def shares(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""
 WITH {BILLING}, h AS (
-  SELECT local_time AS usage_start_time_local, sum(CASE WHEN NOT is_storage THEN cost + disc_exact END) AS compute_after,
+  SELECT local_time AS usage_start_time_local, sum(CASE WHEN NOT is_storage THEN cost + disc_exact ELSE 0 END) AS compute_after,
          sum(cost + disc_exact) AS after
   FROM c GROUP BY 1
 )
 SELECT usage_start_time_local, after AS total_after_discounts,
-       (compute_after - 3750.0::DOUBLE / (SELECT count(compute_after) FROM h) - after * 0.05::DOUBLE) AS net
+       (compute_after - 3750.0::DOUBLE / (SELECT count(compute_after) FROM h) - after * 0.05::DOUBLE) AS total_compute_after_adjustment
 FROM h
 """)
 def adjusted_month(spark: SparkSession, sf: str) -> DataFrame:
-    flat = billing.split_credits(billing.flatten_billing(billing_lines(spark, sf)), "exact")
-    parts = billing.split_compute_storage(flat, mark=STORAGE)
-    local = parts.withColumn("usage_start_time_local", local_time("usage_start_time"))
-    report = sum_by(local, ["usage_start_time_local"], REPORT_MEASURES)
-    hours = report.agg(F.count("total_compute_after_discount")).scalar()
-    net = net_of("total_compute_after_discount", "total_after_discounts", 3750.0, hours, 0.05)
-    return report.select("usage_start_time_local", "total_after_discounts", net.alias("net"))
-
-
+    adjusted = adjusted_report(local_cost_report(billing_lines(spark, sf), mark=STORAGE))
+    return adjusted.select("usage_start_time_local", "total_after_discounts", "total_compute_after_adjustment")

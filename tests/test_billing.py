@@ -122,7 +122,8 @@ def test_month_report_and_even_allocation(spark):
     totals = report.agg(F.sum("total_cost"), F.sum("total_after_discounts"), F.sum("total_compute_cost")).first()
     assert tuple(totals) == (150.0, 140.0, 100.0)
     adjusted = cost_jobs.adjusted_report(report, flat=10.0, rate=0.5)
-    assert rows(adjusted, "total_compute_after_adjustment") == [(35.0,), (None,)]
+    # 90 - 10/2 - 90 * 0.5 for the hour with compute, 0 - 10/2 - 50 * 0.5 for the one without
+    assert rows(adjusted, "total_compute_after_adjustment") == [(-30.0,), (40.0,)]
     sites = spark.createDataFrame([("A",), ("A",), ("B",), ("X",)], "tenant_parent_code string")
     even = cost_jobs.even_allocation(df, sites, ["A", "B"], "ENV", "2024-01")
     assert rows(even, "tenant_parent_code", "month", "total_cost_by_tenant", "environment") == [

@@ -76,6 +76,8 @@ def test_last_first_labels_and_quality(spark):
     assert rows(last_per_key(df, ["k"], ["n", "v"])) == [("a", 3, "z"), ("b", None, "w")]
     assert rows(first_per_key(df, ["k"], ["n"])) == [("a", 1, "x"), ("b", None, "w")]
     assert rows(delimited_values(df.unionAll(df), "k", "v", "all")) == [("a", "x:y:z"), ("b", "w")]
+    empty = spark.createDataFrame([("c", None)], "k string, v string")
+    assert delimited_values(empty, "k", "v", "all").count() == 0
     assert tuple(row_quality(df.unionAll(df)).first()) == (8, 4)
 
 

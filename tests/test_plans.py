@@ -150,6 +150,8 @@ def test_work_tracking(spark):
         ("S-2", "ann", "v1", "IDEA-1", "Idea", "Unk"), ("T-1", "bob", "v2", "IDEA-1", "Idea", "Dev"), ("TICKET-5", "ann", "v1", None, "Incident", "Support"),
         (None, "ann", "v2", None, None, None), (None, "bob", "v1", None, None, None),
     ]
+    assert rows(out["worklogs"], "ISSUE_KEY_LOGGED", "UPDATE_NAME_AREA", "SUB_SPRINT_NAME")[:2] == [("S-2", "DEV", "Unknown"), ("T-1", "QA", "v2")]
+    assert rows(ideas, "CHILD_ISSUE_KEY", "SUB_ISSUE_KEY", "RESOURCE_AREA")[:2] == [("S-1", "T-1", "QA"), ("S-2", "", "DEV")]
     spread = rows(out["requests_customers"], "customers", "SUB_STORYPOINTS", "ADJ_SUB_STORYPOINTS")
     assert spread == [("a", 2.0, 1.0), ("a", None, None), ("b", 2.0, 1.0), ("b", None, None)]
     wide = work_job.wide_issues(tracker(spark)).where(F.col("ISSUE_KEY") == "E-1").first()
