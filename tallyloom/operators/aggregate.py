@@ -64,13 +64,16 @@ def pivot_sum(
     )
 
 
-def delimited_values(df: DataFrame, key: str | Sequence[str], value: str, out: str, separator: str = ":") -> DataFrame:
+def delimited_values(
+    df: DataFrame, key: str | Sequence[str], value: str, out: str, separator: str = ":"
+) -> DataFrame:
     """The distinct values per key, sorted and joined to one text. A key without any value has no row.
 
     Duplicates collapse in each task before the shuffle, so a reducer sees the label domain, not the rows.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.concat_ws(separator, F.array_sort(F.collect_set(value))).alias(out))
+    labels = F.concat_ws(separator, F.array_sort(F.collect_set(value)))
+    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(labels.alias(out))
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

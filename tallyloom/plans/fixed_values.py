@@ -98,40 +98,44 @@ UNIT_SUMS = {"bytes_h": "bytes", "requests_h": "requests", "seconds_h": "seconds
 
 NO_STORE = "No Store"
 _PLAIN = {"source": "N/A", "sourceModule": "N/A", "Retail_Bizstep": "N/A"}
+_BARE = {"specName": "", **_PLAIN}
+_ALE = {"bridgeKey_2": pattern("ALEB%")}
 
 
 def event_routes(
     listed_sources: Sequence[str], item_sources: Sequence[str], app_specs: Sequence[str], reader_specs: Sequence[str],
     product_specs: Sequence[str],
 ) -> list[tuple[dict, object, object]]:
-    """(condition, event source, store code) in order.
+    """(condition, event source, store code): the first condition that holds decides both.
 
     Parameters are what differs between installations: the source codes of listed partners, the specs of the mobile
     app, of fixed readers and of product feeds.
     """
-    c = F.col
+    source, bridge, store_number = F.col("source"), F.col("bridgeKey_2"), F.col("Retail_StoreNumber")
     premise, fixture = strip_zeros("Retail_Premise"), strip_zeros("premise_from_fixture")
-    soh = strip_zeros("Retail_SOHStoreNumber")
+    stock, content = strip_zeros("Retail_SOHStoreNumber"), strip_zeros("premise_from_biz")
+    door, area = segment("doorEvent", "/", 2), segment("zone", "_", 0)
     reader, reader_store = segment("bridgeKey_2", "_", 0), segment("bridgeKey_2", "_", 1)
-    app = ["MOBILE", "FLOW", "SERVICES"]
+    app = {"specName": list(app_specs), "bridgeKey_2": ["MOBILE", "FLOW", "SERVICES"], "source": ["MOBILE", "FLOW"]}
     epcis = {"specName": "EPCIS", "bridgeKey_2": "EPCIS"}
+    # Fixed values.
     return [
-        ({"thingType": "EPCISEVENT", **epcis, "source": list(listed_sources)}, c("source"), premise),
-        ({"thingType": "ITEM", "specName": list(app_specs), "bridgeKey_2": app, "source": ["MOBILE", "FLOW"]}, c("source"), fixture),
-        ({"thingType": "ITEM", **epcis, "source": list(item_sources)}, c("source"), premise),
-        ({"thingType": "ITEM", "specName": "POE_IINTERFACE", **_PLAIN, "source": "FLOW_ALE"}, c("source"), segment("doorEvent", "/", 2)),
-        ({"thingType": "ITEM", "specName": "POS_IINTERFACE", **_PLAIN, "source": "FLOW"}, c("source"), segment("zone", "_", 0)),
-        ({"thingType": "ITEM", "specName": list(reader_specs), "bridgeKey_2": pattern("ALEB%"), "source": "N/A"}, reader, reader_store),
-        ({"thingType": "ITEM", "specName": "SCHEDULED", "bridgeKey_2": "RULESET", "source": "REP_398"}, c("source"), NO_STORE),
-        ({"thingType": "SOH"}, c("bridgeKey_2"), soh),
-        ({"thingType": "SOHSTREAM"}, c("bridgeKey_2"), soh),
-        ({"thingType": "DISCREPANCY", "specName": "", "bridgeKey_2": "ANALYTICS", **_PLAIN}, c("bridgeKey_2"), strip_zeros("Retail_StoreNumber")),
-        ({"thingType": "LOCATION", "specName": "", "bridgeKey_2": "EPCIS", **_PLAIN}, c("bridgeKey_2"), NO_STORE),
-        ({"thingType": "PRODUCT", "specName": "", "bridgeKey_2": "FTPBRIDGEPRODUCTS", **_PLAIN}, c("bridgeKey_2"), NO_STORE),
-        ({"thingType": "STORE", "specName": "", "bridgeKey_2": pattern("ALEB%")}, reader, reader_store),
-        ({"thingType": "CONTENT"}, c("bridgeKey_2"), strip_zeros("premise_from_biz")),
-        ({"thingType": "STOREATTRIBUTES", "bridgeKey_2": pattern("FTPBRIDGE%")}, "FTPBRIDGE", c("Retail_StoreNumber")),
-        ({"thingType": "PRODUCT", "specName": list(product_specs), "bridgeKey_2": "SERVICES", **_PLAIN}, c("bridgeKey_2"), NO_STORE),
+        ({"thingType": "EPCISEVENT", **epcis, "source": list(listed_sources)}, source, premise),
+        ({"thingType": "ITEM", **app}, source, fixture),
+        ({"thingType": "ITEM", **epcis, "source": list(item_sources)}, source, premise),
+        ({"thingType": "ITEM", "specName": "POE_IINTERFACE", **_PLAIN, "source": "FLOW_ALE"}, source, door),
+        ({"thingType": "ITEM", "specName": "POS_IINTERFACE", **_PLAIN, "source": "FLOW"}, source, area),
+        ({"thingType": "ITEM", "specName": list(reader_specs), **_ALE, "source": "N/A"}, reader, reader_store),
+        ({"thingType": "ITEM", "specName": "SCHEDULED", "bridgeKey_2": "RULESET", "source": "REP_398"}, source, NO_STORE),
+        ({"thingType": "SOH"}, bridge, stock),
+        ({"thingType": "SOHSTREAM"}, bridge, stock),
+        ({"thingType": "DISCREPANCY", **_BARE, "bridgeKey_2": "ANALYTICS"}, bridge, strip_zeros(store_number)),
+        ({"thingType": "LOCATION", **_BARE, "bridgeKey_2": "EPCIS"}, bridge, NO_STORE),
+        ({"thingType": "PRODUCT", **_BARE, "bridgeKey_2": "FTPBRIDGEPRODUCTS"}, bridge, NO_STORE),
+        ({"thingType": "STORE", "specName": "", **_ALE}, reader, reader_store),
+        ({"thingType": "CONTENT"}, bridge, content),
+        ({"thingType": "STOREATTRIBUTES", "bridgeKey_2": pattern("FTPBRIDGE%")}, "FTPBRIDGE", store_number),
+        ({"thingType": "PRODUCT", "specName": list(product_specs), "bridgeKey_2": "SERVICES", **_PLAIN}, bridge, NO_STORE),
     ]
 
 

@@ -104,7 +104,9 @@ def work_tracking(t: Tracker) -> dict[str, DataFrame]:
     wide = wide_issues(t)
     requests, ideas = dated_hierarchy(t, wide, "Product Request"), dated_hierarchy(t, wide, "Idea")
     seats = grid(t)
-    kinds = t.issues.select(F.col("ISSUE_KEY").alias("ISSUE_KEY_LOGGED"), F.col("ISSUE_TYPE_NAME").alias("ISSUE_TYPE_NAME_LOGGED"))
+    kinds = t.issues.select(
+        F.col("ISSUE_KEY").alias("ISSUE_KEY_LOGGED"), F.col("ISSUE_TYPE_NAME").alias("ISSUE_TYPE_NAME_LOGGED")
+    )
     logs = t.worklogs.withColumnRenamed("ISSUE_KEY", "ISSUE_KEY_LOGGED").join(kinds, "ISSUE_KEY_LOGGED", "left")
     valid = t.sprints.where(F.col("SPRINT_NAME").startswith("v"))
     calendar = build_intervals(valid, "END_DATE", "SPRINT_NAME", numbered=False)

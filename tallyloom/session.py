@@ -38,6 +38,16 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_for(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 * 1024 * 1024) -> int:
+    """Shuffle partitions for a job over that much input, at least two per core; returns their number.
+
+    Too many do no harm, adaptive execution joins small neighbours; too few would spill.
+    """
+    partitions = max(2 * spark.sparkContext.defaultParallelism, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
-from tallyloom.session import scratch_path, settle, shared_dir
+from tallyloom.session import scratch_path, settle, shared_dir, size_for
 from tallyloom.sinks import append, append_day, conform, overwrite, write_all, write_selected
 from tallyloom.sources import (
     Table, arrays_to_rows, by_environment, day_slice, flatten_structs, load_audit, observed, padded_days, process_day,
@@ -124,3 +124,9 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == folder and scratch_path(spark, "x").startswith(folder)
     assert settle(spark.range(3)).count() == 3
+
+
+def test_shuffles_are_sized_by_the_input(spark, conf):
+    conf(spark__sql__shuffle__partitions="8")
+    assert size_for(spark, 10) == 2 * spark.sparkContext.defaultParallelism
+    assert size_for(spark, 100 * 1024**4) == 819_200 and spark.conf.get("spark.sql.shuffle.partitions") == "819200"
