@@ -96,17 +96,19 @@ def has_hot_key(df: DataFrame, on: Keys, hot_rows: int = HOT_ROWS, sample: float
 
 
 def left_fan_out(
-    parents: DataFrame, children: DataFrame, on: Keys, child_keys: DataFrame | None = None,
+    parents: DataFrame, children: DataFrame, on: Keys, child_keys: DataFrame | None = None, hot: bool | None = None,
     hot_rows: int = HOT_ROWS, sample: float = HOT_SAMPLE,
 ) -> DataFrame:
     """Left join of parents to many children, where one parent may own a large part of the children.
 
     With a hot parent it is the inner join, of which either side can be split, plus the childless parents.
-    ``child_keys`` may name a cheaper frame with the same set of keys as ``children``.
+    ``child_keys`` may name a cheaper frame with the same set of keys as ``children``; ``hot`` is given where it is known.
     """
     names = _names(on)
     keys = (children if child_keys is None else child_keys).select(*names)
-    if not has_hot_key(keys.where(_all_present(names)), names, hot_rows, sample):
+    if hot is None:
+        hot = has_hot_key(keys.where(_all_present(names)), names, hot_rows, sample)
+    if not hot:
         return parents.join(children, names, "left")
     matched = skew_join(parents, children, names, "inner")
     childless = parents.join(keys.distinct(), names, "left_anti")

@@ -183,7 +183,7 @@ def enrich_events(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT vec_id, label, unnest(generate_series(0, len(embedding) - 1)) AS position, unnest(embedding)::DOUBLE AS temperature
 FROM embeddings
-""")
+""", name="arrays_to_rows")
 def arrays_as_rows(spark: SparkSession, sf: str) -> DataFrame:
     vectors = read(spark, sf, "embeddings").withColumn("hour", F.sequence(F.lit(0), F.size("embedding") - 1))
     rows = arrays_to_rows(vectors, {"position": "hour", "temperature": "embedding"}, "vec_id", "label")
@@ -229,7 +229,7 @@ def csv_reference(spark: SparkSession, sf: str) -> DataFrame:
 SELECT strftime(o_orderdate, '%Y-%m') AS month, CAST(sum(round(o_totalprice * 100)) AS DOUBLE) AS cost, count(*) AS orders,
        CAST(NULL AS DOUBLE) AS promotion_credits
 FROM orders GROUP BY 1
-""")
+""", name="write_day_partition")
 def write_by_partition(spark: SparkSession, sf: str) -> DataFrame:
     """Written twice with replacement by partition, in the declared schema: nothing doubles."""
     path = scratch_path(spark, "monthly")

@@ -161,7 +161,7 @@ def component_map_last(spark: SparkSession, sf: str) -> DataFrame:
 WITH {BILLING}, m AS (SELECT *, {COMPONENT} AS component FROM c)
 SELECT service_description, resource_name, resource_global_name, sum(cost) AS cost
 FROM m WHERE component IS NULL GROUP BY 1, 2, 3
-""")
+""", name="top_unmapped")
 def unmapped_costs(spark: SparkSession, sf: str) -> DataFrame:
     flat = billing.flatten_billing(billing_lines(spark, sf), resource=True)
     mapped = billing.map_component(flat, BY_NAME, BY_GLOBAL)

@@ -50,7 +50,7 @@ def scan_hour_slice(spark: SparkSession, sf: str) -> DataFrame:
 @query("\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS table_rows, {w} AS table_columns, 'ok' AS status"
     for t, w in zip(TABLES, WIDTHS)
-))
+), name="load_audit")
 def source_audit(spark: SparkSession, sf: str) -> DataFrame:
     return load_audit(spark, {t: (lambda t=t: read(spark, sf, t)) for t in TABLES}).drop("date")
 
@@ -129,7 +129,7 @@ def eav_widen(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select("id_serial_number", "thingType", "k", "type")
 
 
-@query("SELECT event_id, event_type, 'N/A' AS \"transactionId\", 'N/A' AS \"doorEvent\" FROM events")
+@query("SELECT event_id, event_type, 'N/A' AS \"transactionId\", 'N/A' AS \"doorEvent\" FROM events", name="ensure_columns")
 def repair_columns(spark: SparkSession, sf: str) -> DataFrame:
     repaired = ensure_columns(read(spark, sf, "events"), ["event_type", "transactionId", "doorEvent"])
     return fill_text(repaired).select("event_id", "event_type", "transactionId", "doorEvent")
@@ -245,7 +245,7 @@ WITH l AS (
 )
 SELECT p_partkey, p_brand || '-' || p_type AS key_field, feature, process
 FROM part LEFT JOIN l ON p_brand || '-' || p_type = l.k
-""")
+""", name="classify_by_key")
 def classify_by_list(spark: SparkSession, sf: str) -> DataFrame:
     part = read(spark, sf, "part")
     listed = part.where(F.col("p_type").isin("PROMO", "ECONOMY", "LARGE")).select(
@@ -288,7 +288,7 @@ WITH l AS (
 )
 SELECT c_custkey, biz AS "bizLocation_rfl", site AS premise_from_biz
 FROM customer LEFT JOIN l ON c_nationkey = n AND c_mktsegment IN ('BUILDING', 'FURNITURE')
-""")
+""", name="content_site")
 def content_sites(spark: SparkSession, sf: str) -> DataFrame:
     customers = read(spark, sf, "customer")
     nation = F.col("c_nationkey").cast("string")

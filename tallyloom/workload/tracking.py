@@ -30,7 +30,7 @@ def key(prefix: str, *columns: str):
 
 @query("""
 SELECT o_custkey, array_to_string(list_sort(list(DISTINCT o_orderpriority)), ':') AS priorities FROM orders GROUP BY 1
-""")
+""", name="delimited_values")
 def label_lists(spark: SparkSession, sf: str) -> DataFrame:
     return delimited_values(read(spark, sf, "orders"), "o_custkey", "o_orderpriority", "priorities")
 
@@ -147,7 +147,7 @@ WHERE c_acctbal >= 0"""
 TREE = ("ISSUE_KEY", "LINKED_1_ISSUE_KEY", "CHILD_ISSUE_KEY", "SUB_ISSUE_KEY", "TOTAL_STORYPOINTS")
 
 
-@query(HIERARCHY)
+@query(HIERARCHY, name="issue_hierarchy")
 def request_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     issues = order_issues(spark, sf, "Product Request")
     return issue_hierarchy(issues, nation_links(spark, sf, "Depends"), "Product Request", []).select(*TREE)
@@ -167,7 +167,7 @@ WITH n AS (SELECT o_custkey, count(o_orderpriority) AS n FROM orders GROUP BY 1)
 SELECT c.c_mktsegment, o.o_orderpriority AS label, count(*) AS rows, sum(round(c_acctbal * 100) / n) AS points
 FROM customer c JOIN orders o ON o.o_custkey = c_custkey JOIN n ON n.o_custkey = c_custkey
 WHERE c_mktsegment <> 'FURNITURE' GROUP BY 1, 2
-""".replace("sum(round(c_acctbal * 100) / n)", "sum(CAST(floor(round(c_acctbal * 100) / n) AS BIGINT))::BIGINT"))
+""".replace("sum(round(c_acctbal * 100) / n)", "sum(CAST(floor(round(c_acctbal * 100) / n) AS BIGINT))::BIGINT"), name="spread_points")
 def points_by_label(spark: SparkSession, sf: str) -> DataFrame:
     """Points of a customer in equal parts to the labels of its orders."""
     customers = read(spark, sf, "customer").where(F.col("c_mktsegment") != "FURNITURE")
@@ -226,7 +226,7 @@ def interval_closed(spark: SparkSession, sf: str) -> DataFrame:
     return _placed(spark, sf, closed=True)
 
 
-@query(_placed_sql("o_orderdate < e"))
+@query(_placed_sql("o_orderdate < e"), name="interval_halfopen")
 def interval_half_open(spark: SparkSession, sf: str) -> DataFrame:
     return _placed(spark, sf, closed=False)
 
@@ -255,7 +255,7 @@ FROM d GROUP BY 1, 2
 """
 
 
-@query(_time_off_sql("year"))
+@query(_time_off_sql("year"), name="weekday_time_off")
 def time_off_weeks(spark: SparkSession, sf: str) -> DataFrame:
     return weekday_time_off(absences(spark, sf))
 
@@ -307,7 +307,7 @@ SEATS = f"""{QUARTERS}, off AS (
 WITH {SEATS}
 SELECT name AS "NAME", sprint AS "RESOURCE_SPRINT_NAME", state AS "RESOURCE_STATE_SPRINT_NAME", holidays AS "HOLIDAYS", pto AS "PTO"
 FROM seats
-""")
+""", name="capacity_grid")
 def capacity(spark: SparkSession, sf: str) -> DataFrame:
     return seats(spark, sf)
 
@@ -340,7 +340,7 @@ SELECT coalesce(person, name, 'Unknown') AS "UPDATE_NAME", coalesce(placed.sprin
        max(pto) AS pto
 FROM placed FULL JOIN seats ON person = name AND placed.sprint = seats.sprint
 GROUP BY 1, 2, 3, 4
-""")
+""", name="utilisation")
 def utilisation_by_sprint(spark: SparkSession, sf: str) -> DataFrame:
     line, part, supplier, orders = (read(spark, sf, t) for t in ("lineitem", "part", "supplier", "orders"))
     name = F.col("p_name")
@@ -393,7 +393,7 @@ def document_tickets(spark: SparkSession, sf: str) -> DataFrame:
 SELECT 'TICKET-' || d.doc_id AS "ISSUE_KEY", {TAG} AS "TENANT",
        CASE WHEN quality = 1 THEN n_chars * 6e7 / 3.6e9 END AS "HOURS_TO_RESOLVED", (quality + 1) * 1.0::DOUBLE AS "HOURS_TO_FIRST_RESPONSE"
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE lang IN ('en', 'de')
-""")
+""", name="ticket_facts")
 def ticket_rows(spark: SparkSession, sf: str) -> DataFrame:
     facts = ticket_facts(document_tickets(spark, sf), KEYWORDS)
     return facts.select("ISSUE_KEY", "TENANT", "HOURS_TO_RESOLVED", "HOURS_TO_FIRST_RESPONSE")
@@ -421,7 +421,7 @@ SELECT 'TICKET-' || user_id AS "ISSUE_KEY", {sums} FROM events GROUP BY 1
 """.format(sums=", ".join(
     f"sum(CAST(json_extract(props, '$.k') AS BIGINT) * 3600 / 3600.0::DOUBLE) FILTER (event_type = '{s.split()[0]}') AS \"{s.replace(' ', '_')}\""
     for s in STATUSES
-)))
+)), name="status_pivot")
 def ticket_statuses(spark: SparkSession, sf: str) -> DataFrame:
     history = read(spark, sf, "events").select(
         key("TICKET-", "user_id").alias("ISSUE_KEY"), F.concat("event_type", F.lit(" now")).alias("ISSUE_STATUS_NAME"),
