@@ -64,3 +64,32 @@ SALES = (
 )
 TIME_OFF = ("name string, start date, end date")
 WEEK_TO_SPRINT = all_text("YEAR_WEEK", "RESOURCE_SPRINT_NAME")
+
+# Declared schemas of the outputs; ``sinks.conform`` brings a frame into them before it is written.
+ALLOCATED_EVENTS = (
+    "datetime_h timestamp, tenantCode string, thingType string, specName string, bridgeKey_2 string, source string, "
+    "sourceModule string, Retail_Bizstep string, FeatureSet string, Process string, SubProcess string, "
+    "EventSource string, StoreCode string, Is_InternalEvent string, event_count bigint, "
+    "cost_per_1000 double, cost_per_1000_after_discount double, allocated_cost double, "
+    "allocated_cost_after_discount double, datetime_h_local timestamp_ntz"
+)
+PROJECT_COSTS = (
+    "usage_start_time timestamp, id_project string, service_description string, sku_description string, "
+    "usage_unit string, total_cost double, total_amount double, total_after_discounts double, "
+    "total_amount_credits double, total_compute_cost double, total_storage_cost double, "
+    "total_promotion_credits double, provider string, tier string, bu string, costType string, category string, "
+    "subCategory string, EntityFinance string, CategoryFinance string, tenantFinance string, ResourceGr string, "
+    "unitFinance string, Class string, usage_start_time_local timestamp_ntz"
+)
+MONTHLY_ALLOCATION = (
+    "datetime_h timestamp, tenantCode string, thingType string, event_count_h bigint, cost_assigned double, "
+    "cost_assigned_after_discount double, environment string, datetime_h_local timestamp_ntz"
+)
+SITE_COSTS = (
+    "day string, tenant string, compute_cost double, storage_cost double, deployed_sites double, total_sites double, "
+    "total_cost double"
+)
+STORAGE_ALLOCATION = (
+    "environment string, day string, tenant string, real_name string, size_storage bigint, "
+    "size_storage_percentage double, storage_cost_assigned double, storage_cost_assigned_after_discounts double"
+)

@@ -164,14 +164,14 @@ def idea_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH n AS (SELECT o_custkey, count(o_orderpriority) AS n FROM orders GROUP BY 1)
-SELECT c.c_mktsegment, o.o_orderpriority AS label, count(*) AS rows, sum(round(c_acctbal * 100) / n) AS points
+SELECT c.c_mktsegment, o.o_orderpriority AS label, count(*) AS rows,
+       sum(CAST(floor(round(c_acctbal * 100) / n) AS BIGINT))::BIGINT AS points
 FROM customer c JOIN orders o ON o.o_custkey = c_custkey JOIN n ON n.o_custkey = c_custkey
-WHERE c_mktsegment <> 'FURNITURE' GROUP BY 1, 2
-""".replace("sum(round(c_acctbal * 100) / n)", "sum(CAST(floor(round(c_acctbal * 100) / n) AS BIGINT))::BIGINT"), name="spread_points")
+GROUP BY 1, 2
+""", name="spread_points")
 def points_by_label(spark: SparkSession, sf: str) -> DataFrame:
     """Points of a customer in equal parts to the labels of its orders."""
-    customers = read(spark, sf, "customer").where(F.col("c_mktsegment") != "FURNITURE")
-    tree = customers.select(
+    tree = read(spark, sf, "customer").select(
         "c_mktsegment", key("C", "c_custkey").alias("LINKED_1_ISSUE_KEY"), units("c_acctbal", 100).alias("SUB_STORYPOINTS")
     )
     labels = read(spark, sf, "orders").select(

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyloom.operators.aggregate import positions, share_of_total
+from tallyloom.operators.intervals import assign_interval, build_intervals
 from tallyloom.operators.joins import (
     fits_broadcast, full_outer, has_hot_key, left_fan_out, lookup, skew_join, split_by_match, spread_nulls,
 )
@@ -134,3 +135,10 @@ def test_positions_number_the_whole_table(spark, few):
     df = spark.range(0, 500, 1, 5).select((F.col("id") * 37 % 500).alias("x"))
     got = positions(df, ["x"], "n", few).collect()
     assert sorted((r.x, r.n) for r in got) == [(i, i) for i in range(500)]
+
+
+def test_a_hot_day_is_split_when_the_calendar_is_not_broadcast(spark, split_soon):
+    facts = _hot(spark).withColumn("t", F.timestamp_seconds(F.lit(1_700_000_000) + F.when(F.col("k") == 7, 0).otherwise(F.col("k") * 600)))
+    ends = spark.range(50).select(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 500_000).alias("at"), F.col("id").cast("string").alias("name"))
+    placed = assign_interval(facts, build_intervals(ends, "at", "name"), "t", "label", max_rows=0)
+    assert "skew=true" in _final_plan(placed)

@@ -6,9 +6,12 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
+from tallyloom.operators.allocate import allocate_monthly_flat
+from tallyloom.operators.billing import project_cost_summary
 from tallyloom.operators.rules import rules_schema
 from tallyloom.plans import cost_jobs, event_job, work_job
 from tallyloom.plans import fixed_values as fixed
+from tallyloom.sinks import conform
 
 T = dt.datetime(2024, 1, 2, 10, 20)
 def routes():
@@ -93,6 +96,31 @@ def test_compute_and_storage_allocation(spark):
     assert rows(got, "tenant", "storage_cost_assigned", "storage_cost_assigned_after_discounts", "environment") == [("t", 30.0, 22.5, "ENV"), ("u", 10.0, 7.5, "ENV")]
 
 
+def test_outputs_fill_their_declared_schemas(spark):
+    named = event_job.classified_events(*inputs(spark), routes())
+    counts = named.groupBy(*event_job.SETS["events_classification"]).agg(F.count(F.lit(1)).alias("event_count"))
+    projects = spark.createDataFrame([("p", *["x"] * 12)], schemas.PROJECT_DIMENSION)
+    sizes = spark.createDataFrame([(dt.datetime(2024, 1, 2), "t", "c", 1, 3, 1)], schemas.COLLECTION_SIZE)
+    flat = allocate_monthly_flat(counts, cost_jobs.compute_costs(billing(spark)), "2024-01", ["tenantCode", "thingType"], cost_time="datetime_h")
+    outputs = [
+        (cost_jobs.compute_allocation(counts, billing(spark)), schemas.ALLOCATED_EVENTS),
+        (project_cost_summary(billing(spark), projects), schemas.PROJECT_COSTS),
+        (flat.withColumn("environment", F.lit("E")), schemas.MONTHLY_ALLOCATION),
+        (cost_jobs.storage_allocation(sizes, billing(spark), "E", "2024-01-02"), schemas.STORAGE_ALLOCATION),
+    ]
+    for df, schema in outputs:
+        got = conform(df, schema)
+        assert set(got.columns) <= set(df.columns), set(got.columns) - set(df.columns)
+        assert got.count() == df.count() > 0
+
+
+def test_issues_are_shuffled_once_for_all_their_labels(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    plan = work_job.wide_issues(tracker(spark))._jdf.queryExecution().executedPlan().toString()
+    # issues, latest sprint, five labels, milestones
+    assert plan.count("Exchange hashpartitioning(ISSUE_KEY") == 8
+
+
 def test_request_allocation(spark):
     stats = spark.createDataFrame([("2024-01-02", "10", "a", 10, 1.0, 1), ("2024-01-02", "10", "b", 30, 1.0, 1), ("2024-02-02", "10", "b", 30, 1.0, 1)],
                                   "date string, hour string, host string, length_sum bigint, latency_mean double, call_count bigint")
