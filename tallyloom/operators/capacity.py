@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tallyloom.functions.cases import case_last
 from tallyloom.functions.columns import week_label, weekday_flag
 from tallyloom.operators.aggregate import positions, sum_by
-from tallyloom.operators.intervals import assign_interval
-from tallyloom.operators.joins import full_outer, lookup, skew_join, split_by_match
+from tallyloom.operators.intervals import assign_interval, listing_fits
+from tallyloom.operators.joins import fits_broadcast, full_outer, lookup, skew_join, split_by_match
 from tallyloom.operators.shape import fill_by_column, fill_zero, union_by_name
 from tallyloom.operators.work import UNKNOWN_TYPE, WORK_TYPES
 
@@ -57,12 +57,13 @@ def capacity_grid(
     The grid is the result itself. Each resource is given the sprint numbers and meets the sprint on its number, so the
     work is spread like the resources and no task sees more than its own rows.
     """
-    numbered = positions(sprints, list(order), "_n").select(
+    few = fits_broadcast(sprints)
+    numbered = positions(sprints, list(order), "_n", few).select(
         "_n", F.col("SPRINT_NAME").alias("RESOURCE_SPRINT_NAME"), F.col("STATE").alias("RESOURCE_STATE_SPRINT_NAME")
     )
     last = numbered.agg(F.max("_n")).scalar()
     seats = resources.withColumn("_n", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    grid = lookup(lookup(seats, numbered, "_n").drop("_n"), holidays, "RESOURCE_SPRINT_NAME")
+    grid = lookup(lookup(seats, numbered, "_n", small=few).drop("_n"), holidays, "RESOURCE_SPRINT_NAME")
     grid = grid.join(time_off, [name, "RESOURCE_SPRINT_NAME"], "left")
     return fill_zero(grid, "HOLIDAYS", "PTO").withColumns({
         "HOLIDAYS": F.col("HOLIDAYS").cast("int"), "PTO": F.col("PTO").cast("int"),
@@ -147,9 +148,10 @@ def utilisation(
     matched = match_worklogs(logs, hierarchy, carried)
     typed = matched.withColumn("UTILIZATION_TYPE", utilisation_type(root))
     typed = typed.withColumn("WORKLOG_TYPE", worklog_type())
-    placed = assign_interval(typed, intervals, time, "SPRINT_ASSIGNED", carry=("start", "end"))
+    small = listing_fits(intervals)
+    placed = assign_interval(typed, intervals, time, "SPRINT_ASSIGNED", carry=("start", "end"), small=small)
     seats = grid.withColumnsRenamed({"NAME": person, "RESOURCE_SPRINT_NAME": "SPRINT_ASSIGNED"})
     # Matching keeps every log, so the logs alone tell which seats are taken.
-    taken = assign_interval(logs.select(person, time), intervals, time, "SPRINT_ASSIGNED")
+    taken = assign_interval(logs.select(person, time), intervals, time, "SPRINT_ASSIGNED", small=small)
     out = full_outer(placed, seats, [person, "SPRINT_ASSIGNED"], left_keys=taken)
     return fill_by_column(out, {person: "Unknown"})

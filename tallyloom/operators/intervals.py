@@ -54,6 +54,7 @@ def assign_interval(
     closed: bool = False,
     carry: Sequence[str] = (),
     max_rows: int = MAX_BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add to each fact the label of the interval its instant falls in; null before the first and after the last.
 
@@ -64,13 +65,8 @@ def assign_interval(
     Facts and intervals meet on the day, not in a product of both: every interval is listed under each of its days. An
     open first interval is listed once, under a day before all others.
     """
-    day = F.to_date("start")
-    within = F.sequence(day, F.to_date("end"))
-    days = F.when(F.col("start").isNull(), F.array_append(
-        F.array(F.lit(BEFORE_ALL).cast("date")), F.to_date("end"))).otherwise(within)
-    listed = intervals.select(
-        F.explode(days).alias("_day"),
-        F.col("start").alias("_start"), F.col("end").alias("_end"), F.col("is_last").alias("_last"),
+    listed = _by_day(intervals).select(
+        "_listed_day", F.col("start").alias("_start"), F.col("end").alias("_end"), F.col("is_last").alias("_last"),
         F.col("label").alias(out), *[F.col(c).alias(f"{out}_{c}") for c in carry],
     )
     # The day the calendar's first bounded stretch begins: anything earlier meets the open interval.
@@ -80,11 +76,21 @@ def assign_interval(
     at = F.col(time)
     after_start = F.col("_start").isNull() | (at >= F.col("_start"))
     before_end = (at < F.col("_end")) | (F.col("_last") & (at == F.col("_end"))) if closed else at < F.col("_end")
-    matched = lookup_between(keyed, listed, after_start & before_end, max_rows)
+    # A join on the day, with the exact bounds as a further condition of the same join.
+    matched = lookup(
+        keyed, listed, (F.col("_day") == F.col("_listed_day")) & after_start & before_end, "left", max_rows, small
+    )
     return matched.select(*[F.col(c) for c in facts.columns], out, *[f"{out}_{c}" for c in carry])
 
 
-def lookup_between(keyed: DataFrame, listed: DataFrame, inside: Column, max_rows: int) -> DataFrame:
-    """Left join on the day with the exact bounds as a residual condition of the same join."""
-    listed = listed.withColumnRenamed("_day", "_listed_day")
-    return lookup(keyed, listed, (F.col("_day") == F.col("_listed_day")) & inside, "left", max_rows)
+def listing_fits(intervals: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether the intervals, listed by day, may be broadcast: for several assignments to the same calendar."""
+    return fits_broadcast(_by_day(intervals), max_rows)
+
+
+def _by_day(intervals: DataFrame) -> DataFrame:
+    """Every interval once per day it touches; an open first interval once, and once more on its last day."""
+    within = F.sequence(F.to_date("start"), F.to_date("end"))
+    opening = F.array(F.lit(BEFORE_ALL).cast("date"), F.to_date("end"))
+    days = F.when(F.col("start").isNull(), opening).otherwise(within)
+    return intervals.withColumn("_listed_day", F.explode(days))

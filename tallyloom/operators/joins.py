@@ -54,10 +54,14 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes:
 
 
 def lookup(
-    facts: DataFrame, reference: DataFrame, on: Keys | Column, how: str = "left", max_rows: int = MAX_BROADCAST_ROWS
+    facts: DataFrame, reference: DataFrame, on: Keys | Column, how: str = "left", max_rows: int = MAX_BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Join facts to a reference table (rules, lists, catalogues): without moving the facts if the table is small."""
-    if fits_broadcast(reference, max_rows):
+    """Join facts to a reference table (rules, lists, catalogues): without moving the facts if the table is small.
+
+    ``small`` is the answer of ``fits_broadcast``, for a caller that has asked already.
+    """
+    if fits_broadcast(reference, max_rows) if small is None else small:
         return facts.join(F.broadcast(reference), on if isinstance(on, Column) else _names(on), how)
     return facts.join(reference, on, how) if isinstance(on, Column) else skew_join(facts, reference, on, how)
 

@@ -85,6 +85,17 @@ def request_allocation(hourly_requests: DataFrame, lines: DataFrame, month: str)
     )
 
 
+def monthly_allocation(
+    counts: DataFrame, lines: DataFrame, month: str, environment: str, keys: Sequence[str] = ("tenantCode", "thingType"),
+    zone: str = LOCAL_ZONE,
+) -> DataFrame:
+    """Compute cost of a local month over its events at one rate, promotions kept out of the discounts."""
+    shared = allocate.allocate_monthly_flat(
+        counts, compute_costs(lines, "exact"), month, list(keys), cost_time="datetime_h", zone=zone
+    )
+    return shared.withColumn("environment", F.lit(environment))
+
+
 REPORT_MEASURES = {
     "total_cost": "cost",
     "total_compute_cost": "compute_cost",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.capacity import capacity_grid, time_off_per_sprint, utilisation, weekday_time_off
-from tallyloom.operators.intervals import assign_interval, build_intervals
+from tallyloom.operators.intervals import assign_interval, build_intervals, listing_fits
 from tallyloom.operators.joins import full_outer
 from tallyloom.operators.work import (
     issue_hierarchy, issue_wide, last_assignee, releases, spread_points, status_milestones, work_type,
@@ -65,8 +65,9 @@ def dated_hierarchy(t: Tracker, wide: DataFrame, root: str) -> DataFrame:
     """Hierarchy of a root type with the release its child sprint starts and ends in."""
     tree = issue_hierarchy(wide, t.links, root, LEVEL)
     calendar = build_intervals(releases(t.versions), "RELEASE_DATE", "VERSION_NAME")
-    dated = assign_interval(tree, calendar, "CHILD_START_DATE", "CHILD_SPRINT_DATE_VERSION", closed=True)
-    return assign_interval(dated, calendar, "CHILD_END_DATE", "CHILD_SPRINT_END_DATE_VERSION", closed=True)
+    small = listing_fits(calendar)
+    dated = assign_interval(tree, calendar, "CHILD_START_DATE", "CHILD_SPRINT_DATE_VERSION", closed=True, small=small)
+    return assign_interval(dated, calendar, "CHILD_END_DATE", "CHILD_SPRINT_END_DATE_VERSION", closed=True, small=small)
 
 
 def grid(t: Tracker) -> DataFrame:

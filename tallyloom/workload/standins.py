@@ -23,7 +23,7 @@ def plain(time: str | Column) -> Column:
 
 def units(amount: Column | str, per: int = 10_000) -> Column:
     """Money in whole small units. Sums of whole numbers are exact in any order, so both engines agree to the bit."""
-    return F.round((F.col(amount) if isinstance(amount, str) else amount) * F.lit(float(per)))
+    return F.rint((F.col(amount) if isinstance(amount, str) else amount) * F.lit(float(per)))
 
 
 # -- billing lines ---------------------------------------------------------------------------------------------------

@@ -6,7 +6,6 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyloom import schemas
-from tallyloom.operators.allocate import allocate_monthly_flat
 from tallyloom.operators.billing import project_cost_summary
 from tallyloom.operators.rules import rules_schema
 from tallyloom.plans import cost_jobs, event_job, work_job
@@ -101,11 +100,10 @@ def test_outputs_fill_their_declared_schemas(spark):
     counts = named.groupBy(*event_job.SETS["events_classification"]).agg(F.count(F.lit(1)).alias("event_count"))
     projects = spark.createDataFrame([("p", *["x"] * 12)], schemas.PROJECT_DIMENSION)
     sizes = spark.createDataFrame([(dt.datetime(2024, 1, 2), "t", "c", 1, 3, 1)], schemas.COLLECTION_SIZE)
-    flat = allocate_monthly_flat(counts, cost_jobs.compute_costs(billing(spark)), "2024-01", ["tenantCode", "thingType"], cost_time="datetime_h")
     outputs = [
         (cost_jobs.compute_allocation(counts, billing(spark)), schemas.ALLOCATED_EVENTS),
         (project_cost_summary(billing(spark), projects), schemas.PROJECT_COSTS),
-        (flat.withColumn("environment", F.lit("E")), schemas.MONTHLY_ALLOCATION),
+        (cost_jobs.monthly_allocation(counts, billing(spark), "2024-01", "E"), schemas.MONTHLY_ALLOCATION),
         (cost_jobs.storage_allocation(sizes, billing(spark), "E", "2024-01-02"), schemas.STORAGE_ALLOCATION),
     ]
     for df, schema in outputs:
@@ -121,6 +119,13 @@ def test_issues_are_shuffled_once_for_all_their_labels(spark, conf):
     assert plan.count("Exchange hashpartitioning(ISSUE_KEY") == 8
 
 
+def test_monthly_allocation(spark):
+    counts = spark.createDataFrame([(dt.datetime(2024, 1, 2, 10), "t", "ITEM", 3), (dt.datetime(2024, 2, 1, 7), "t", "ITEM", 1)],
+                                   "datetime_h timestamp, tenantCode string, thingType string, event_count bigint")
+    got = cost_jobs.monthly_allocation(counts, billing(spark), "2024-01", "E")
+    assert rows(got, "event_count_h", "cost_assigned", "cost_assigned_after_discount") == [(1, 26.75, 24.25), (3, 80.25, 72.75)]
+
+
 def test_request_allocation(spark):
     stats = spark.createDataFrame([("2024-01-02", "10", "a", 10, 1.0, 1), ("2024-01-02", "10", "b", 30, 1.0, 1), ("2024-02-02", "10", "b", 30, 1.0, 1)],
                                   "date string, hour string, host string, length_sum bigint, latency_mean double, call_count bigint")
