@@ -112,7 +112,7 @@ def allocate_by_component(
     owners = [c for c in sizes.columns if c not in keys and c != size]
     owned = sum_by(sizes, [*keys, *owners], {size: size})
     shared = share_of_total(owned, keys, size, "_all")
-    joined = full_outer(shared, pool, keys)
+    joined = full_outer(shared, pool, keys, left_keys=sizes)
     part = ratio(size, "_all")
     undivided = F.coalesce(whole, F.lit(False))
 

@@ -14,6 +14,7 @@ from tallyloom.operators.joins import full_outer
 from tallyloom.operators.work import (
     issue_hierarchy, issue_wide, last_assignee, releases, spread_points, status_milestones, work_type,
 )
+from tallyloom.session import settle
 
 LEVEL = (
     "ISSUE_STATUS_NAME", "CURRENT_ASSIGNEE_NAME", "SPRINT_NAME", "START_DATE", "END_DATE", "VERSION_NAME", "BU",
@@ -101,10 +102,10 @@ def logged_work(logs: DataFrame, ideas: DataFrame, seats: DataFrame, calendar: D
 
 
 def work_tracking(t: Tracker) -> dict[str, DataFrame]:
-    """All outputs of the job, by name."""
-    wide = wide_issues(t)
-    requests, ideas = dated_hierarchy(t, wide, "Product Request"), dated_hierarchy(t, wide, "Idea")
-    seats = grid(t)
+    """All outputs of the job, by name. What several of them read is computed once and settled."""
+    wide = settle(wide_issues(t))
+    requests, ideas = (settle(dated_hierarchy(t, wide, root)) for root in ("Product Request", "Idea"))
+    seats = settle(grid(t))
     kinds = t.issues.select(
         F.col("ISSUE_KEY").alias("ISSUE_KEY_LOGGED"), F.col("ISSUE_TYPE_NAME").alias("ISSUE_TYPE_NAME_LOGGED")
     )
