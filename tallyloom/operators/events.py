@@ -60,6 +60,21 @@ def route(events: DataFrame, out: str, routes: Sequence[Route], default: str = M
     return events.withColumn(out, case_first([(all_hold(r.when), r.take) for r in routes], default))
 
 
+def route_together(
+    events: DataFrame, outs: Sequence[str], table: Sequence[tuple], default: str = MISSING
+) -> DataFrame:
+    """Several answers from one list of conditions: rows of (condition, answer per column of ``outs``).
+
+    The conditions are tested once, for the number of the row that holds; the answers are picked by that number.
+    """
+    number = case_first([(all_hold(when), i) for i, (when, *_) in enumerate(table)])
+    picked = {
+        out: case_first([(F.col("_route") == i, row[n + 1]) for i, row in enumerate(table)], default)
+        for n, out in enumerate(outs)
+    }
+    return events.withColumn("_route", number).withColumns(picked).drop("_route")
+
+
 def content_site(
     events: DataFrame,
     reference: DataFrame,

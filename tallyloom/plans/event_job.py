@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import hour_of
 from tallyloom.operators.events import (
-    add_preaggregated, content_site, count_sets, pick_set, prepare_headers, require_event_columns, route, widen_events,
+    add_preaggregated, content_site, count_sets, pick_set, prepare_headers, require_event_columns, route_together,
+    widen_events,
 )
 from tallyloom.operators.rules import classify, classify_by_key
 from tallyloom.operators.shape import MISSING, rename
@@ -39,8 +40,7 @@ def classified_events(
     wide = require_event_columns(widen_events(prepare_headers(headers), attributes, keys), fixed.EVENT_KEYS)
     wide = content_site(wide, reference.where(F.col("key") == "bizLocation")).withColumn("premise_from_fixture", F.lit(""))
     named = classify(wide, rules, fixed.RULE_KEYS, fixed.RULE_TARGETS)
-    named = route(named, "EventSource", fixed.event_source_routes(routes))
-    named = route(named, "StoreCode", fixed.store_code_routes(routes))
+    named = route_together(named, ["EventSource", "StoreCode"], routes)
     return named.withColumn("datetime_h", hour_of("time"))
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.cases import pattern
 from tallyloom.functions.columns import segment, strip_zeros
-from tallyloom.operators.events import Route
 
 # Keys of the event attributes the standard jobs use.
 EVENT_KEYS = (
@@ -137,11 +136,3 @@ def event_routes(
         ({"thingType": "STOREATTRIBUTES", "bridgeKey_2": pattern("FTPBRIDGE%")}, "FTPBRIDGE", store_number),
         ({"thingType": "PRODUCT", "specName": list(product_specs), "bridgeKey_2": "SERVICES", **_PLAIN}, bridge, NO_STORE),
     ]
-
-
-def event_source_routes(routes: Sequence[tuple[dict, object, object]]) -> list[Route]:
-    return [Route(when, source) for when, source, _ in routes]
-
-
-def store_code_routes(routes: Sequence[tuple[dict, object, object]]) -> list[Route]:
-    return [Route(when, store) for when, _, store in routes]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import all_hold, case_first, case_last, contains_rules, pattern
 from tallyloom.operators.billing import map_component, map_subcomponent
-from tallyloom.operators.events import Route, bridge_family, route
+from tallyloom.operators.events import Route, bridge_family, route, route_together
 from tallyloom.operators.rules import classify, classify_by_key, rules_as_case, rules_schema
 
 KEYS, GUARDS, TARGETS = ["a", "b"], ["t_is", "t_not"], ["x", "y"]
@@ -86,6 +86,18 @@ def test_routes_answer_with_columns_or_literals(spark):
     assert rows(got, "k", "out") == [("a", "1"), ("b", "lit"), ("c", "N/A")]
 
 
+def test_answers_given_together_are_those_given_apart(spark):
+    df = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3"), (None, "4")], "k string, v string")
+    table = [({"k": "a"}, F.col("v"), "x"), ({"k": ["a", "b"]}, "lit", F.col("v"))]
+    got = route_together(df, ["one", "two"], table)
+    apart = df
+    for n, out in enumerate(["one", "two"]):
+        apart = route(apart, out, [Route(row[0], row[n + 1]) for row in table])
+    assert rows(got) == rows(apart) and got.columns == ["k", "v", "one", "two"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("k#") < apart._jdf.queryExecution().optimizedPlan().toString().count("k#")
+
+
 def test_bridge_family(spark):
     df = spark.createDataFrame([("/SERVICES",), ("/x/NAME",), ("/x",), ("",), (None,)], "b string")
     got = df.select("b", bridge_family("b").alias("f"))
