@@ -15,7 +15,7 @@ from tallyloom.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="4g",
+        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="4g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
     )
     session.sparkContext.setLogLevel("ERROR")
