@@ -131,6 +131,15 @@ def top_unmapped(
     return out.limit(limit) if limit else out
 
 
+def unmatched_share(df: DataFrame, columns: Sequence[str], missing: str) -> DataFrame:
+    """How much the rules missed: per column, rows, rows without an answer (null or ``missing``) and their share."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("answer")) for c in columns]))
+    asked = df.select(pairs.alias("p")).select("p.column", "p.answer")
+    unmatched = F.count(F.when(F.coalesce(F.col("answer"), F.lit(missing)) == missing, 1))
+    out = asked.groupBy("column").agg(F.count(F.lit(1)).alias("rows"), unmatched.alias("unmatched"))
+    return out.withColumn("share", share_pct("unmatched", "rows"))
+
+
 def positions(df: DataFrame, order: Sequence[str], out: str = "position", few: bool | None = None) -> DataFrame:
     """Number the rows of a whole table from 0 in ``order``.
 

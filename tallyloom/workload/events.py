@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import case_first, case_last, contains_rules, pattern, segment, strip_zeros
-from tallyloom.operators.aggregate import row_quality
+from tallyloom.operators.aggregate import row_quality, unmatched_share
 from tallyloom.operators.events import (
     Route, add_preaggregated, content_site, count_sets, hourly_event_counts, hourly_event_counts_local, identity, route,
     widen_events,
@@ -215,6 +215,25 @@ def rule_classify(spark: SparkSession, sf: str) -> DataFrame:
     return named.select("o_orderkey", *ORDER_TARGETS)
 
 
+@query("""
+WITH o AS (
+  SELECT o_orderstatus = 'P' AS feature, quarter(o_orderdate) <> 4 AND
+         NOT (o_totalprice >= 250000 AND c_mktsegment IN ('AUTOMOBILE', 'MACHINERY')) AS process,
+         c_acctbal < 0 AND r_name = 'AFRICA' AS internal
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+       LEFT JOIN region ON n_regionkey = r_regionkey
+), u AS (
+  SELECT 'feature' AS "column", feature AS missed FROM o UNION ALL SELECT 'process', process FROM o
+  UNION ALL SELECT 'internal', internal FROM o
+)
+SELECT "column", count(*) AS rows, count(*) FILTER (missed) AS unmatched, count(*) FILTER (missed) / count(*) * 100 AS share
+FROM u GROUP BY 1
+""")
+def rule_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    named = classify(orders_to_classify(spark, sf), order_rule_table(spark), ORDER_KEYS, ORDER_TARGETS)
+    return unmatched_share(named, ORDER_TARGETS, MISSING)
+
+
 NAME_RULES = (("bolt", "FASTENER"), ("r", "R-GROUP"), ("ring", "SEAL"), ("blue", "BLUE LINE"), ("gear", "DRIVE"))
 
 

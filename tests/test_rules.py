@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyloom.functions import all_hold, case_first, case_last, contains_rules, pattern
+from tallyloom.operators.aggregate import unmatched_share
 from tallyloom.operators.billing import map_component, map_subcomponent
 from tallyloom.operators.events import Route, bridge_family, route, route_together
 from tallyloom.operators.rules import classify, classify_by_key, rules_as_case, rules_schema
@@ -120,3 +121,8 @@ def test_list_lookup_by_joined_key(spark):
     events = spark.createDataFrame([("a", "b"), ("a", "c")], "x string, y string")
     listed = spark.createDataFrame([("a-b", "F")], "k string, feature string")
     assert rows(classify_by_key(events, listed, ["x", "y"], "k"), "x", "y", "feature") == [("a", "b", "F"), ("a", "c", None)]
+
+
+def test_unmatched_share(spark):
+    df = spark.createDataFrame([("a", "N/A"), (None, "b"), ("N/A", "c"), ("", "d")], "x string, y string")
+    assert rows(unmatched_share(df, ["x", "y"], "N/A")) == [("x", 4, 2, 50.0), ("y", 4, 1, 25.0)]
