@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import bpe_codec, packing, quality_classifier, quality_rules, sharding
+from tallyloom.llm import (
+    bpe_codec, exact_topk, license_scan, ngram_join, packing, pii, quality_classifier, quality_rules, sharding, token_counts,
+)
+from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +36,94 @@ def text_crc32() -> Column:
     return F.crc32(F.coalesce(F.col("text"), F.lit("")))
 
 
+def files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as a file in a tree of directories; each sixteenth is called LICENSE, at the level its number ends."""
+    k = F.col("doc_id")
+    place = F.when(k % 4096 == 0, F.lit("")).when(k % 256 == 0, F.concat(F.lit("/"), F.expr("doc_id div 256"))).otherwise(
+        F.concat(F.lit("/"), F.expr("doc_id div 256"), F.lit("/"), F.expr("doc_id div 16")))
+    name = F.when(k % 16 == 0, F.lit("LICENSE")).otherwise(F.concat(k.cast("string"), F.lit(".txt")))
+    path = F.concat(F.lit("/"), "source", F.lit("/"), "lang", place, F.lit("/"), name)
+    return read(spark, sf, "documents").select("doc_id", path.alias("path"), "text")
+
+
+def _license_sql() -> str:
+    idf, unknown, vectors = license_scan.template_weights(license_scan.TEMPLATES)
+    terms = ", ".join(f"('{t}', {w!r})" for t, w in sorted(idf.items()))
+    weights = ", ".join(f"('{name}', '{t}', {w!r})" for name, v in sorted(vectors.items()) for t, w in sorted(v.items()))
+    cue, special = license_scan.CUE, license_scan.LICENSE_FILE
+    return f"""
+WITH idf(term, idf) AS (VALUES {terms}), tpl(license, term, w) AS (VALUES {weights}),
+files AS (
+  SELECT doc_id, coalesce(text, '') AS text, '/' || source || '/' || lang ||
+    CASE WHEN doc_id % 4096 = 0 THEN '' WHEN doc_id % 256 = 0 THEN '/' || (doc_id // 256) ELSE '/' || (doc_id // 256) || '/' || (doc_id // 16) END
+    || '/' || CASE WHEN doc_id % 16 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS path FROM documents),
+named AS (SELECT *, regexp_replace(path, '/[^/]*$', '') AS dir, regexp_matches(regexp_extract(path, '[^/]*$'), '{special}') AS special FROM files),
+passages AS (
+  SELECT doc_id, unnest(list_distinct(list_concat(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{cue}')),
+    CASE WHEN special AND regexp_matches(text, '{cue}') THEN [text] ELSE [] END))) AS passage FROM named),
+words AS (SELECT doc_id, passage, unnest(list_filter(string_split_regex(lower(passage), '[^a-z0-9]+'), x -> x <> '')) AS term FROM passages),
+tf AS (SELECT doc_id, passage, term, count(*) AS n FROM words GROUP BY ALL),
+weighed AS (SELECT tf.*, n * coalesce(idf, {unknown!r}) AS w FROM tf LEFT JOIN idf USING (term)),
+norms AS (SELECT doc_id, passage, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
+scores AS (
+  SELECT doc_id, license, round(sum(weighed.w * tpl.w) / any_value(norm), {license_scan.DIGITS}) AS score
+  FROM weighed JOIN tpl USING (term) JOIN norms USING (doc_id, passage) GROUP BY doc_id, passage, license),
+best AS (SELECT doc_id, score, license FROM scores QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
+own AS (SELECT named.*, coalesce(score, 0.0) AS score, CASE WHEN score >= {license_scan.LEAST} THEN license END AS own_license
+  FROM named LEFT JOIN best USING (doc_id)),
+holders AS (SELECT dir AS holder, own_license AS given FROM own WHERE special AND own_license IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) = 1),
+near AS (SELECT o.doc_id, holder, given FROM own o JOIN holders h ON o.dir = holder OR starts_with(o.dir, holder || '/')
+  QUALIFY row_number() OVER (PARTITION BY o.doc_id ORDER BY length(holder) DESC) = 1)
+SELECT doc_id, path, own_license, score, coalesce(own_license, given) AS license,
+  CASE WHEN own_license IS NULL THEN holder END AS inherited_from
+FROM own LEFT JOIN near USING (doc_id)
+"""
+
+
+@query(_license_sql())
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(files(spark, sf)).drop("text")
+
+
+SPLIT = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+
+
+@query(f"""
+WITH d AS (
+  SELECT source, lang, len({SPLIT.format("coalesce(text, '')")}) AS n,
+    len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')) AS marks,
+    len({SPLIT.format("array_to_string(list_distinct(string_split(coalesce(text, ''), chr(10))), chr(10))")}) AS lines
+  FROM documents),
+c AS (
+  SELECT source, lang, 'words-1' AS version, 1 AS docs, lines AS tokens FROM d WHERE n >= 20
+  UNION ALL SELECT source, lang, 'marks-1', 1, marks FROM d WHERE n >= 20)
+SELECT source, lang, version, sum(docs)::BIGINT AS docs, sum(tokens)::BIGINT AS tokens FROM c GROUP BY ALL
+""")
+def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents come in, short ones go, counts are revised to distinct lines, a second tokenizer joins; two batches twice."""
+    docs, root, text = read(spark, sf, "documents"), scratch_path(spark, "token-counts"), F.col("text")
+    words = docs.select("source", "lang", "text", F.lit("words-1").alias("version"), token_counts.word_tokens(text).alias("n"))
+
+    def changes(rows: DataFrame, change: str, tokens: str | Column, old: str | Column | None = None) -> DataFrame:
+        old = F.lit(None).cast("long") if old is None else old
+        return rows.select("source", "lang", "version", F.lit(change).alias("change"), F.col(tokens).alias("tokens") if isinstance(tokens, str) else tokens.alias("tokens"),
+                           F.col(old).alias("old_tokens") if isinstance(old, str) else old.alias("old_tokens"))
+
+    long = words.where("n >= 20")
+    batches = {
+        "1-insert": changes(words, "insert", "n"),
+        "2-delete": changes(words.where("n < 20"), "delete", "n"),
+        "3-revise": changes(long, "revise", token_counts.word_tokens(token_counts.distinct_lines(text)), "n"),
+        "4-marks": changes(long.withColumn("version", F.lit("marks-1")), "insert", token_counts.mark_tokens(text)),
+    }
+    for name, batch in batches.items():
+        token_counts.commit(batch, root, name)
+    for name in ("1-insert", "3-revise"):
+        token_counts.commit(batches[name], root, name)
+    return token_counts.totals(spark, root)
+
+
 @query()
 def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
     out = sharding.shard(read(spark, sf, "documents"), shards=24)
@@ -58,15 +149,55 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+@query("""
+WITH v AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum([a * b for a, b in zip])::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s QUALIFY rank <= 10
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+""".replace("list_sum([a * b for a, b in zip])", "list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))"))
+def op6_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = read(spark, sf, "embeddings")
+    return exact_topk.top_k(vectors.where("vec_id % 100 = 0"), vectors, 10)
+
+
 @query()
-def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
-    out = packing.pack(read(spark, sf, "documents"), bpe_codec.vocabulary(spark, VOCABULARY))
-    return out.select(
+def op7_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query()
+def op8_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find(read(spark, sf, "documents").select("doc_id", "text"))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(listed(of(*pii.KINDS[:4])), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def packed_digest(pieces: DataFrame) -> DataFrame:
+    return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "continues_document",
         "continued")
 
 
+@query()
+def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packed_digest(packing.pack(read(spark, sf, "documents"), bpe_codec.vocabulary(spark, VOCABULARY)))
+
+
 @query()
 def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     out = quality_classifier.resample(read(spark, sf, "documents"), read(spark, sf, "labels"))
     return out.select("doc_id", "n_grams", "log_weight", "sample_key", "selected")
+
+
+@query()
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, sf)

@@ -5,8 +5,7 @@ bucket (Fisher-Yates, seeded by seed and bucket) and writes it. A record's place
 its place in the bucket; shard s holds the s-th of ``shards`` equal ranges of places, so counts differ by one at most.
 
 Defined results: equal seeds and records give equal shards, in whatever order the records come. Records that are equal in every
-column are told apart by a running number if they are more than one in ``CROWD`` of all rows, so that no bucket fills with
-them; which copy gets which place doesn't matter. Null texts count no bytes. An empty table gives no shards. All columns are
+column are told apart by a running number if there are many of them (``CROWD``), so that no bucket fills with them; which copy gets which place doesn't matter. Null texts count no bytes. An empty table gives no shards. All columns are
 kept; those named like a result are replaced.
 """
 
@@ -22,8 +21,9 @@ from tallyloom.llm.offsets import join_offsets, running_offsets
 from tallyloom.session import scratch_path
 
 BUCKET_BYTES = 16 << 20
-#: Records that make up more than one in so many rows are scattered copy by copy; there are at most as many of them.
-CROWD = 4096
+#: Records that make up more than one in ``CROWD`` of all rows, and more than ``CROWD_ROWS``, are scattered copy by copy. There
+#: are fewer than ``CROWD`` of them.
+CROWD, CROWD_ROWS = 4096, 1000
 RESULTS = ("size", "shard", "slot")
 
 
@@ -36,7 +36,7 @@ def scatter(docs: DataFrame, seed: int, bucket_bytes: int) -> tuple[DataFrame, i
     rows, size = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     buckets = max(1, -(-size // bucket_bytes))
     counts = sized.groupBy("__hash").count()
-    crowded = [r[0] for r in counts.where(F.col("count") > max(1, rows // CROWD)).select("__hash").limit(CROWD).collect()]
+    crowded = [r[0] for r in counts.where(F.col("count") > max(CROWD_ROWS, rows // CROWD)).select("__hash").limit(CROWD).collect()]
     number = F.when(F.col("__hash").isin(crowded), F.monotonically_increasing_id()).otherwise(0) if crowded else F.lit(0)
     bucket = F.pmod(F.xxhash64(F.lit(seed), "__hash", number), F.lit(buckets))
     return sized.withColumn("__bucket", bucket), rows, buckets
