@@ -31,6 +31,7 @@ BANDS, ROWS = 32, 5
 STEP, TOLERANCE = 32, 1e-7
 #: Classes and shingles that one block of a cell holds, on average.
 BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 2_000_000
+BROADCAST_ROWS = 500_000
 SKETCH = "doc_id bigint, th bigint, cls binary, n bigint, sig binary"
 _RANDOM = np.random.Generator(np.random.PCG64(11))
 FACTORS = _RANDOM.integers(0, 2**32, BANDS * ROWS, np.uint32) | np.uint32(1)
@@ -189,6 +190,11 @@ def compare(cell: pa.Table) -> pa.Table:
     })
 
 
+def small(rows: DataFrame) -> DataFrame:
+    """Broadcast if there are few rows (some 100 bytes each); the same join runs shuffled beyond that."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``cls`` and ``root``, the smallest class connected with it, for all classes in ``edges`` (columns ``cls``, ``root``).
 
@@ -231,11 +237,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "cls", "band", "key", F.pmod(F.xxhash64(F.lit(2), "cls"), F.col("blocks")).cast("int").alias("block"), "blocks")
     members = settle(members)
 
-    # Texts of the classes that have a candidate; the set is computed again from the text, and its class with it.
-    wanted = members.select("cls").distinct().join(classes.select("cls", "rep", "sig", "copies"), "cls")
-    wanted = wanted.select(F.col("rep.doc_id").alias("__id"), F.col("rep.th").alias("__th"), "cls", "sig", "copies")
+    # Texts of the classes that have a candidate; set and values are computed again from the text, and the class with them.
+    wanted = members.select("cls").distinct().join(classes.select("cls", "rep", "copies"), "cls")
+    wanted = settle(wanted.select(F.col("rep.doc_id").alias("__id"), F.col("rep.th").alias("__th"), "cls", "copies"))
     texts = keyed(docs).select("doc_id", "th", "text")
-    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["__id"]) & (texts["th"] == wanted["__th"]))
+    texts = texts.join(small(wanted), texts["doc_id"].eqNullSafe(wanted["__id"]) & (texts["th"] == wanted["__th"]))
 
     def sets(batches):
         hashes = WordHashes()
@@ -243,10 +249,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             found = [shingles(t, hashes) for t in batch.column("text").to_pylist()]
             right = [digest(s) == c for s, c in zip(found, batch.column("cls").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("cls", "sig", "copies")), pa.array([s.tobytes() for s in found], pa.binary())],
-                ["cls", "sig", "copies", "shingles"]).filter(pa.array(right))
+                [batch.column("cls"), batch.column("copies"), pa.array([minhashes(s).tobytes() for s in found], pa.binary()),
+                 pa.array([s.tobytes() for s in found], pa.binary())],
+                ["cls", "copies", "sig", "shingles"]).filter(pa.array(right, pa.bool_()))
 
-    full = texts.select("text", "cls", "sig", "copies").mapInArrow(sets, "cls binary, sig binary, copies bigint, shingles binary")
+    full = texts.select("text", "cls", "copies").mapInArrow(sets, "cls binary, copies bigint, sig binary, shingles binary")
     full = full.dropDuplicates(["cls"])
     cells = members.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     cells = cells.select("cls", "band", "key", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
@@ -266,10 +273,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group, the one of smallest id, and all documents without words; columns as they came."""
-    found = near_duplicates(docs)
-    chosen = found.where("grp is not null").groupBy("grp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("c"))
-    chosen = chosen.select(F.col("c.doc_id").alias("__id"), F.col("c.th").alias("__chosen")).distinct()
+    rows = near_duplicates(docs).where("grp is not null").groupBy("grp", "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
+    chosen = rows.groupBy("grp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th", "n")).alias("c"))
+    chosen = settle(chosen.select(F.col("c.doc_id").alias("__id"), F.col("c.th").alias("__chosen"), (F.col("c.n") > 1).alias("__many")))
     own = docs.withColumn("__th", F.xxhash64("text")).withColumn("__words", F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    kept = own.where("__words").join(chosen, own["doc_id"].cast("long").eqNullSafe(chosen["__id"]) & (own["__th"] == chosen["__chosen"]), "left_semi")
-    kept = kept.dropDuplicates(["doc_id", "__th"])
-    return kept.unionByName(own.where("not __words")).select(*docs.columns)
+    kept = own.where("__words").join(small(chosen), own["doc_id"].cast("long").eqNullSafe(chosen["__id"]) & (own["__th"] == chosen["__chosen"]))
+    # Only rows that occur again are gathered, to keep one of them.
+    once = kept.where("not __many").unionByName(kept.where("__many").dropDuplicates(["doc_id", "__th"]))
+    return once.select(*docs.columns).unionByName(own.where("not __words").select(*docs.columns))
