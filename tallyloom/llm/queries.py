@@ -135,8 +135,10 @@ def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op4_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
     docs, shared = read(spark, sf, "documents").select("doc_id", "text"), bpe_codec.vocabulary(spark, VOCABULARY)
-    encoded = bpe_codec.encode(docs, shared, bpe_codec.fit_lexicon(docs, shared)).drop("text")
-    out = bpe_codec.decode(encoded, shared)
+    path = scratch_path(spark, "encoded")
+    encoded = bpe_codec.encode(docs, shared, bpe_codec.fit_lexicon(docs, shared)).select("doc_id", "ids")
+    encoded.write.option("compression", "zstd").parquet(path)
+    out = bpe_codec.decode(spark.read.parquet(path), shared)
     return out.select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))

@@ -5,8 +5,9 @@ bucket (Fisher-Yates, seeded by seed and bucket) and writes it. A record's place
 its place in the bucket; shard s holds the s-th of ``shards`` equal ranges of places, so counts differ by one at most.
 
 Defined results: equal seeds and records give equal shards, in whatever order the records come. Records that are equal in every
-column are told apart by a running number if there are many of them (``CROWD``), so that no bucket fills with them; which copy gets which place doesn't matter. Null texts count no bytes. An empty table gives no shards. All columns are
-kept; those named like a result are replaced.
+column are told apart by a running number if there are many of them (``CROWD``), so that no bucket fills with them; which copy
+gets which place doesn't matter. Null texts count no bytes. An empty table gives no shards. All columns are kept; those named
+like a result are replaced.
 """
 
 from __future__ import annotations
