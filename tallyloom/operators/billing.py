@@ -17,7 +17,10 @@ STORAGE_MARK = "SSD"
 
 
 def flatten_billing(lines: DataFrame, resource: bool = False) -> DataFrame:
-    """Nested billing lines to flat columns with the first two credits. Only the struct fields named here are read."""
+    """Nested billing lines to flat columns: the first two credits, and type and amount of any further ones in ``credits_rest``.
+
+    Only the struct fields named here are read.
+    """
     columns = [
         F.col("service.description").alias("service_description"),
         F.col("sku.description").alias("sku_description"),
@@ -31,6 +34,10 @@ def flatten_billing(lines: DataFrame, resource: bool = False) -> DataFrame:
     for i in (1, 2):
         credit = nth("credits", i - 1)
         columns += [credit[f].alias(f"credits_{i}_{f}") for f in ("name", "amount", "type")]
+    further = F.greatest(F.size("credits") - 2, F.lit(0))
+    rest = F.arrays_zip(
+        F.slice("credits.type", 3, further).alias("type"), F.slice("credits.amount", 3, further).alias("amount"))
+    columns.append(rest.alias("credits_rest"))
     if resource:
         columns += [
             F.col("resource.name").alias("resource_name"),
@@ -43,11 +50,26 @@ def _types_and_amounts() -> list[tuple[Column, Column]]:
     return [(F.col(f"credits_{i}_type"), F.col(f"credits_{i}_amount")) for i in (1, 2)]
 
 
+def _further(flat: DataFrame, hit) -> tuple[Column, Column]:
+    """Whether a credit beyond the second hits, and the sum of those that do (null if an amount is missing)."""
+    if "credits_rest" not in flat.columns:
+        return F.lit(False), F.lit(0.0)
+    hits = F.filter("credits_rest", lambda c: F.coalesce(hit(c["type"]), F.lit(False)))
+    return F.coalesce(F.size(hits) > 0, F.lit(False)), F.aggregate(hits, F.lit(0.0), lambda a, c: a + c["amount"].cast("double"))
+
+
+def _sum_further(flat: DataFrame, hit) -> Column:
+    """The same with missing amounts as 0."""
+    if "credits_rest" not in flat.columns:
+        return F.lit(0.0)
+    return F.coalesce(F.aggregate("credits_rest", F.lit(0.0), lambda a, c: a + F.when(
+        F.coalesce(hit(c["type"]), F.lit(False)), F.coalesce(c["amount"].cast("double"), F.lit(0.0))).otherwise(0.0)), F.lit(0.0))
+
+
 def _sum_where(hits: Sequence[Column], amounts: Sequence[Column]) -> Column:
-    """The amount of the credit that hits, the sum when both do, 0 when none does or an amount taken is missing."""
-    first, second = [F.coalesce(h, F.lit(False)) for h in hits]
-    taken = case_first([(first & second, amounts[0] + amounts[1]), (first, amounts[0]), (second, amounts[1])])
-    return F.coalesce(taken, F.lit(0.0))
+    """The sum of the amounts whose credit hits, 0 when none does or an amount taken is missing."""
+    taken = [F.when(F.coalesce(h, F.lit(False)), a).otherwise(F.lit(0.0)) for h, a in zip(hits, amounts)]
+    return F.coalesce(sum(taken[1:], taken[0]), F.lit(0.0))
 
 
 def split_credits(flat: DataFrame, policy: str = "like") -> DataFrame:
@@ -58,15 +80,19 @@ def split_credits(flat: DataFrame, policy: str = "like") -> DataFrame:
     """
     (t1, a1), (t2, a2) = _types_and_amounts()
     if policy == "like":
-        discount = _sum_where([t1.like("%DISCOUNT%"), t2.like("%DISCOUNT%")], [a1, a2])
-        promotion = _sum_where([t1.like("%PROMOTION%"), t2.like("%PROMOTION%")], [a1, a2])
+        parts = {}
+        for kind in ("%DISCOUNT%", "%PROMOTION%"):
+            more, amount = _further(flat, lambda t, kind=kind: t.like(kind))
+            parts[kind] = _sum_where([t1.like(kind), t2.like(kind), more], [a1, a2, amount])
+        discount, promotion = parts["%DISCOUNT%"], parts["%PROMOTION%"]
     elif policy == "exact":
         zero = F.lit(0.0)
         parts = [(F.coalesce(t == "PROMOTION", F.lit(False)), F.coalesce(a, zero)) for t, a in _types_and_amounts()]
-        promotion = sum((F.when(hit, a).otherwise(zero) for hit, a in parts), zero)
-        discount = sum((F.when(hit, zero).otherwise(a) for hit, a in parts), zero)
+        is_promotion = lambda t: F.coalesce(t == "PROMOTION", F.lit(False))
+        promotion = sum((F.when(hit, a).otherwise(zero) for hit, a in parts), _sum_further(flat, is_promotion))
+        discount = sum((F.when(hit, zero).otherwise(a) for hit, a in parts), _sum_further(flat, lambda t: ~is_promotion(t)))
     elif policy == "all":
-        discount = F.coalesce(a1, F.lit(0.0)) + F.coalesce(a2, F.lit(0.0))
+        discount = F.coalesce(a1, F.lit(0.0)) + F.coalesce(a2, F.lit(0.0)) + _sum_further(flat, lambda t: F.lit(True))
         promotion = F.lit(0.0)
     else:
         raise ValueError(f"unknown credit policy: {policy}")

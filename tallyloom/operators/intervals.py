@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.aggregate import positions
-from tallyloom.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast, lookup
+from tallyloom.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup
 from tallyloom.session import settle
 
 BEFORE_ALL = "0001-01-01"
@@ -20,7 +20,7 @@ def build_intervals(
     name: str,
     first_start: Column | None = None,
     numbered: bool = True,
-    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Consecutive intervals ending at each boundary: ``ordinal, label, start, end, is_last``.
 
@@ -29,7 +29,7 @@ def build_intervals(
     """
     rows = calendar.select(F.col(boundary).alias("end"), F.col(name).alias("_name")).where(F.col("end").isNotNull())
     rows = settle(rows)  # a calendar is read several times from here on, and may have been derived from a large table
-    few = fits_broadcast(rows, max_rows)
+    few = fits_broadcast(rows, max_bytes)
     placed = positions(rows, ["end", "_name"], "ordinal", few)
     if few:
         whole = Window.orderBy("ordinal")
@@ -53,7 +53,7 @@ def assign_interval(
     out: str,
     closed: bool = False,
     carry: Sequence[str] = (),
-    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
     small: bool | None = None,
 ) -> DataFrame:
     """Add to each fact the label of the interval its instant falls in; null before the first and after the last.
@@ -78,14 +78,14 @@ def assign_interval(
     before_end = (at < F.col("_end")) | (F.col("_last") & (at == F.col("_end"))) if closed else at < F.col("_end")
     # A join on the day, with the exact bounds as a further condition of the same join.
     matched = lookup(
-        keyed, listed, (F.col("_day") == F.col("_listed_day")) & after_start & before_end, "left", max_rows, small
+        keyed, listed, (F.col("_day") == F.col("_listed_day")) & after_start & before_end, "left", max_bytes, small
     )
     return matched.select(*[F.col(c) for c in facts.columns], out, *[f"{out}_{c}" for c in carry])
 
 
-def listing_fits(intervals: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+def listing_fits(intervals: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Whether the intervals, listed by day, may be broadcast: for several assignments to the same calendar."""
-    return fits_broadcast(_by_day(intervals), max_rows)
+    return fits_broadcast(_by_day(intervals), max_bytes)
 
 
 def _by_day(intervals: DataFrame) -> DataFrame:

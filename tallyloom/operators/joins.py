@@ -2,13 +2,13 @@
 
 Rules followed here:
 
-* a reference table is broadcast only after its rows and bytes were measured against a bound; beyond the bound the same
-  join runs shuffled, and adaptive execution splits its oversized partitions;
+* a reference table is broadcast only if Catalyst's estimate of its bytes is within a bound; beyond the bound the same join
+  runs shuffled, and adaptive execution splits its oversized partitions, or broadcasts what has turned out small;
 * adaptive execution splits a join only where both sides were shuffled for that very join. A side that was just
   aggregated by the join key is not shuffled again, so ``skew_join`` gives both sides a second, equivalent key;
 * adaptive execution can split only the preserved side of an outer join, and no side of a full outer join. Where the
-  other side has a hot key, ``left_fan_out`` and ``full_outer`` are written with joins that can be split. A sample of the
-  keys decides which way is taken; both ways give every row.
+  other side may have a hot key, ``left_fan_out`` and ``full_outer`` are written with joins that can be split. Its estimated
+  size decides which way is taken; both ways give every row, and choosing runs no job.
 """
 
 from __future__ import annotations
@@ -17,12 +17,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 500_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_ROWS = 1_000_000
-HOT_SAMPLE = 0.001
+# By estimate, which goes by compressed files; what turns out small only at run time is left to adaptive execution.
+MAX_BROADCAST_BYTES = 8 * 1024 * 1024
+HOT_BYTES = 256 * 1024 * 1024
 
 Keys = str | Sequence[str]
 
@@ -31,37 +29,25 @@ def _names(on: Keys) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def _width(field: T.StructField) -> Column:
-    """Bytes a value takes, roughly."""
-    c = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.StringType):
-        return F.coalesce(F.octet_length(c), F.lit(0))
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
-    return F.lit(8)
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of a frame's size, from file sizes and the plan. Asking runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Measure rows, then the bytes of a table that has few.
-
-    Counting the rows of a plain table reads no column, so asking about a large one costs next to nothing. Every task
-    reports a single number.
-    """
-    if df.agg(F.count(F.lit(1))).first()[0] > max_rows:
-        return False
-    width = sum((_width(f) for f in df.schema.fields), F.lit(0))
-    return (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes
+def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether the estimate is within the bound. Estimates of joined frames are far too high, never too low by much."""
+    return estimated_bytes(df) <= max_bytes
 
 
 def lookup(
-    facts: DataFrame, reference: DataFrame, on: Keys | Column, how: str = "left", max_rows: int = MAX_BROADCAST_ROWS,
+    facts: DataFrame, reference: DataFrame, on: Keys | Column, how: str = "left", max_bytes: int = MAX_BROADCAST_BYTES,
     small: bool | None = None,
 ) -> DataFrame:
     """Join facts to a reference table (rules, lists, catalogues): without moving the facts if the table is small.
 
     ``small`` is the answer of ``fits_broadcast``, for a caller that has asked already.
     """
-    if fits_broadcast(reference, max_rows) if small is None else small:
+    if fits_broadcast(reference, max_bytes) if small is None else small:
         return facts.join(F.broadcast(reference), on if isinstance(on, Column) else _names(on), how)
     return facts.join(reference, on, how) if isinstance(on, Column) else skew_join(facts, reference, on, how)
 
@@ -91,27 +77,24 @@ def spread_nulls(key: Column | str, *seed: Column | str, salts: int = 1024) -> C
     return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000null-"), salt))
 
 
-def has_hot_key(df: DataFrame, on: Keys, hot_rows: int = HOT_ROWS, sample: float = HOT_SAMPLE) -> bool:
-    """Whether some key (null included) has about ``hot_rows`` rows, judged by a sample of the key columns."""
-    keys = df.select(*_names(on))
-    seen = keys.sample(sample, seed=7) if sample < 1 else keys
-    counts = seen.groupBy(*_names(on)).agg(F.count(F.lit(1)).alias("_n"))
-    return not counts.where(F.col("_n") >= hot_rows * sample).isEmpty()
+def may_have_hot_key(df: DataFrame, hot_bytes: int = HOT_BYTES) -> bool:
+    """Whether the rows of one key can be too many for a task: no key has more bytes than the whole frame."""
+    return estimated_bytes(df) >= hot_bytes
 
 
 def left_fan_out(
     parents: DataFrame, children: DataFrame, on: Keys, child_keys: DataFrame | None = None, hot: bool | None = None,
-    hot_rows: int = HOT_ROWS, sample: float = HOT_SAMPLE,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Left join of parents to many children, where one parent may own a large part of the children.
 
-    With a hot parent it is the inner join, of which either side can be split, plus the childless parents.
+    Where a parent may be hot it is the inner join, of which either side can be split, plus the childless parents.
     ``child_keys`` may name a cheaper frame with the same set of keys as ``children``; ``hot`` is given where it is known.
     """
     names = _names(on)
     keys = (children if child_keys is None else child_keys).select(*names)
     if hot is None:
-        hot = has_hot_key(keys.where(_all_present(names)), names, hot_rows, sample)
+        hot = may_have_hot_key(keys, hot_bytes)
     if not hot:
         return parents.join(children, names, "left")
     matched = skew_join(parents, children, names, "inner")
@@ -128,17 +111,17 @@ def _all_present(names: Sequence[str]) -> Column:
 
 def full_outer(
     left: DataFrame, right: DataFrame, on: Keys, left_keys: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS, sample: float = HOT_SAMPLE,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Full outer join (USING) of many rows to a side with few rows per key.
 
-    With a hot key on the left, the keys only the right has are first added to the left as empty rows; a left join, of
+    Where the left may have a hot key, the keys only the right has are first added to the left as empty rows; a left join, of
     which the left can be split, then finds every partner. ``left_keys`` may name a cheaper frame with the same set of
     keys as ``left``.
     """
     names = _names(on)
     keys = (left if left_keys is None else left_keys).select(*names)
-    if not has_hot_key(keys, names, hot_rows, sample):
+    if not may_have_hot_key(keys, hot_bytes):
         return left.join(right, names, "full_outer")
     orphans = right.select(*names).where(_all_present(names)).distinct().join(keys.distinct(), names, "left_anti")
     matched = skew_join(left.unionByName(orphans, allowMissingColumns=True), right, names, "left")

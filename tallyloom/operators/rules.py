@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.cases import case_first, all_hold
-from tallyloom.operators.joins import MAX_BROADCAST_ROWS, fits_broadcast, lookup, skew_join
+from tallyloom.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup, skew_join
 from tallyloom.operators.shape import MISSING
 
 IS, NOT = "_is", "_not"
@@ -56,7 +56,7 @@ def classify(
     keys: Sequence[str],
     targets: Sequence[str],
     default: str = MISSING,
-    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add one column per target: the value of the first rule (lowest ``priority``) that holds, else ``default``.
 
@@ -64,7 +64,7 @@ def classify(
     targets are answered by a single join.
     """
     guards = guard_columns(rules, keys)
-    if fits_broadcast(rules, max_rows):
+    if fits_broadcast(rules, max_bytes):
         # A measured small table is prepared in one task, without a shuffle, and its events stay where they are.
         table, slots = rule_slots(rules.coalesce(1), keys, targets)
         joined = events.join(F.broadcast(table), list(keys), "left")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.cases import case_first, case_last
 from tallyloom.functions.columns import ratio, seconds_to_hours
 from tallyloom.operators.aggregate import delimited_values, last_per_key
-from tallyloom.operators.joins import has_hot_key, left_fan_out, skew_join
+from tallyloom.operators.joins import left_fan_out, may_have_hot_key, skew_join
 from tallyloom.operators.shape import prefix_columns
 
 # Work type of an issue type for planned work.
@@ -129,7 +129,7 @@ def issue_hierarchy(
     below = issues.where((F.col(issue_type) != root) & F.col(parent).isNotNull()).select(key, parent, *level)
     children = prefix_columns(below, "CHILD_").withColumnRenamed("CHILD_" + parent, "LINKED_1_" + key)
     subs = prefix_columns(below.distinct(), "SUB_").withColumnRenamed("SUB_" + parent, "CHILD_" + key)
-    hot = has_hot_key(below, parent)
+    hot = may_have_hot_key(below)
     family = left_fan_out(children, subs, "CHILD_" + key, hot=hot)
     tree = left_fan_out(rooted, family, "LINKED_1_" + key, child_keys=children, hot=hot)
     return tree.withColumn("TOTAL_" + points, deepest_present([

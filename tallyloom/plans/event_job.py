@@ -16,7 +16,7 @@ from tallyloom.operators.rules import classify, classify_by_key
 from tallyloom.operators.shape import MISSING, rename
 from tallyloom.plans import fixed_values as fixed
 from tallyloom.session import settle
-from tallyloom.sinks import append_day, write_selected
+from tallyloom.sinks import append_day, must_succeed, write_selected
 
 TAXONOMY = ("FeatureSet", "Process", "SubProcess", "EventSource", "StoreCode", "Is_InternalEvent")
 SETS = {
@@ -53,15 +53,20 @@ def listed_events(headers: DataFrame, attributes: DataFrame, process_list: DataF
 
 
 def write_counts(
-    classified: DataFrame, preaggregated: DataFrame, paths: dict[str, str], output: str = "All", day: str = "event_date"
+    classified: DataFrame, preaggregated: DataFrame, paths: dict[str, str], environment: str, process_date: str,
+    output: str = "All",
 ) -> dict[str, str]:
-    """Write the selected counts. Both come from one pass over the events, settled once and read per output."""
+    """Write the selected counts. Both come from one pass over the events, settled once and read per output.
+
+    Rows go to the partition of the environment and of the day that was processed, not of the event: events whose header
+    is missing have no time. So a run replaces what the same run has written before, and nothing else.
+    """
     wanted = dict(SETS) if output == "All" else {output: SETS[output]}
     counted = settle(count_sets(classified, wanted))
     frames = {n: pick_set(counted, wanted, n) for n in wanted}
     if "events_classification" in frames:
         frames["events_classification"] = add_preaggregated(frames["events_classification"], preaggregated)
-    return write_selected({
-        n: (lambda df=df, n=n: append_day(df.withColumn(day, F.to_date("datetime_h")), paths[n], day))
-        for n, df in frames.items()
-    }, output)
+    run = {"environment": F.lit(environment), "process_date": F.lit(process_date).cast("date")}
+    return must_succeed(write_selected({
+        n: (lambda df=df, n=n: append_day(df.withColumns(run), paths[n], list(run))) for n, df in frames.items()
+    }, output))

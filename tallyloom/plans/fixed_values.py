@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.cases import pattern
 from tallyloom.functions.columns import segment, strip_zeros
+from tallyloom.operators.shape import MISSING
 
 # Keys of the event attributes the standard jobs use.
 EVENT_KEYS = (
@@ -103,13 +104,15 @@ _ALE = {"bridgeKey_2": pattern("ALEB%")}
 
 def event_routes(
     listed_sources: Sequence[str], item_sources: Sequence[str], app_specs: Sequence[str], reader_specs: Sequence[str],
-    product_specs: Sequence[str],
+    product_specs: Sequence[str], item_store_sources: Sequence[str] | None = None,
 ) -> list[tuple[dict, object, object]]:
     """(condition, event source, store code): the first condition that holds decides both.
 
     Parameters are what differs between installations: the source codes of listed partners, the specs of the mobile
-    app, of fixed readers and of product feeds.
+    app, of fixed readers and of product feeds. Items of a partner in ``item_sources`` have an event source, those of one in
+    ``item_store_sources`` (the same ones if not given) a store code.
     """
+    stores = list(item_sources if item_store_sources is None else item_store_sources)
     source, bridge, store_number = F.col("source"), F.col("bridgeKey_2"), F.col("Retail_StoreNumber")
     premise, fixture = strip_zeros("Retail_Premise"), strip_zeros("premise_from_fixture")
     stock, content = strip_zeros("Retail_SOHStoreNumber"), strip_zeros("premise_from_biz")
@@ -121,7 +124,9 @@ def event_routes(
     return [
         ({"thingType": "EPCISEVENT", **epcis, "source": list(listed_sources)}, source, premise),
         ({"thingType": "ITEM", **app}, source, fixture),
-        ({"thingType": "ITEM", **epcis, "source": list(item_sources)}, source, premise),
+        ({"thingType": "ITEM", **epcis, "source": [s for s in item_sources if s in stores]}, source, premise),
+        ({"thingType": "ITEM", **epcis, "source": [s for s in item_sources if s not in stores]}, source, MISSING),
+        ({"thingType": "ITEM", **epcis, "source": [s for s in stores if s not in item_sources]}, MISSING, premise),
         ({"thingType": "ITEM", "specName": "POE_IINTERFACE", **_PLAIN, "source": "FLOW_ALE"}, source, door),
         ({"thingType": "ITEM", "specName": "POS_IINTERFACE", **_PLAIN, "source": "FLOW"}, source, area),
         ({"thingType": "ITEM", "specName": list(reader_specs), **_ALE, "source": "N/A"}, reader, reader_store),

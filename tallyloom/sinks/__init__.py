@@ -1,3 +1,3 @@
-from tallyloom.sinks.tables import append, append_day, conform, overwrite, write_all, write_selected
+from tallyloom.sinks.tables import append, append_day, conform, must_succeed, overwrite, write_all, write_selected
 
-__all__ = ["append", "append_day", "conform", "overwrite", "write_all", "write_selected"]
+__all__ = ["append", "append_day", "conform", "must_succeed", "overwrite", "write_all", "write_selected"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,13 +32,19 @@ def append(
     _writer(df, "append", partition_by, options).format(fmt).save(path)
 
 
-def append_day(df: DataFrame, path: str, day: str, fmt: str = "parquet", options: Mapping[str, str] | None = None) -> None:
-    """Append by day: the days present in ``df`` are replaced, all others stay, so a re-run does not double.
+def append_day(
+    df: DataFrame, path: str, day: str | Sequence[str], fmt: str = "parquet", options: Mapping[str, str] | None = None
+) -> None:
+    """Append by day: the partitions present in ``df`` are replaced, all others stay, so a re-run does not double.
 
-    Rows are rebalanced by day first: few files per day, and a large day still spread over several tasks.
+    ``day`` is the partition column, or several (environment and day): everything one writer of the table tells apart from
+    the others. A null there would be shared by all writers, so the write fails. Rows are rebalanced by partition first: few
+    files each, and a large one still spread over several tasks.
     """
-    balanced = df.hint("rebalance", F.col(day))
-    _writer(balanced, "overwrite", [day], {"partitionOverwriteMode": "dynamic", **(options or {})}).format(fmt).save(path)
+    keys = [day] if isinstance(day, str) else list(day)
+    refused = {k: F.coalesce(k, F.raise_error(F.lit(f"{k} is a partition and null")).cast(df.schema[k].dataType)) for k in keys}
+    balanced = df.withColumns(refused).hint("rebalance", *[F.col(k) for k in keys])
+    _writer(balanced, "overwrite", keys, {"partitionOverwriteMode": "dynamic", **(options or {})}).format(fmt).save(path)
 
 
 def overwrite(
@@ -54,11 +61,28 @@ def write_all(writes: Mapping[str, Callable[[], None]]) -> dict[str, str]:
         try:
             write()
             status[name] = "ok"
-        except PySparkException as e:
-            status[name] = e.getCondition() or type(e).__name__
+        except (PySparkException, Py4JError) as e:
+            status[name] = failure(e)
     return status
 
 
+def failure(e: Exception) -> str:
+    """Spark's name of an error, or the class and message of one that comes from below it (a path, the storage)."""
+    if isinstance(e, PySparkException):
+        return e.getCondition() or type(e).__name__
+    if isinstance(e, Py4JJavaError):
+        return str(e.java_exception).splitlines()[0]
+    return f"{type(e).__name__}: {e}".splitlines()[0]
+
+
+def must_succeed(status: Mapping[str, str]) -> dict[str, str]:
+    """``status``, unless a write failed: all have been tried by now, so a job may end with the error."""
+    failed = {name: s for name, s in status.items() if s != "ok"}
+    if failed:
+        raise RuntimeError("; ".join(f"{name}: {s}" for name, s in failed.items()))
+    return dict(status)
+
+
 def write_selected(writes: Mapping[str, Callable[[], None]], choice: str = "All") -> dict[str, str]:
     """Run the write named by ``choice``, or all of them."""
     if choice != "All" and choice not in writes:

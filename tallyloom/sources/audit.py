@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.shape import union_by_name
+from tallyloom.sinks.tables import failure
 
 
 def load_audit(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], day: str | None = None) -> DataFrame:
@@ -22,9 +24,9 @@ def load_audit(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame
             df = opener()
             counted = df.agg(F.count(F.lit(1)).alias("table_rows"))
             columns, status = len(df.columns), "ok"
-        except PySparkException as e:
+        except (PySparkException, Py4JError) as e:
             counted = spark.range(1).select(F.lit(0).cast("bigint").alias("table_rows"))
-            columns, status = 0, e.getCondition() or type(e).__name__
+            columns, status = 0, failure(e)
         parts.append(counted.select(
             F.lit(day).cast("string").alias("date"), F.lit(name).alias("table_name"), "table_rows",
             F.lit(columns).alias("table_columns"), F.lit(status).alias("status"),

@@ -135,6 +135,54 @@ def item_counts(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.item_counts(items, ["premise", "disposition", "action"], excluded=["R"])
 
 
+VOCABULARIES = ("urn:epcglobal:cbv:disp:", "urn:econnectware:epcis:disp:")
+STATES = ("blacklisted", "missing", "retail_sold", "active", "in_transit")
+
+
+@query(f"""
+WITH t AS (
+  SELECT l_suppkey AS premise, l_partkey AS gtin, l_orderkey AS sku, l_shipdate AS hexa,
+         {list(VOCABULARIES)}[l_linenumber % 2 + 1] || {list(STATES)}[l_partkey % 5 + 1] AS disposition FROM lineitem)
+SELECT premise, disposition, count(DISTINCT gtin) AS distinct_gtin, count(DISTINCT sku) AS distinct_sku,
+       count(DISTINCT hexa) AS distinct_hexa, count(*) AS item_count
+FROM t WHERE NOT (disposition LIKE 'urn:epcglobal:cbv:disp:%' AND disposition NOT LIKE '%:active')
+  AND disposition <> 'urn:econnectware:epcis:disp:blacklisted'
+GROUP BY 1, 2
+""")
+def item_counts_default(spark: SparkSession, sf: str) -> DataFrame:
+    """The default exclusions, over states of two vocabularies of which only one is excluded almost whole."""
+    words = F.array(*[F.lit(v) for v in VOCABULARIES]), F.array(*[F.lit(s) for s in STATES])
+    items = read(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("premise"), F.col("l_partkey").alias("gtin"), F.col("l_orderkey").alias("sku"),
+        F.col("l_shipdate").alias("hexa"),
+        F.concat(F.get(words[0], F.col("l_linenumber") % 2), F.get(words[1], (F.col("l_partkey") % 5).cast("int"))).alias("disposition"),
+    )
+    return catalog.item_counts(items, ["premise", "disposition"])
+
+
+@query("""
+WITH t AS (
+  SELECT l_returnflag AS environment, CASE WHEN l_linestatus = 'F' THEN DATE '2024-01-01' ELSE DATE '2024-01-02' END AS process_date,
+         CASE WHEN l_linenumber < 6 THEN l_shipdate END AS datetime_h FROM lineitem)
+SELECT environment, process_date::TIMESTAMP AS process_date, datetime_h, count(*) AS event_count FROM t GROUP BY ALL
+""")
+def write_two_environments(spark: SparkSession, sf: str) -> DataFrame:
+    """Several environments and days into one table, each written twice, with rows that have no time: none lost, none doubled."""
+    path = scratch_path(spark, "environments")
+    counts = read(spark, sf, "lineitem").groupBy(
+        F.col("l_returnflag").alias("environment"),
+        F.when(F.col("l_linestatus") == "F", F.lit("2024-01-01")).otherwise("2024-01-02").cast("date").alias("process_date"),
+        F.when(F.col("l_linenumber") < 6, F.col("l_shipdate")).alias("datetime_h"),
+    ).agg(F.count(F.lit(1)).alias("event_count"))
+    for environment in ("A", "N", "R"):
+        for day in ("2024-01-01", "2024-01-02"):
+            part = counts.where((F.col("environment") == environment) & (F.col("process_date") == F.lit(day).cast("date")))
+            for _ in range(2):
+                write_selected({"counts": lambda part=part: append_day(part, path, ["environment", "process_date"])}, "counts")
+    out = spark.read.schema("datetime_h timestamp_ntz, event_count bigint, environment string, process_date date").parquet(path)
+    return out.withColumn("process_date", F.col("process_date").cast("timestamp_ntz"))
+
+
 @query("""
 WITH t AS (SELECT DISTINCT s_nationkey, n_regionkey FROM supplier JOIN nation ON s_nationkey = n_nationkey)
 SELECT c_custkey, n_regionkey AS premise_from_biz FROM customer LEFT JOIN t ON c_nationkey = s_nationkey

@@ -54,6 +54,37 @@ def alloc_unallocated(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- credits and parts -----------------------------------------------------------------------------------------------
 
+@query("""
+WITH t AS (
+  SELECT l_returnflag, l_linenumber % 4 AS n,
+    [{'type': 'A_DISCOUNT', 'amount': -l_linenumber}, {'type': 'PROMOTION', 'amount': -2 * l_linenumber},
+     {'type': CASE WHEN l_linestatus = 'F' THEN 'B_DISCOUNT' ELSE 'PROMOTION' END, 'amount': -l_partkey}] AS credits FROM lineitem),
+c AS (SELECT l_returnflag, n, list_filter(credits[1:n], x -> x.type LIKE '%DISCOUNT%') AS d,
+        list_filter(credits[1:n], x -> x.type = 'PROMOTION') AS p FROM t)
+SELECT l_returnflag AS id_project, n AS usage_amount, sum(coalesce(list_sum(list_transform(d, x -> x.amount)), 0))::DOUBLE AS discounts,
+       sum(coalesce(list_sum(list_transform(p, x -> x.amount)), 0))::DOUBLE AS promotions
+FROM c GROUP BY 1, 2
+""")
+def split_credits_any_number(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of none to three credits; all policies that tell discounts from promotions agree on them."""
+    number, status = F.col("l_linenumber"), F.col("l_linestatus")
+    credit = lambda kind, amount: F.struct(F.lit("c").alias("name"), amount.cast("double").alias("amount"), kind.alias("type"))
+    three = F.array(
+        credit(F.lit("A_DISCOUNT"), -number), credit(F.lit("PROMOTION"), -2 * number),
+        credit(F.when(status == "F", F.lit("B_DISCOUNT")).otherwise("PROMOTION"), -F.col("l_partkey")))
+    named = lambda *names: F.struct(*[F.lit("x").alias(n) for n in names])
+    lines = read(spark, sf, "lineitem").select(
+        named("id", "description").alias("service"), named("id", "description").alias("sku"),
+        F.struct(F.col("l_returnflag").alias("id")).alias("project"), F.struct((number % 4).alias("amount"), F.lit("u").alias("unit")).alias("usage"),
+        F.slice(three, 1, number % 4).alias("credits"), F.lit(0.0).alias("cost"), F.lit("regular").alias("cost_type"),
+        F.col("l_shipdate").alias("usage_start_time"))
+    flat = billing.flatten_billing(lines)
+    like, exact = (billing.split_credits(flat, p) for p in ("like", "exact"))
+    same = like.unionByName(exact)
+    return same.groupBy("id_project", "usage_amount").agg(
+        (F.sum("credits_discounts") / 2).alias("discounts"), (F.sum("credits_promotion") / 2).alias("promotions"))
+
+
 def _credits(spark: SparkSession, sf: str, policy: str) -> DataFrame:
     split = billing.split_credits(billing.flatten_billing(billing_lines(spark, sf)), policy)
     return sum_by(split, ["id_project", "service_description"], {

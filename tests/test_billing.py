@@ -39,8 +39,10 @@ CASES = [
     # one of two matching credits without an amount: nothing is known, so nothing is taken
     ([credit(DISCOUNT, None), credit(DISCOUNT, -2.0)], (0, 0), (-2, 0), (-2, 0)),
     ([credit("FREE_TIER", -9.0)], (0, 0), (-9, 0), (-9, 0)),
-    # a third credit is not read
-    ([credit(DISCOUNT, -1.0), credit(DISCOUNT, -1.0), credit(DISCOUNT, -50.0)], (-2, 0), (-2, 0), (-2, 0)),
+    # a third credit counts like the others
+    ([credit(DISCOUNT, -1.0), credit(DISCOUNT, -1.0), credit(DISCOUNT, -50.0)], (-52, 0), (-52, 0), (-52, 0)),
+    ([credit(PROMO, -1.0), credit(None, -1.0), credit(PROMO, -50.0), credit(DISCOUNT, -3.0)], (-3, -51), (-4, -51), (-55, 0)),
+    ([credit(DISCOUNT, -1.0), credit(PROMO, -1.0), credit(DISCOUNT, None)], (0, -1), (-1, -1), (-2, 0)),
 ]
 
 

@@ -114,8 +114,11 @@ def test_items(spark):
     df = spark.createDataFrame([
         ("t", "p", "active", "b", "ADD", "g1", "s1", "h1"), ("t", "p", "active", "b", "ADD", "g1", "s2", "h2"),
         ("t", "p", gone, "b", "ADD", "g9", "s9", "h9"), ("t", "p", None, "b", "ADD", "g9", "s9", "h9"),
+        ("t", "p", "urn:econnectware:epcis:disp:missing", "b", "ADD", "g1", "s1", "h1"),
     ], schemas.ITEM_STATUS)
-    assert rows(catalog.item_counts(df), "disposition", "distinct_gtin", "distinct_sku", "distinct_hexa", "item_count") == [("active", 1, 2, 2, 2)]
+    assert rows(catalog.item_counts(df), "disposition", "distinct_gtin", "distinct_sku", "distinct_hexa", "item_count") == [
+        ("active", 1, 2, 2, 2), ("urn:econnectware:epcis:disp:missing", 1, 1, 1, 1),
+    ]
 
 
 def test_site_catalogue(spark):

@@ -18,10 +18,10 @@ def facts(spark, *times):
     return spark.createDataFrame([(i, t) for i, t in enumerate(times)], "id int, t timestamp")
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_intervals_follow_each_other(spark, max_rows):
+@pytest.mark.parametrize("max_bytes", [0, 1000])
+def test_intervals_follow_each_other(spark, max_bytes):
     cal = calendar(spark, (D(9), "b"), (D(3), "a"), (None, "never"), (D(20), "c"))
-    got = build_intervals(cal, "at", "name", max_rows=max_rows)
+    got = build_intervals(cal, "at", "name", max_bytes=max_bytes)
     assert rows(got) == [
         (0, "00 a", None, D(3), False), (1, "01 b", D(3), D(9), False), (2, "02 c", D(9), D(20), True),
     ]
@@ -38,15 +38,15 @@ def test_ordinals_beyond_two_digits_are_not_cut(spark):
     assert {"00 x", "99 x", "100 x", "119 x"} <= labels and len(labels) == 120
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
+@pytest.mark.parametrize("max_bytes", [0, 1000])
 @pytest.mark.parametrize("closed, expected", [
     (False, ["a", "a", "b", "b", "c", "c", None, None, None]),
     (True, ["a", "a", "b", "b", "c", "c", "c", None, None]),
 ])
-def test_boundaries(spark, closed, expected, max_rows):
+def test_boundaries(spark, closed, expected, max_bytes):
     cal = build_intervals(calendar(spark, (D(3), "a"), (D(9, 12), "b"), (D(20), "c")), "at", "name", numbered=False)
     when = facts(spark, dt.datetime(1970, 1, 1), D(2, 23), D(3), D(9, 11), D(9, 12), D(19, 23), D(20), D(20, 1), None)
-    got = assign_interval(when, cal, "t", "label", closed=closed, max_rows=max_rows)
+    got = assign_interval(when, cal, "t", "label", closed=closed, max_bytes=max_bytes)
     assert [r.label for r in got.orderBy("id").collect()] == expected
 
 

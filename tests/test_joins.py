@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators.aggregate import positions, share_of_total
 from tallyloom.operators.intervals import assign_interval, build_intervals
 from tallyloom.operators.joins import (
-    fits_broadcast, full_outer, has_hot_key, left_fan_out, lookup, skew_join, split_by_match, spread_nulls,
+    fits_broadcast, full_outer, left_fan_out, lookup, may_have_hot_key, skew_join, split_by_match, spread_nulls,
 )
 
 LEFT = [("a", 1), ("a", 2), ("b", 3), (None, 4), ("z", 5)]
@@ -24,7 +24,7 @@ def right(spark):
     return spark.createDataFrame(RIGHT, "k string, r string")
 
 
-ALWAYS_HOT, NEVER_HOT = {"hot_rows": 1, "sample": 1.0}, {"hot_rows": 10**9, "sample": 1.0}
+ALWAYS_HOT, NEVER_HOT = {"hot_bytes": 0}, {"hot_bytes": 10**40}
 WAYS = pytest.mark.parametrize("way", [{}, ALWAYS_HOT, NEVER_HOT])
 
 
@@ -45,11 +45,17 @@ def test_fan_out_is_a_left_join(left, right, way):
     assert rows(left_fan_out(left, right, "k", **way)) == rows(left.join(right, "k", "left"))
 
 
-@pytest.mark.parametrize("keys", [["a"] * 400 + ["b"], [None] * 400 + ["b"]])
-def test_hot_keys_are_seen_in_a_sample(spark, keys):
-    df = spark.createDataFrame([(k,) for k in keys], "k string")
-    assert has_hot_key(df, "k", 300, 0.5) and has_hot_key(df, "k", 400, 1.0)
-    assert not has_hot_key(df, "k", 401, 1.0) and not has_hot_key(df, "k")
+def test_a_small_frame_has_no_hot_key(spark):
+    df = spark.range(1000).selectExpr("1 as k")
+    assert may_have_hot_key(df, 1000) and not may_have_hot_key(df)
+
+
+def test_choosing_a_way_runs_no_job(spark, left, right):
+    tracker, group = spark.sparkContext.statusTracker(), "choosing"
+    spark.sparkContext.setJobGroup(group, group)
+    lookup(left, right, "k"), full_outer(left, right.distinct(), "k"), left_fan_out(left, right, "k")
+    spark.sparkContext.setJobGroup("", "")
+    assert not tracker.getJobIdsForGroup(group)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -62,23 +68,20 @@ def test_matched_and_unmatched_are_a_partition(left, right):
     assert Counter(r.l for r in found.collect()) + Counter(r.l for r in missing.collect()) == Counter([1, 2, 3, 4, 5])
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_lookup_is_the_same_on_both_sides_of_the_bound(left, right, max_rows):
-    assert rows(lookup(left, right, "k", max_rows=max_rows)) == rows(left.join(right, "k", "left"))
+@pytest.mark.parametrize("max_bytes", [0, 10**30])
+def test_lookup_is_the_same_on_both_sides_of_the_bound(left, right, max_bytes):
+    assert rows(lookup(left, right, "k", max_bytes=max_bytes)) == rows(left.join(right, "k", "left"))
 
 
-def test_only_measured_tables_are_broadcast(left, right):
-    plan = lookup(left, right, "k")._jdf.queryExecution().optimizedPlan().toString()
+def test_only_small_tables_are_broadcast(left, right):
+    plan = lookup(left, right, "k", max_bytes=10**30)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan
-    plan = lookup(left, right, "k", max_rows=4)._jdf.queryExecution().optimizedPlan().toString()
+    plan = lookup(left, right, "k", max_bytes=4)._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" not in plan
 
 
-def test_the_bound_counts_rows_and_bytes(spark):
-    df = spark.range(100).select(F.lpad(F.col("id").cast("string"), 1000, "x").alias("t"), F.array(F.lit(1)).alias("a"))
-    assert fits_broadcast(df, 100, 1_000_000)
-    assert not fits_broadcast(df, 99)
-    assert not fits_broadcast(df, 100, 50_000)
+def test_the_bound_follows_the_plan(spark):
+    assert fits_broadcast(spark.range(100), 800) and not fits_broadcast(spark.range(100), 799)
 
 
 def test_nulls_are_spread_and_match_nothing(spark, right):
@@ -140,5 +143,5 @@ def test_positions_number_the_whole_table(spark, few):
 def test_a_hot_day_is_split_when_the_calendar_is_not_broadcast(spark, split_soon):
     facts = _hot(spark).withColumn("t", F.timestamp_seconds(F.lit(1_700_000_000) + F.when(F.col("k") == 7, 0).otherwise(F.col("k") * 600)))
     ends = spark.range(50).select(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 500_000).alias("at"), F.col("id").cast("string").alias("name"))
-    placed = assign_interval(facts, build_intervals(ends, "at", "name"), "t", "label", max_rows=0)
+    placed = assign_interval(facts, build_intervals(ends, "at", "name"), "t", "label", max_bytes=0)
     assert "skew=true" in _final_plan(placed)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import schemas
 from tallyloom.operators.billing import project_cost_summary
+from tallyloom.operators.events import route_together
 from tallyloom.operators.rules import rules_schema
 from tallyloom.plans import cost_jobs, event_job, work_job
 from tallyloom.plans import fixed_values as fixed
@@ -46,6 +47,16 @@ EXPECTED = [  # thingType, EventSource, StoreCode, FeatureSet, Is_InternalEvent
 ]
 
 
+def test_an_item_may_have_a_source_and_no_store(spark):
+    both = fixed.event_routes([], ["LISTED", "REP_398"], [], [], [], ["LISTED", "STORED"])
+    columns = ["Retail_Premise", "premise_from_fixture", "Retail_SOHStoreNumber", "premise_from_biz", "doorEvent", "zone", "Retail_StoreNumber",
+               "sourceModule", "Retail_Bizstep"]
+    df = spark.createDataFrame([("ITEM", "EPCIS", "EPCIS", s) for s in ("LISTED", "REP_398", "STORED", "OTHER")], "thingType string, specName string, bridgeKey_2 string, source string")
+    got = route_together(df.withColumns({c: F.lit("07") for c in columns}), ["EventSource", "StoreCode"], both)
+    assert rows(got, "source", "EventSource", "StoreCode") == [
+        ("LISTED", "LISTED", "7"), ("OTHER", "N/A", "N/A"), ("REP_398", "REP_398", "N/A"), ("STORED", "N/A", "7")]
+
+
 def test_classification_of_a_day(spark):
     got = event_job.classified_events(*inputs(spark), routes())
     assert rows(got, "thingType", "EventSource", "StoreCode", "FeatureSet", "Is_InternalEvent") == EXPECTED
@@ -57,7 +68,7 @@ def test_counts_are_written_once_however_often_the_job_runs(spark, tmp_path):
     counted = spark.createDataFrame([(dt.datetime(2024, 1, 2, 9), "ten", "SOHSTREAM", 7)], "datetime_h timestamp, tenantCode string, thingType string, count bigint")
     paths = {n: str(tmp_path / n) for n in event_job.SETS}
     for _ in range(2):
-        assert event_job.write_counts(classified, counted, paths) == dict.fromkeys(event_job.SETS, "ok")
+        assert event_job.write_counts(classified, counted, paths, "one", "2024-01-02") == dict.fromkeys(event_job.SETS, "ok")
     wide = spark.read.parquet(paths["events_classification"])
     assert rows(wide, "thingType", "event_count") == [
         ("CONTENT", 1), ("EPCISEVENT", 1), ("ITEM", 1), ("ITEM", 1), ("NEW", 1), ("SOH", 1), ("SOHSTREAM", 7), ("STORE", 2),
@@ -66,8 +77,11 @@ def test_counts_are_written_once_however_often_the_job_runs(spark, tmp_path):
     assert rows(serial, "serialNumber", "event_count") == [
         ("a-b-c-L1", 1), ("s1", 1), ("s2", 1), ("s4", 2), ("s5", 1), ("s6", 1), ("s7", 1),
     ]
+    for environment, day in (("one", "2024-01-03"), ("two", "2024-01-02"), ("two", "2024-01-02")):
+        event_job.write_counts(classified, counted, paths, environment, day)
+    assert spark.read.parquet(paths["events_classification"]).count() == 3 * wide.count()
     only = {n: str(tmp_path / f"only-{n}") for n in event_job.SETS}
-    assert event_job.write_counts(classified, counted, only, "serialNumber_classification") == {"serialNumber_classification": "ok"}
+    assert event_job.write_counts(classified, counted, only, "one", "2024-01-02", "serialNumber_classification") == {"serialNumber_classification": "ok"}
 
 
 def test_process_list_variant(spark):

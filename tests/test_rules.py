@@ -39,11 +39,11 @@ def random_events(spark, seed, n=400):
     return spark.createDataFrame(data, "id int, a string, b string, t string")
 
 
-@pytest.mark.parametrize("max_rows", [0, 10_000])
+@pytest.mark.parametrize("max_bytes", [0, 10_000])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_rule_join_equals_the_case_chain(spark, seed, max_rows):
+def test_rule_join_equals_the_case_chain(spark, seed, max_bytes):
     rules, events = random_rules(seed), random_events(spark, seed)
-    joined = classify(events, table(spark, rules), KEYS, TARGETS, max_rows=max_rows)
+    joined = classify(events, table(spark, rules), KEYS, TARGETS, max_bytes=max_bytes)
     chain = events.withColumns({t: rules_as_case(rules, KEYS, t) for t in TARGETS})
     assert rows(joined, "id", *TARGETS) == rows(chain, "id", *TARGETS)
 
