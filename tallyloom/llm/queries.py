@@ -59,9 +59,9 @@ files AS (
     || '/' || CASE WHEN doc_id % 16 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END AS path FROM documents),
 named AS (SELECT *, regexp_replace(path, '/[^/]*$', '') AS dir, regexp_matches(regexp_extract(path, '[^/]*$'), '{special}') AS special FROM files),
 passages AS (
-  SELECT doc_id, unnest(list_distinct(list_concat(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{cue}')),
+  SELECT doc_id, unnest(list_distinct(list_concat(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{cue}')),
     CASE WHEN special AND regexp_matches(text, '{cue}') THEN [text] ELSE [] END))) AS passage FROM named),
-words AS (SELECT doc_id, passage, unnest(list_filter(string_split_regex(lower(passage), '[^a-z0-9]+'), x -> x <> '')) AS term FROM passages),
+words AS (SELECT doc_id, passage, unnest(list_filter(string_split_regex(lower(passage), '[^a-z0-9]+'), lambda x: x <> '')) AS term FROM passages),
 tf AS (SELECT doc_id, passage, term, count(*) AS n FROM words GROUP BY ALL),
 weighed AS (SELECT tf.*, n * coalesce(idf, {unknown!r}) AS w FROM tf LEFT JOIN idf USING (term)),
 norms AS (SELECT doc_id, passage, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
@@ -86,7 +86,7 @@ def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.scan(files(spark, sf)).drop("text")
 
 
-SPLIT = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+SPLIT = "list_filter(string_split_regex({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
 
 @query(f"""
@@ -155,12 +155,12 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 WITH v AS (
   SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_sum([a * b for a, b in zip])::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
-SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s QUALIFY rank <= 10
-WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
-""".replace("list_sum([a * b for a, b in zip])", "list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))"))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+QUALIFY rank <= 10
+""".replace("list_sum([a * b for a, b in zip])", "list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))"))
 def op6_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
     vectors = read(spark, sf, "embeddings")
     return exact_topk.top_k(vectors.where("vec_id % 100 = 0"), vectors, 10)
