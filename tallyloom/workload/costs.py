@@ -59,10 +59,10 @@ WITH t AS (
   SELECT l_returnflag, l_linenumber % 4 AS n,
     [{'type': 'A_DISCOUNT', 'amount': -l_linenumber}, {'type': 'PROMOTION', 'amount': -2 * l_linenumber},
      {'type': CASE WHEN l_linestatus = 'F' THEN 'B_DISCOUNT' ELSE 'PROMOTION' END, 'amount': -l_partkey}] AS credits FROM lineitem),
-c AS (SELECT l_returnflag, n, list_filter(credits[1:n], x -> x.type LIKE '%DISCOUNT%') AS d,
-        list_filter(credits[1:n], x -> x.type = 'PROMOTION') AS p FROM t)
-SELECT l_returnflag AS id_project, n AS usage_amount, sum(coalesce(list_sum(list_transform(d, x -> x.amount)), 0))::DOUBLE AS discounts,
-       sum(coalesce(list_sum(list_transform(p, x -> x.amount)), 0))::DOUBLE AS promotions
+c AS (SELECT l_returnflag, n, list_filter(credits[1:n], lambda x: x.type LIKE '%DISCOUNT%') AS d,
+        list_filter(credits[1:n], lambda x: x.type = 'PROMOTION') AS p FROM t)
+SELECT l_returnflag AS id_project, n AS usage_amount, sum(coalesce(list_sum(list_transform(d, lambda x: x.amount)), 0))::DOUBLE AS discounts,
+       sum(coalesce(list_sum(list_transform(p, lambda x: x.amount)), 0))::DOUBLE AS promotions
 FROM c GROUP BY 1, 2
 """)
 def split_credits_any_number(spark: SparkSession, sf: str) -> DataFrame:

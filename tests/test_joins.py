@@ -126,9 +126,9 @@ def test_operators_split_their_hot_keys(spark, split_soon):
     hot = _hot(spark)
     assert "skew=true" in _final_plan(share_of_total(hot, ["k"], "v", "total"))
     parents = hot.select("k").distinct().withColumn("p", F.lit(1))
-    assert "skew=true" in _final_plan(left_fan_out(parents, hot, "k", hot_rows=1000))
+    assert "skew=true" in _final_plan(left_fan_out(parents, hot, "k", hot_bytes=0))
     unique = hot.groupBy("k").agg(F.max("pad").alias("pad2"))
-    assert "skew=true" in _final_plan(full_outer(hot, unique, "k", hot_rows=1000))
+    assert "skew=true" in _final_plan(full_outer(hot, unique, "k", hot_bytes=0))
     found, missing = split_by_match(hot, unique, "k")
     assert "skew=true" in _final_plan(found)
 
