@@ -105,16 +105,20 @@ def allocate_by_component(
 ) -> DataFrame:
     """Component cost over the bytes of the same (day, sub-component); both sides keep their unmatched rows.
 
-    Rows for which ``whole`` holds are shared by everybody and go undivided to the tenant ``internal``.
+    Components for which ``whole`` holds are shared by everybody: each is one row of the tenant ``internal``, also where there
+    are sizes for its key, so the pool is handed out once.
     """
     keys = list(keys)
     pool = sum_by(costs, [*keys, "component"], {m: m for m in COMPONENT_MEASURES})
+    # Undivided components meet no owner, because owners have the other value here.
+    pool = pool.withColumn("_divided", ~F.coalesce(whole, F.lit(False)))
     owners = [c for c in sizes.columns if c not in keys and c != size]
     owned = sum_by(sizes, [*keys, *owners], {size: size})
     shared = share_of_total(owned, keys, size, "_all")
-    joined = full_outer(shared, pool, keys, left_keys=sizes)
+    joined = full_outer(
+        shared.withColumn("_divided", F.lit(True)), pool, [*keys, "_divided"], left_keys=sizes.withColumn("_divided", F.lit(True)))
     part = ratio(size, "_all")
-    undivided = F.coalesce(whole, F.lit(False))
+    undivided = ~F.col("_divided")
 
     def hand_out(measure: Column) -> Column:
         return F.when(undivided, measure).otherwise(part * measure)

@@ -183,11 +183,12 @@ def detailed_costs(
     sub_rules: Sequence[tuple[str, str]],
     verbatim: Sequence[str] = (),
     zone: str = LOCAL_ZONE,
+    mark: str = STORAGE_MARK,
 ) -> DataFrame:
     """Every billing line with its component, sub-component, local time and cost parts."""
     flat = fill_zero(flatten_billing(lines, resource=True), "cost", "credits_1_amount", "credits_2_amount")
     mapped = map_subcomponent(map_component(flat, name_rules, global_rules), sub_rules, verbatim)
-    parts = split_compute_storage(split_credits(mapped, "like"))
+    parts = split_compute_storage(split_credits(mapped, "like"), mark=mark)
     return parts.withColumn("usage_start_time_local", local_time("usage_start_time", zone))
 
 
@@ -196,12 +197,13 @@ def project_cost_summary(
     projects: DataFrame,
     project_of_service: Mapping[str, str] | None = None,
     zone: str = LOCAL_ZONE,
+    mark: str = STORAGE_MARK,
 ) -> DataFrame:
     """Seven measures per (time, project, service, SKU, unit) with the finance attributes of the project.
 
     ``project_of_service`` moves the lines of a service to another project before summing.
     """
-    parts = split_compute_storage(split_credits(flatten_billing(lines), "like"))
+    parts = split_compute_storage(split_credits(flatten_billing(lines), "like"), mark=mark)
     moves = [(F.col("service_description") == s, p) for s, p in (project_of_service or {}).items()]
     parts = parts.withColumn("id_project", case_first(moves, F.col("id_project")))
     keys = ["usage_start_time", "id_project", "service_description", "sku_description", "usage_unit"]

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom import schemas
 from tallyloom.functions.columns import LOCAL_ZONE, day_text, hour_text, local_time, month_text, net_of
 from tallyloom.operators import allocate, billing
 from tallyloom.operators.aggregate import sum_by
 
 from tallyloom.functions.cases import case_first, case_last, contains_rules
 from tallyloom.plans import fixed_values as fixed
+from tallyloom.sinks.tables import conform
 
 
 def compute_costs(lines: DataFrame, policy: str = "like", mark: str = billing.STORAGE_MARK) -> DataFrame:
@@ -67,6 +69,23 @@ def component_allocation(
     return allocate.allocate_by_component(owned, parts, whole)
 
 
+def component_costs(
+    lines: DataFrame, environment: str, verbatim: Sequence[str] = (), zone: str = LOCAL_ZONE, mark: str = billing.STORAGE_MARK
+) -> DataFrame:
+    """Every billing line with its component and sub-component; resources like ``verbatim`` are their own sub-component."""
+    detailed = billing.detailed_costs(
+        lines, fixed.COMPONENT_BY_NAME, fixed.COMPONENT_BY_GLOBAL_NAME, fixed.SUBCOMPONENT_BY_NAME, verbatim, zone, mark)
+    return detailed.withColumn("environment", F.lit(environment))
+
+
+def project_costs(
+    lines: DataFrame, projects: DataFrame, project_of_service: Mapping[str, str] | None = None, zone: str = LOCAL_ZONE,
+    mark: str = billing.STORAGE_MARK,
+) -> DataFrame:
+    """The project summary in its declared columns."""
+    return conform(billing.project_cost_summary(lines, projects, project_of_service, zone, mark), schemas.PROJECT_COSTS)
+
+
 def hourly_pool(lines: DataFrame, mark: str = billing.STORAGE_MARK) -> DataFrame:
     """Compute cost per UTC hour with the used units summed by kind."""
     flat = billing.only_compute(billing.flatten_billing(lines), mark=mark)

@@ -57,11 +57,22 @@ COMPONENT_BY_GLOBAL_NAME = (
     ("%dataflow.googleapis.com%", "Dataflow"),
     ("%storage.googleapis.com%", "Cloud Storage"),
 )
-SHARDS = range(1, 8)
 # Resource name pattern -> sub-component, in order.
 SUBCOMPONENT_BY_NAME = (
-    *((f"%mongo-shard-{n}%", f"Mongo DB Platform - Shard {n}") for n in SHARDS),
-    *((f"%mongo-shard-0{n}%", f"Mongo DB Platform - Shard {n}") for n in SHARDS),
+    ("%mongo-shard-1%", "Mongo DB Platform - Shard 1"),
+    ("%mongo-shard-2%", "Mongo DB Platform - Shard 2"),
+    ("%mongo-shard-3%", "Mongo DB Platform - Shard 3"),
+    ("%mongo-shard-4%", "Mongo DB Platform - Shard 4"),
+    ("%mongo-shard-5%", "Mongo DB Platform - Shard 5"),
+    ("%mongo-shard-6%", "Mongo DB Platform - Shard 6"),
+    ("%mongo-shard-7%", "Mongo DB Platform - Shard 7"),
+    ("%mongo-shard-01%", "Mongo DB Platform - Shard 1"),
+    ("%mongo-shard-02%", "Mongo DB Platform - Shard 2"),
+    ("%mongo-shard-03%", "Mongo DB Platform - Shard 3"),
+    ("%mongo-shard-04%", "Mongo DB Platform - Shard 4"),
+    ("%mongo-shard-05%", "Mongo DB Platform - Shard 5"),
+    ("%mongo-shard-06%", "Mongo DB Platform - Shard 6"),
+    ("%mongo-shard-07%", "Mongo DB Platform - Shard 7"),
     ("%mongo-analytics-01%", "Mongo DB Analytics - Shard 1"),
     ("%mongo-analytics-02%", "Mongo DB Analytics - Shard 2"),
     ("%mongo-vm002%", "Mongo DB Platform - Shard 0"),
@@ -69,9 +80,32 @@ SUBCOMPONENT_BY_NAME = (
     ("%mongo-vm003%", "Mongo DB Platform - Shard 0"),
 )
 # Substring of the resource name -> component or sub-component for the last-match reading used with stored sizes.
-COMPONENT_CONTAINS = tuple((p.strip("%"), c) for p, c in COMPONENT_BY_NAME[:16])
+COMPONENT_CONTAINS = (
+    ("mongo-shard", "Mongo DB Platform - Shard"),
+    ("mongo-vm", "Mongo DB Platform - Shard"),
+    ("mongo-router", "Mongo DB Platform - Router"),
+    ("mongo-config", "Mongo DB Platform - config"),
+    ("mongo-analytics", "Mongo DB Analytics"),
+    ("mongo-temp", "Mongo DB Platform - Temp"),
+    ("kafka", "Kafka Browser"),
+    ("gke", "Containers (gke)"),
+    ("report", "Reports"),
+    ("nfs", "NFS"),
+    ("rabbit", "Rabbit"),
+    ("sftp", "SFTP"),
+    ("vpn", "VPN"),
+    ("manager", "Manager"),
+    ("postgres", "Postgres"),
+    ("powerbi", "Power BI"),
+)
 SUBCOMPONENT_CONTAINS = (
-    *((f"mongo-shard-{n}", f"Mongo DB Platform - Shard {n}") for n in SHARDS),
+    ("mongo-shard-1", "Mongo DB Platform - Shard 1"),
+    ("mongo-shard-2", "Mongo DB Platform - Shard 2"),
+    ("mongo-shard-3", "Mongo DB Platform - Shard 3"),
+    ("mongo-shard-4", "Mongo DB Platform - Shard 4"),
+    ("mongo-shard-5", "Mongo DB Platform - Shard 5"),
+    ("mongo-shard-6", "Mongo DB Platform - Shard 6"),
+    ("mongo-shard-7", "Mongo DB Platform - Shard 7"),
     ("mongo-vm002", "Mongo DB Platform - Shard 0"),
     ("mongo-vm001", "Mongo DB Platform - Shard 0"),
     ("mongo-vm003", "Mongo DB Platform - Shard 0"),
@@ -83,7 +117,13 @@ SUBCOMPONENT_CONTAINS = (
 # Substring of the shard id -> sub-component, the last one contained decides.
 SHARD_CONTAINS = (
     ("rs0", "Mongo DB Platform - Shard 0"),
-    *((f"rs0_{n}", f"Mongo DB Platform - Shard {n}") for n in SHARDS),
+    ("rs0_1", "Mongo DB Platform - Shard 1"),
+    ("rs0_2", "Mongo DB Platform - Shard 2"),
+    ("rs0_3", "Mongo DB Platform - Shard 3"),
+    ("rs0_4", "Mongo DB Platform - Shard 4"),
+    ("rs0_5", "Mongo DB Platform - Shard 5"),
+    ("rs0_6", "Mongo DB Platform - Shard 6"),
+    ("rs0_7", "Mongo DB Platform - Shard 7"),
     ("config", "Mongo DB Platform - Config"),
 )
 # Component names that contain one of these are shared by everybody.
@@ -104,13 +144,13 @@ _ALE = {"bridgeKey_2": pattern("ALEB%")}
 
 def event_routes(
     listed_sources: Sequence[str], item_sources: Sequence[str], app_specs: Sequence[str], reader_specs: Sequence[str],
-    product_specs: Sequence[str], item_store_sources: Sequence[str] | None = None,
+    product_specs: Sequence[str], item_store_sources: Sequence[str] | None = None, scheduled_sources: Sequence[str] = (),
 ) -> list[tuple[dict, object, object]]:
     """(condition, event source, store code): the first condition that holds decides both.
 
     Parameters are what differs between installations: the source codes of listed partners, the specs of the mobile
     app, of fixed readers and of product feeds. Items of a partner in ``item_sources`` have an event source, those of one in
-    ``item_store_sources`` (the same ones if not given) a store code.
+    ``item_store_sources`` (the same ones if not given) a store code. ``scheduled_sources`` run their reports by schedule.
     """
     stores = list(item_sources if item_store_sources is None else item_store_sources)
     source, bridge, store_number = F.col("source"), F.col("bridgeKey_2"), F.col("Retail_StoreNumber")
@@ -130,7 +170,7 @@ def event_routes(
         ({"thingType": "ITEM", "specName": "POE_IINTERFACE", **_PLAIN, "source": "FLOW_ALE"}, source, door),
         ({"thingType": "ITEM", "specName": "POS_IINTERFACE", **_PLAIN, "source": "FLOW"}, source, area),
         ({"thingType": "ITEM", "specName": list(reader_specs), **_ALE, "source": "N/A"}, reader, reader_store),
-        ({"thingType": "ITEM", "specName": "SCHEDULED", "bridgeKey_2": "RULESET", "source": "REP_398"}, source, NO_STORE),
+        ({"thingType": "ITEM", "specName": "SCHEDULED", "bridgeKey_2": "RULESET", "source": list(scheduled_sources)}, source, NO_STORE),
         ({"thingType": "SOH"}, bridge, stock),
         ({"thingType": "SOHSTREAM"}, bridge, stock),
         ({"thingType": "DISCREPANCY", **_BARE, "bridgeKey_2": "ANALYTICS"}, bridge, strip_zeros(store_number)),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,16 +16,20 @@ from tallyloom.operators.work import (
 )
 from tallyloom.session import settle
 
+# Columns every level of a hierarchy carries, beside its key, type and points.
 LEVEL = (
-    "ISSUE_STATUS_NAME", "CURRENT_ASSIGNEE_NAME", "SPRINT_NAME", "START_DATE", "END_DATE", "VERSION_NAME", "BU",
-    "CUSTOMERS", "CATEGORY", "THEME",
+    "CREATED", "SUMMARY", "STATUS_CATEGORY_CHANGE_DATE", "ISSUE_STATUS_NAME", "SPRINT_NAME", "STATE", "START_DATE", "END_DATE",
+    "COMPLETE_DATE", "VERSION_NAME", "CURRENT_ASSIGNEE_NAME", "REPORTER_NAME", "CATEGORY", "BU", "CUSTOMERS", "THEME", "PROGRESS",
 )
 SPREAD = (
     "LINKED_1_ISSUE_KEY", "LINKED_1_ISSUE_STATUS_NAME", "LINKED_1_BU", "LINKED_1_VERSION_NAME", "CHILD_SPRINT_DATE_VERSION",
-    "CHILD_SPRINT_END_DATE_VERSION", "SUB_ISSUE_KEY", "SUB_STORYPOINTS",
+    "CHILD_SPRINT_END_DATE_VERSION", "SUB_ISSUE_KEY", "SUB_STATUS_CATEGORY_CHANGE_DATE", "SUB_STORYPOINTS",
 )
 CARRIED = (
-    "ISSUE_KEY", "LINKED_1_ISSUE_KEY", "CHILD_ISSUE_KEY", "CHILD_SPRINT_NAME", "SUB_SPRINT_NAME", "TOTAL_STORYPOINTS",
+    "ISSUE_KEY", "SUMMARY", "ISSUE_STATUS_NAME", "LINKED_1_ISSUE_KEY", "LINKED_1_ISSUE_TYPE_NAME", "LINKED_1_ISSUE_STATUS_NAME",
+    "LINKED_1_VERSION_NAME", "CHILD_ISSUE_KEY", "CHILD_ISSUE_TYPE_NAME", "CHILD_ISSUE_STATUS_NAME", "CHILD_SPRINT_DATE_VERSION",
+    "CHILD_SPRINT_END_DATE_VERSION", "CHILD_SPRINT_NAME", "SUB_ISSUE_KEY", "SUB_ISSUE_TYPE_NAME", "SUB_ISSUE_STATUS_NAME",
+    "SUB_STATUS_CATEGORY_CHANGE_DATE", "SUB_PROGRESS", "SUB_SPRINT_NAME", "TOTAL_STORYPOINTS",
 )
 # Columns of a resource, as they are called beside a work log and beside an idea.
 RESOURCE_NAMES = {
@@ -62,9 +66,9 @@ def wide_issues(t: Tracker) -> DataFrame:
     return issue_wide(t.issues, t.issue_sprints, t.sprints, t.labels, status_milestones(t.time_in_status))
 
 
-def dated_hierarchy(t: Tracker, wide: DataFrame, root: str) -> DataFrame:
+def dated_hierarchy(t: Tracker, wide: DataFrame, root: str, level: Sequence[str] = LEVEL) -> DataFrame:
     """Hierarchy of a root type with the release its child sprint starts and ends in."""
-    tree = issue_hierarchy(wide, t.links, root, LEVEL)
+    tree = issue_hierarchy(wide, t.links, root, level)
     calendar = build_intervals(releases(t.versions), "RELEASE_DATE", "VERSION_NAME")
     small = listing_fits(calendar)
     dated = assign_interval(tree, calendar, "CHILD_START_DATE", "CHILD_SPRINT_DATE_VERSION", closed=True, small=small)
@@ -93,18 +97,25 @@ def ideas_with_capacity(tree: DataFrame, seats: DataFrame) -> DataFrame:
     return out.withColumns({"UTILIZATION_TYPE": F.lit("Idea"), "WORK_TYPE": work_type("SUB_ISSUE_TYPE_NAME")})
 
 
-def logged_work(logs: DataFrame, ideas: DataFrame, seats: DataFrame, calendar: DataFrame) -> DataFrame:
+def logged_work(
+    logs: DataFrame, ideas: DataFrame, seats: DataFrame, calendar: DataFrame, carried: Sequence[str] = CARRIED
+) -> DataFrame:
     """Work logs beside the grid; what is not known about a person is called so."""
     named = seats.withColumnsRenamed({old: log for old, (log, _) in RESOURCE_NAMES.items()})
-    out = utilisation(logs, ideas, named, calendar, CARRIED)
+    out = utilisation(logs, ideas, named, calendar, carried)
     texts = [log for log, _ in RESOURCE_NAMES.values() if log in out.columns]
     return out.fillna(UNKNOWN, subset=[*texts, "SUB_SPRINT_NAME"])
 
 
-def work_tracking(t: Tracker) -> dict[str, DataFrame]:
-    """All outputs of the job, by name. What several of them read is computed once and settled."""
+def work_tracking(
+    t: Tracker, level: Sequence[str] = LEVEL, carried: Sequence[str] = CARRIED, spread: Sequence[str] = SPREAD
+) -> dict[str, DataFrame]:
+    """All outputs of the job, by name. What several of them read is computed once and settled.
+
+    ``level``, ``carried`` and ``spread`` are the columns kept of every level, beside a work log and beside spread points.
+    """
     wide = settle(wide_issues(t))
-    requests, ideas = (settle(dated_hierarchy(t, wide, root)) for root in ("Product Request", "Idea"))
+    requests, ideas = (settle(dated_hierarchy(t, wide, root, level)) for root in ("Product Request", "Idea"))
     seats = settle(grid(t))
     kinds = t.issues.select(
         F.col("ISSUE_KEY").alias("ISSUE_KEY_LOGGED"), F.col("ISSUE_TYPE_NAME").alias("ISSUE_TYPE_NAME_LOGGED")
@@ -115,10 +126,10 @@ def work_tracking(t: Tracker) -> dict[str, DataFrame]:
     out = {
         "requests": requests,
         "ideas": ideas_with_capacity(ideas, seats),
-        "worklogs": logged_work(logs, ideas, seats, calendar),
+        "worklogs": logged_work(logs, ideas, seats, calendar, carried),
     }
     for name, tree in (("requests", requests), ("ideas", ideas)):
         for label in ("CUSTOMERS", "CATEGORY"):
             table, value = t.labels[label]
-            out[f"{name}_{label.lower()}"] = spread_points(tree.select(*SPREAD), table, value)
+            out[f"{name}_{label.lower()}"] = spread_points(tree.select(*spread), table, value)
     return out

@@ -353,7 +353,7 @@ def typed_attributes(spark: SparkSession, sf: str) -> DataFrame:
         return F.struct(F.lit(key).alias("key"), value.alias("value"))
 
     pairs = F.array(
-        pair("source", F.when((kind == "click") & (F.col("value") >= 50), "LISTED")),
+        pair("source", F.when(kind == "click", F.when(F.col("value") >= 80, "STORELESS").when(F.col("value") >= 50, "LISTED"))),
         pair("Retail_Premise", F.when(kind == "click", F.lpad(k().cast("string"), 5, "0"))),
         pair("transactionId", F.when(kind == "view", F.when(F.col("value") >= 30, "unlink").otherwise("link"))),
         pair("referenceListSerial", F.when(kind == "view", F.concat(F.lit("L"), user))),
@@ -388,7 +388,7 @@ def taxonomy(spark: SparkSession) -> DataFrame:
 WITH site AS (SELECT c_custkey, lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS code FROM customer WHERE c_acctbal >= 0),
 e AS (
   SELECT date_trunc('hour', ts) AS datetime_h, event_type, user_id, value, CAST(json_extract(props, '$.k') AS BIGINT) AS k, code,
-         event_type = 'click' AND value >= 50 AS listed
+         event_type = 'click' AND value >= 50 AND value < 80 AS listed, event_type = 'click' AND value >= 80 AS storeless
   FROM events LEFT JOIN site ON user_id = c_custkey
 )
 SELECT datetime_h,
@@ -397,7 +397,7 @@ SELECT datetime_h,
        CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN CASE WHEN value >= 30 THEN 'SUPPLY CHAIN' ELSE 'CATALOGUE' END
             ELSE CASE WHEN listed THEN 'SOURCING' ELSE 'N/A' END END AS "FeatureSet",
        CASE WHEN event_type = 'error' THEN NULL WHEN listed THEN 'COMMISSIONING' ELSE 'N/A' END AS "Process",
-       CASE event_type WHEN 'view' THEN 'SERVICES' WHEN 'click' THEN CASE WHEN listed THEN 'LISTED' ELSE 'N/A' END
+       CASE event_type WHEN 'view' THEN 'SERVICES' WHEN 'click' THEN CASE WHEN listed THEN 'LISTED' WHEN storeless THEN 'STORELESS' ELSE 'N/A' END
             WHEN 'purchase' THEN 'ALEB' WHEN 'signup' THEN 'FEED' END AS "EventSource",
        CASE event_type WHEN 'view' THEN ltrim(code, '0') WHEN 'click' THEN CASE WHEN listed THEN ltrim(CAST(k AS VARCHAR), '0') ELSE 'N/A' END
             WHEN 'purchase' THEN '00' || user_id WHEN 'signup' THEN ltrim(CAST(user_id AS VARCHAR), '0') END AS "StoreCode",
@@ -407,7 +407,7 @@ FROM e GROUP BY ALL
 """)
 def classified_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The whole daily classification over all events, with the errors that arrive counted."""
-    routes = event_routes(["LISTED"], ["LISTED"], ["APP"], ["READER"], ["SERVICES"])
+    routes = event_routes(["LISTED"], ["LISTED", "STORELESS"], ["APP"], ["READER"], ["SERVICES"], item_store_sources=["LISTED"])
     named = classified_events(
         typed_headers(spark, sf), typed_attributes(spark, sf), customer_lists(spark, sf), taxonomy(spark), routes
     )

@@ -164,23 +164,19 @@ def idea_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 WITH n AS (SELECT o_custkey, count(o_orderpriority) AS n FROM orders GROUP BY 1)
-SELECT c.c_mktsegment, o.o_orderpriority AS label, count(*) AS rows,
-       sum(CAST(floor(round(c_acctbal * 100) / n) AS BIGINT))::BIGINT AS points
+SELECT c_custkey, o.o_orderpriority AS label, round(c_acctbal * 100) AS points, round(c_acctbal * 100) / n AS part
 FROM customer c JOIN orders o ON o.o_custkey = c_custkey JOIN n ON n.o_custkey = c_custkey
-GROUP BY 1, 2
 """, name="spread_points")
 def points_by_label(spark: SparkSession, sf: str) -> DataFrame:
     """Points of a customer in equal parts to the labels of its orders."""
     tree = read(spark, sf, "customer").select(
-        "c_mktsegment", key("C", "c_custkey").alias("LINKED_1_ISSUE_KEY"), units("c_acctbal", 100).alias("SUB_STORYPOINTS")
+        "c_custkey", key("C", "c_custkey").alias("LINKED_1_ISSUE_KEY"), units("c_acctbal", 100).alias("SUB_STORYPOINTS")
     )
     labels = read(spark, sf, "orders").select(
         key("C", "o_custkey").alias("ISSUE_KEY"), F.col("o_orderpriority").alias("label")
     )
     spread = spread_points(tree, labels, "label")
-    return spread.groupBy("c_mktsegment", "label").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.floor("ADJ_SUB_STORYPOINTS")).alias("points")
-    )
+    return spread.select("c_custkey", "label", F.col("SUB_STORYPOINTS").alias("points"), F.col("ADJ_SUB_STORYPOINTS").alias("part"))
 
 
 @query("""

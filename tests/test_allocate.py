@@ -64,14 +64,14 @@ def test_components_keep_both_unmatched_sides(spark):
                                   "day string, sub_component string, tenant string, size_on_disk bigint")
     measures = [*allocate.COMPONENT_MEASURES]
     costs = spark.createDataFrame(
-        [("d", "s1", "Shard", *[8.0] * 7), ("d", "r", "Router", *[4.0] * 7)],
+        [("d", "s1", "Shard", *[8.0] * 7), ("d", "r", "Router", *[4.0] * 7), ("d", "s1", "Router", *[2.0] * 7)],
         "day string, sub_component string, component string, " + ", ".join(f"{m} double" for m in measures),
     )
     got = allocate.allocate_by_component(sizes, costs, F.col("component") == "Router")
     assert rows(got, "sub_component", "tenant", "total_allocated_cost") == [
-        ("lost", "t1", None), ("r", "internal", 4.0), ("s1", "t1", 6.0), ("s1", "t2", 2.0),
+        ("lost", "t1", None), ("r", "internal", 4.0), ("s1", "internal", 2.0), ("s1", "t1", 6.0), ("s1", "t2", 2.0),
     ]
-    assert total(got, "total_allocated_cost") == 12.0
+    assert total(got, "total_allocated_cost") == 14.0
 
 
 def test_requests_by_length_and_by_calls(spark):

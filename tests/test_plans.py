@@ -48,13 +48,13 @@ EXPECTED = [  # thingType, EventSource, StoreCode, FeatureSet, Is_InternalEvent
 
 
 def test_an_item_may_have_a_source_and_no_store(spark):
-    both = fixed.event_routes([], ["LISTED", "REP_398"], [], [], [], ["LISTED", "STORED"])
+    both = fixed.event_routes([], ["LISTED", "REPORTS"], [], [], [], ["LISTED", "STORED"])
     columns = ["Retail_Premise", "premise_from_fixture", "Retail_SOHStoreNumber", "premise_from_biz", "doorEvent", "zone", "Retail_StoreNumber",
                "sourceModule", "Retail_Bizstep"]
-    df = spark.createDataFrame([("ITEM", "EPCIS", "EPCIS", s) for s in ("LISTED", "REP_398", "STORED", "OTHER")], "thingType string, specName string, bridgeKey_2 string, source string")
+    df = spark.createDataFrame([("ITEM", "EPCIS", "EPCIS", s) for s in ("LISTED", "REPORTS", "STORED", "OTHER")], "thingType string, specName string, bridgeKey_2 string, source string")
     got = route_together(df.withColumns({c: F.lit("07") for c in columns}), ["EventSource", "StoreCode"], both)
     assert rows(got, "source", "EventSource", "StoreCode") == [
-        ("LISTED", "LISTED", "7"), ("OTHER", "N/A", "N/A"), ("REP_398", "REP_398", "N/A"), ("STORED", "N/A", "7")]
+        ("LISTED", "LISTED", "7"), ("OTHER", "N/A", "N/A"), ("REPORTS", "REPORTS", "N/A"), ("STORED", "N/A", "7")]
 
 
 def test_classification_of_a_day(spark):
@@ -157,6 +157,11 @@ def tracker(spark):
     ], issue)
     sprints = spark.createDataFrame([(1, "v1", "closed", day(1), day(10)), (2, "v2", "active", day(10), day(20)), (9, "other", "closed", day(1), day(2))],
                                     "SPRINT_ID int, SPRINT_NAME string, STATE string, START_DATE timestamp, END_DATE timestamp")
+    issues = issues.withColumns({
+        "CREATED": F.lit(day(1)), "SUMMARY": F.concat(F.lit("about "), "ISSUE_KEY"), "STATUS_CATEGORY_CHANGE_DATE": F.lit(day(2)),
+        "REPORTER_NAME": F.lit("eve"), "PROGRESS": F.lit(0.5),
+    })
+    sprints = sprints.withColumn("COMPLETE_DATE", F.col("END_DATE"))
     labels = {
         name: (spark.createDataFrame([("E-1", "a"), ("E-1", "b")], f"ISSUE_KEY string, {name.lower()} string"), name.lower())
         for name in ("CUSTOMERS", "CATEGORY", "THEME", "BU", "VERSION_NAME")
@@ -203,3 +208,6 @@ def test_work_tracking(spark):
     assert spread == [("a", 2.0, 1.0), ("a", None, None), ("b", 2.0, 1.0), ("b", None, None)]
     wide = work_job.wide_issues(tracker(spark)).where(F.col("ISSUE_KEY") == "E-1").first()
     assert wide["CUSTOMERS"] == "a:b"
+    assert rows(out["worklogs"].where("ISSUE_KEY is not null"), "ISSUE_KEY_LOGGED", "SUMMARY", "SUB_ISSUE_TYPE_NAME", "SUB_PROGRESS")[1] == ("T-1", "about IDEA-1", "Sub-task", 0.5)
+    for prefix in ("LINKED_1_", "CHILD_", "SUB_"):
+        assert {prefix + c for c in work_job.LEVEL} <= set(ideas.columns)
