@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.words import let
+from tallyloom.operators.joins import skew_join
 
 # The short notices by which licences are commonly declared.
 TEMPLATES = {
@@ -121,7 +122,8 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     used = own.where("__dir is not null").select("__dir").distinct().select("__dir", F.explode(ancestors).alias("a"))
     above = used.join(holders, F.col("a.dir") == F.col("__holder")).groupBy("__dir").agg(
         F.max(F.struct("a.depth", "__holder", "__given")).alias("__near"))
-    out = own.join(above, "__dir", "left")
+    # One directory may hold a third of all files.
+    out = skew_join(own, above, "__dir", "left")
     alone = F.col("own_license").isNotNull()
     return out.select(
         *[c for c in files.columns if c not in RESULTS], "own_license", "score",
