@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.joins import skew_join
 from tallyloom.session import settle
 
 SHINGLE, THRESHOLD = 5, (4, 5)
@@ -199,7 +200,7 @@ def components(edges: DataFrame) -> DataFrame:
     """``cls`` and ``root``, the smallest class connected with it, for all classes in ``edges`` (columns ``cls``, ``root``).
 
     Alternating stars: every class points its larger neighbours, then its smaller ones, to the smallest it knows, until nothing
-    changes. Every round is cut off by a checkpoint.
+    changes. Every round is cut off by a checkpoint. A class may have any number of neighbours: the joins can be split.
     """
     state = settle(edges.where("cls <> root").distinct())
     mark = None
@@ -207,9 +208,9 @@ def components(edges: DataFrame) -> DataFrame:
         both = state.select(F.col("cls").alias("u"), F.col("root").alias("v")).unionByName(
             state.select(F.col("root").alias("u"), F.col("cls").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = skew_join(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("cls"), F.col("m").alias("root"))
+        small = skew_join(large, least, "u").where("v <> m").select(F.col("v").alias("cls"), F.col("m").alias("root"))
         state = settle(small.unionByName(least.select(F.col("u").alias("cls"), F.col("m").alias("root"))).distinct())
         now = state.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("cls", "root"))).first()
         if now == mark:
@@ -265,7 +266,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "cls", "first", F.coalesce("root", "cls").alias("grp"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     of_class = settle(of_class)
     smallest = of_class.groupBy("grp").agg(F.min("first").alias("class_id"))
-    of_class = of_class.join(smallest, "grp").select("cls", "grp", "class_id", "n_links")
+    of_class = skew_join(of_class, smallest, "grp").select("cls", "grp", "class_id", "n_links")
     return rows.select("doc_id", "th", "cls").join(of_class, "cls", "left").select(
         "doc_id", "th", "grp", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
