@@ -37,9 +37,3 @@ def conf(spark):
     yield put
     for key, value in before.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, nulls last."""
-    got = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
-    return sorted(got, key=lambda r: [(v is None, str(v)) for v in r])

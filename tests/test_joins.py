@@ -1,7 +1,7 @@
 from collections import Counter
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tallyloom.operators.aggregate import positions, share_of_total

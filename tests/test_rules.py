@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tallyloom.functions import all_hold, case_first, case_last, contains_rules, pattern
