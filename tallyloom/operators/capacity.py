@@ -70,7 +70,8 @@ def capacity_grid(
     })
 
 
-# Work type of an issue type for unplanned work, by key prefix where one is named.
+# Work type of an issue type for unplanned work, by key prefix where one is named. The prefixes are defaults of
+# parameters: another installation has its own.
 OPERATIONAL_TYPES = (
     ("Dev", ("Dev-Sub-task", "Test"), ()),
     ("Bug", ("Bug", "Sub-bug"), ()),
@@ -91,24 +92,28 @@ def _starts(key: Column, prefixes: Sequence[str]) -> Column:
     return out
 
 
-def utilisation_type(root: str = "ISSUE_KEY", logged: str = "ISSUE_KEY_LOGGED", kind: str = "ISSUE_TYPE_NAME_LOGGED") -> Column:
+def utilisation_type(
+    root: str = "ISSUE_KEY", logged: str = "ISSUE_KEY_LOGGED", kind: str = "ISSUE_TYPE_NAME_LOGGED",
+    incidents: Sequence[str] = INCIDENT_PREFIXES,
+) -> Column:
     """Idea when the log belongs to a root, Incident for tickets and troubleshooting, otherwise Operational."""
     return case_last([
         (F.col(root).isNotNull(), "Idea"),
         (F.col(root).isNull(), "Operational"),
-        (_starts(F.coalesce(F.col(logged), F.lit("")), INCIDENT_PREFIXES), "Incident"),
+        (_starts(F.coalesce(F.col(logged), F.lit("")), incidents), "Incident"),
         (F.col(kind) == INCIDENT_TYPE, "Incident"),
     ], UNKNOWN_TYPE)
 
 
 def worklog_type(
-    use: str = "UTILIZATION_TYPE", logged: str = "ISSUE_KEY_LOGGED", kind: str = "ISSUE_TYPE_NAME_LOGGED"
+    use: str = "UTILIZATION_TYPE", logged: str = "ISSUE_KEY_LOGGED", kind: str = "ISSUE_TYPE_NAME_LOGGED",
+    operational: Sequence[tuple[str, Sequence[str], Sequence[str]]] = OPERATIONAL_TYPES,
 ) -> Column:
-    """Kind of work of a log; the last rule that holds decides."""
+    """Kind of work of a log; the last rule that holds decides. ``operational``: label, issue types, key prefixes (none: any key)."""
     planned, incident, unplanned = (F.col(use) == u for u in ("Idea", "Incident", "Operational"))
     chain = [(planned & F.col(kind).isin(list(names)), label) for label, names in WORK_TYPES]
     chain.append((incident, "Support"))
-    for label, names, prefixes in OPERATIONAL_TYPES:
+    for label, names, prefixes in operational:
         hit = unplanned & F.col(kind).isin(list(names))
         chain.append((hit & _starts(F.col(logged), prefixes) if prefixes else hit, label))
     return case_last(chain, UNKNOWN_TYPE)

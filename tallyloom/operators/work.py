@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.cases import case_first, case_last
 from tallyloom.functions.columns import ratio, seconds_to_hours
 from tallyloom.operators.aggregate import delimited_values, last_per_key
-from tallyloom.operators.joins import left_fan_out, may_have_hot_key, skew_join
+from tallyloom.operators.joins import left_fan_out, lookup, may_have_hot_key, skew_join
 from tallyloom.operators.shape import prefix_columns
 
 # Work type of an issue type for planned work.
@@ -87,7 +87,8 @@ def issue_wide(
     out = out.join(milestones, key, "left")
     for extra in single:
         out = out.join(extra, key, "left")
-    return out.join(sprints, ["SPRINT_ID", "SPRINT_NAME"], "left")
+    # Issues without a sprint share the null key.
+    return lookup(out, sprints, ["SPRINT_ID", "SPRINT_NAME"])
 
 
 def product_request_links(linked: DataFrame) -> Column:

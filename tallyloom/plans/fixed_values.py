@@ -137,9 +137,6 @@ MONTHLY_RATE = 0.05
 UNIT_SUMS = {"bytes_h": "bytes", "requests_h": "requests", "seconds_h": "seconds", "bytes_seconds_h": "byte-seconds"}
 
 NO_STORE = "No Store"
-_PLAIN = {"source": "N/A", "sourceModule": "N/A", "Retail_Bizstep": "N/A"}
-_BARE = {"specName": "", **_PLAIN}
-_ALE = {"bridgeKey_2": pattern("ALEB%")}
 
 
 def event_routes(
@@ -167,17 +164,17 @@ def event_routes(
         ({"thingType": "ITEM", **epcis, "source": [s for s in item_sources if s in stores]}, source, premise),
         ({"thingType": "ITEM", **epcis, "source": [s for s in item_sources if s not in stores]}, source, MISSING),
         ({"thingType": "ITEM", **epcis, "source": [s for s in stores if s not in item_sources]}, MISSING, premise),
-        ({"thingType": "ITEM", "specName": "POE_IINTERFACE", **_PLAIN, "source": "FLOW_ALE"}, source, door),
-        ({"thingType": "ITEM", "specName": "POS_IINTERFACE", **_PLAIN, "source": "FLOW"}, source, area),
-        ({"thingType": "ITEM", "specName": list(reader_specs), **_ALE, "source": "N/A"}, reader, reader_store),
+        ({"thingType": "ITEM", "specName": "POE_IINTERFACE", "source": "FLOW_ALE", "sourceModule": "N/A", "Retail_Bizstep": "N/A"}, source, door),
+        ({"thingType": "ITEM", "specName": "POS_IINTERFACE", "source": "FLOW", "sourceModule": "N/A", "Retail_Bizstep": "N/A"}, source, area),
+        ({"thingType": "ITEM", "specName": list(reader_specs), "bridgeKey_2": pattern("ALEB%"), "source": "N/A"}, reader, reader_store),
         ({"thingType": "ITEM", "specName": "SCHEDULED", "bridgeKey_2": "RULESET", "source": list(scheduled_sources)}, source, NO_STORE),
         ({"thingType": "SOH"}, bridge, stock),
         ({"thingType": "SOHSTREAM"}, bridge, stock),
-        ({"thingType": "DISCREPANCY", **_BARE, "bridgeKey_2": "ANALYTICS"}, bridge, strip_zeros(store_number)),
-        ({"thingType": "LOCATION", **_BARE, "bridgeKey_2": "EPCIS"}, bridge, NO_STORE),
-        ({"thingType": "PRODUCT", **_BARE, "bridgeKey_2": "FTPBRIDGEPRODUCTS"}, bridge, NO_STORE),
-        ({"thingType": "STORE", "specName": "", **_ALE}, reader, reader_store),
+        ({"thingType": "DISCREPANCY", "specName": "", "bridgeKey_2": "ANALYTICS", "source": "N/A", "sourceModule": "N/A", "Retail_Bizstep": "N/A"}, bridge, strip_zeros(store_number)),
+        ({"thingType": "LOCATION", "specName": "", "bridgeKey_2": "EPCIS", "source": "N/A", "sourceModule": "N/A", "Retail_Bizstep": "N/A"}, bridge, NO_STORE),
+        ({"thingType": "PRODUCT", "specName": "", "bridgeKey_2": "FTPBRIDGEPRODUCTS", "source": "N/A", "sourceModule": "N/A", "Retail_Bizstep": "N/A"}, bridge, NO_STORE),
+        ({"thingType": "STORE", "specName": "", "bridgeKey_2": pattern("ALEB%")}, reader, reader_store),
         ({"thingType": "CONTENT"}, bridge, content),
         ({"thingType": "STOREATTRIBUTES", "bridgeKey_2": pattern("FTPBRIDGE%")}, "FTPBRIDGE", store_number),
-        ({"thingType": "PRODUCT", "specName": list(product_specs), "bridgeKey_2": "SERVICES", **_PLAIN}, bridge, NO_STORE),
+        ({"thingType": "PRODUCT", "specName": list(product_specs), "bridgeKey_2": "SERVICES", "source": "N/A", "sourceModule": "N/A", "Retail_Bizstep": "N/A"}, bridge, NO_STORE),
     ]
