@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,6 +96,8 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "vec_
         every = cell.column("id").to_numpy()
         x, ids, q, q_ids = flat[~asks], every[~asks], flat[asks], every[asks]
         out = [(np.empty(0, np.int64),) * 4]
+        # Rows of one id that ask for different vectors are told apart by the whole numbers, in every cell alike.
+        asked = [xxhash.xxh64_intdigest(v.tobytes()) - 2**63 for v in q]
         if len(x) and len(q):
             # Doubles hold whole numbers up to 2**53 exactly, and multiply faster.
             if float(np.abs(x).max()) * float(np.abs(q).max()) * dim < 2**53:
@@ -103,7 +106,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "vec_
             for i in range(len(q)):
                 top, scores = threshold_search(x, ids, lists, q[i], q_ids[i], k)
                 number = np.full(len(top), q_ids[i])
-                out.append((number, np.full(len(top), hash(q[i].tobytes())), ids[top], scores.astype(np.int64)))
+                out.append((number, np.full(len(top), asked[i], np.int64), ids[top], scores.astype(np.int64)))
         columns = [np.concatenate(c) for c in zip(*out)]
         return pa.table(dict(zip(("query_id", "asked", "vec_id", "score"), columns)))
 

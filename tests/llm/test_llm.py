@@ -341,8 +341,9 @@ def test_topk_on_awkward_vectors(spark, monkeypatch):
     vectors = [(i, [float(draw.randrange(-3, 4)) for _ in range(4)]) for i in range(300)]
     vectors += [(300, None), (301, []), (302, [1.0, None, 0.0, 0.0]), (303, [float("nan")] * 4), (304, [float("inf")] * 4), (None, [1.0] * 4)]
     vectors += [(305, [1.0, 2.0]), (400, [0.0] * 4), (7, [3.0] * 4), (500, [1.0] * 4), (500, [1.0] * 4)]
+    vectors += [(401, [3e9, 0.0, 0.0, 0.0])]  # too large for doubles, so its cell counts in whole numbers
     frame = spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>")
-    good = [(i, v) for i, v in vectors if i is not None and v and all(x is not None and abs(x) < 1e9 for x in v)]
+    good = [(i, v) for i, v in vectors if i is not None and v and all(x is not None and abs(x) < 1e12 for x in v)]
     for block, first in ((16_384, 64), (50, 2)):
         monkeypatch.setattr(exact_topk, "BLOCK", block)
         monkeypatch.setattr(exact_topk, "FIRST_READ", first)
