@@ -120,9 +120,9 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     parts = F.split("__dir", "/")
     ancestors = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, 1, n), "/").alias("dir")))
     used = own.where("__dir is not null").select("__dir").distinct().select("__dir", F.explode(ancestors).alias("a"))
-    above = used.join(holders, F.col("a.dir") == F.col("__holder")).groupBy("__dir").agg(
-        F.max(F.struct("a.depth", "__holder", "__given")).alias("__near"))
-    # One directory may hold a third of all files.
+    used = used.select("__dir", F.col("a.depth").alias("depth"), F.col("a.dir").alias("__holder"))
+    # A directory near the root may be above a third of all directories, and one directory may hold a third of all files.
+    above = skew_join(used, holders, "__holder").groupBy("__dir").agg(F.max(F.struct("depth", "__holder", "__given")).alias("__near"))
     out = skew_join(own, above, "__dir", "left")
     alone = F.col("own_license").isNotNull()
     return out.select(
