@@ -324,6 +324,19 @@ def test_terms_that_give_an_entity_away(spark, monkeypatch):
     assert "<TERM> <EMAIL>" in clean[0] and clean[7] == texts[7]
 
 
+def test_terms_beside_entities_seen_once_or_copied(spark):
+    draw = random.Random(2)
+    fill = ["alpha", "bravo", "carol", "delta", "early", "fetch", "given", "haste"]
+    words = lambda n: " ".join(draw.choice(fill) for _ in range(n))
+    copied = f"{words(6)} Marbeck ma@x.example {words(6)}"
+    texts = [f"{words(6)} Quillon once@x.example {words(6)}", *(f"{words(4)} Tarvish 4111 1111 1111 1111 {words(4)}" for _ in range(2))]
+    texts += [copied] * 50 + [words(500) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in pii.find(docs).collect():
+        found = {r["text"][s:e] for _, s, e in spans_of(r, "term")}
+        assert found == ({"Quillon"} if r["doc_id"] < 1 else {"Tarvish"} if r["doc_id"] < 3 else {"Marbeck"} if r["doc_id"] < 53 else set())
+
+
 def test_sanitised_rows_keep_their_columns(docs, clashing, no_docs):
     out = pii.sanitise(clashing)
     assert out.columns == clashing.columns and out.count() == clashing.count()
