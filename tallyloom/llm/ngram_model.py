@@ -13,12 +13,16 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.words import bucket, words_of
+from tallyloom.llm.words import bigram_hashes, bucket, hashes_of, let, words_of
 
 BITS = 16
 UNIT = 1000
 TRUSTED_ROWS = 20_000
 SMOOTHING = 1.0
+#: The toxic ratios: n-grams of prior, the log ratio from which a bucket counts, n-grams added to a document's length.
+PRIOR, TELLING, LEAST_GRAMS = 5.0, 1.5, 100
+#: Share of held-out trusted documents that the toxic ratio may reject.
+CLEAN_LOSS = 0.005
 
 
 def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
@@ -28,6 +32,12 @@ def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
     return ids.where("good").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
+def toxic_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
+    """Ids labelled toxic, at most ``rows`` of them, chosen by a hash of the id."""
+    ids = labels.where(F.col("doc_id").isNotNull() & (F.col("toxic") == 1)).select("doc_id").distinct()
+    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
 def mark_trusted(docs: DataFrame, trusted: DataFrame, name: str) -> DataFrame:
     """``docs`` with the boolean ``name``: whether the document is among the trusted ones."""
     known = F.broadcast(trusted.select(F.col("doc_id").alias("__id"), F.lit(True).alias(name)))
@@ -62,6 +72,36 @@ def fit(docs: DataFrame, trusted: DataFrame, bits: int = BITS) -> list[int]:
     ]
 
 
+def fit_toxic(docs: DataFrame, labels: DataFrame, bits: int = BITS, loss: float = CLEAN_LOSS) -> tuple[list[int], float] | None:
+    """Log ratios log p(bucket | toxic) - log p(bucket | trusted) in thousandths, and the ``toxicity`` that is still kept.
+
+    Fitted to one half of the labelled documents; the cut is the ``1 - loss`` quantile of the trusted ones of the other half.
+    Buckets under ``TELLING`` are 0, since the noise of a long text would hide the few words that tell. None without labels
+    of both kinds in the first half, or without trusted documents in the other.
+    """
+    half = F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(2))
+    trusted, toxic = trusted_ids(labels), toxic_ids(labels)
+    fitted = mark_trusted(docs.select("doc_id", "text"), trusted.unionByName(toxic).where(half == 0), "__fitted").where("__fitted")
+    size, counts = 1 << bits, {r["b"]: (r["raw"] - r["target"], r["target"]) for r in bucket_counts(fitted, toxic, bits).collect()}
+    clean, bad = (sum(c[i] for c in counts.values()) for i in (0, 1))
+    if not clean or not bad:
+        return None
+    ratios = [0] * size
+    for b, (n_clean, n_bad) in counts.items():
+        prior = PRIOR * size * (n_clean + SMOOTHING) / (clean + SMOOTHING * size)
+        ratio = math.log((n_bad + prior) / (bad + PRIOR * size)) - math.log((n_clean + prior) / (clean + PRIOR * size))
+        ratios[b] = round(UNIT * ratio) if ratio > TELLING else 0
+    held_out = mark_trusted(docs.select("doc_id", "text"), trusted.where(half == 1), "__held").where("__held")
+    scores = held_out.select(let(let(words_of(F.col("text")), hashes_of), lambda h: let(bigram_hashes(h), lambda g: toxicity(h, g, ratios))).alias("x"))
+    cut = scores.agg(F.percentile("x", F.lit(1 - loss))).first()[0]
+    return None if cut is None else (ratios, cut)
+
+
+def toxicity(hashes: Column, bigrams: Column, ratios: list[int]) -> Column:
+    """The telling ratios of a document per n-gram, in nats."""
+    return ratio_sum(hashes, bigrams, ratios) / (UNIT * (grams(hashes) + LEAST_GRAMS))
+
+
 def ratio_sum(hashes: Column, bigrams: Column, ratios: list[int]) -> Column:
     """Sum of the ratios of all words and word pairs, in thousandths."""
     bits = (len(ratios) - 1).bit_length()

@@ -83,6 +83,22 @@ def test_rules_reject_junk_that_labels_show(spark):
     assert len(selected & set(range(40))) >= 36 and len(selected & set(range(100, 140))) < 4
 
 
+def test_rules_reject_toxic_text_that_labels_show(spark):
+    draw = random.Random(4)
+    text = lambda: [f"word{draw.randint(0, 40)}" for _ in range(200)]
+    rows = [(i, " ".join(text())) for i in range(300)]
+    for i in range(300, 360):
+        words = text()
+        for at in (20, 90, 150):
+            words[at] = draw.choice(["zounderkite", "gobermouch"])
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, int(i >= 300)) for i in range(0, 360, 2)], "doc_id bigint, quality int, toxic int")
+    # In so small a corpus the smoothing lowers the first ratio of every text, so it is left out here.
+    unseen = {r["doc_id"] for r in quality_rules.judge(docs, labels, threshold=-1.0).where("kept and doc_id % 2 = 1").collect()}
+    assert not [k for k in unseen if k >= 300] and len(unseen) >= 145
+
+
 def test_sample_has_k_rows_of_the_largest_keys(docs, clashing, no_docs, labels, spark):
     whole = spark.read.parquet(f"{SF}/documents.parquet")
     known = spark.read.parquet(f"{SF}/labels.parquet")
