@@ -424,6 +424,25 @@ def test_licences(spark):
     assert license_scan.scan(frame.limit(0)).count() == 0
 
 
+def test_real_licence_files_tags_and_sentences(spark):
+    import pyspark
+
+    home = Path(pyspark.__file__).parent / "licenses"
+    real = {"LICENSE-modernizr.txt": "MIT", "LICENSE-jquery.txt": "MIT", "LICENSE-py4j.txt": "BSD-3-Clause", "LICENSE-CC0.txt": "CC0-1.0"}
+    files = [(f"/r/{name}/LICENSE", (home / name).read_text(), want) for name, want in real.items()]
+    files += [(f"/t/{name}/COPYING", "Preface.\n" + text, name) for name, text in license_scan.TEXTS.items()]
+    files += [
+        ("/s/a.py", "# SPDX-License-Identifier: MIT\nx = 1", "MIT"), ("/s/b.py", "// SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+        ("/s/c.py", "SPDX-License-Identifier: GPL-3.0-or-later\n", "GPL-3.0"), ("/s/d.py", "SPDX-License-Identifier: MIT OR Apache-2.0", "MIT OR Apache-2.0"),
+        ("/s/e.py", "A small tool for many purposes of all kinds. Released under the MIT License. See the home page for more.", "MIT"),
+        ("/s/f.py", "The license of this file is described elsewhere in the handbook.", None), ("/r/LICENSE-modernizr.txt/x", "below", None),
+    ]
+    frame = spark.createDataFrame([f[:2] for f in files], "path string, text string")
+    out = {r["path"]: r for r in license_scan.scan(frame).collect()}
+    assert {p: out[p]["own_license"] for p, _, _ in files} == {p: want for p, _, want in files}
+    assert out["/r/LICENSE-modernizr.txt/x"]["license"] == "MIT"
+
+
 # -- queries ---------------------------------------------------------------------------------------------------------------
 
 def test_queries_return_their_contract(spark, rows, tokenizer):
