@@ -60,7 +60,7 @@ HEADERS = [
 TEXTS = {p.stem: p.read_text(encoding="utf-8") for p in sorted(Path(__file__).with_name("licenses").glob("*.txt"))}
 # The AGPL is the GPL under another name but for its section 13; without it, its text would pass for the GPL.
 TEXTS["AGPL-3.0"] = re.sub("(?i)(GNU) (General Public License)", r"\1 Affero \2", TEXTS["GPL-3.0"])
-SLOTS = 1 << 14
+SLOTS = 1 << 12
 #: What a file says that reserves all rights, which says little beside a licence.
 RESERVED = "Proprietary"
 SPDX = r"(?i)spdx-license-identifier:[\x20\t]*(\(?[a-z0-9.+-]+\)?(?:[\x20\t]+(?:or|and|with)[\x20\t]+\(?[a-z0-9.+-]+\)?)*)"
@@ -126,20 +126,20 @@ def best_text(text: Column, texts: dict[str, str]) -> Column:
     counts = {name: Counter(slot(t) for t in re.findall("[a-z0-9]+", whole.lower())) for name, whole in texts.items()}
     having = Counter(k for c in counts.values() for k in c)
     idf = [math.log((1 + len(counts)) / (1 + having[k])) + 1 for k in range(SLOTS)]
-    # One string that Spark folds into one constant array.
-    table = lambda values: F.split(F.lit(",".join(f"{v:.6g}" for v in values)), ",").cast("array<double>")
+    # One string that Spark folds into one constant array; zeros as whole numbers take little room in the plan.
+    table = lambda values, unit: F.split(F.lit(",".join(str(round(v * unit)) for v in values)), ",").cast("array<int>")
 
     def score(slots: Column) -> Column:
         zero = F.struct(F.lit(-1).cast("long").alias("t"), F.lit(0.0).alias("w"), F.lit(0.0).alias("done"))
-        weight = lambda t: F.get(table(idf), t.cast("int"))
+        weight = lambda t: F.get(table(idf, 1000), t.cast("int")) / 1000
         step = lambda a, t: F.when(a["t"] == t, F.struct(t.alias("t"), (a["w"] + weight(t)).alias("w"), a["done"].alias("done"))).otherwise(
             F.struct(t.alias("t"), weight(t).alias("w"), (a["done"] + a["w"] * a["w"]).alias("done")))
         length = F.aggregate(F.sort_array(slots), zero, step, lambda a: F.sqrt(a["done"] + a["w"] * a["w"]))
 
         def dot(c: Counter) -> Column:
             norm = math.sqrt(sum((n * idf[k]) ** 2 for k, n in c.items()))
-            shares = table(c[k] * idf[k] ** 2 / norm for k in range(SLOTS))
-            return F.aggregate(slots, F.lit(0.0), lambda a, t: a + F.get(shares, t.cast("int")))
+            shares = table((c[k] * idf[k] ** 2 / norm for k in range(SLOTS)), 100_000)
+            return F.aggregate(slots, F.lit(0).cast("long"), lambda a, t: a + F.get(shares, t.cast("int"))) / 100_000
 
         found = [F.struct((-F.round(F.try_divide(dot(c), length), DIGITS)).alias("s"), F.lit(name).alias("license")) for name, c in sorted(counts.items())]
         return let(F.array_min(F.array(*found)), lambda b: F.struct(F.coalesce(-b["s"], F.lit(0.0)).alias("score"), b["license"].alias("license")))
