@@ -137,18 +137,17 @@ def beside(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "entity string, term string, n bigint")
 
 
-def occurrences(docs: DataFrame, only: set[str] | None) -> DataFrame:
-    """``term`` and ``total``: occurrences in all documents; term null: all words. ``only``: the terms asked for (None: all)."""
-    spread = docs.sparkSession.sparkContext.broadcast(only) if only is not None else None
+def occurrences(docs: DataFrame) -> DataFrame:
+    """``term`` and ``total``: occurrences in all documents; term null: all words."""
 
     def run(batches):
-        wanted, counts, words = None if spread is None else spread.value, Counter(), 0
+        counts, words = Counter(), 0
 
         def hand_on():
             found: Counter = Counter()
             for word, n in counts.items():
                 term = term_of(word)
-                if term is not None and (wanted is None or term in wanted):
+                if term is not None:
                     found[term] += n
             found[None] = words
             return pa.RecordBatch.from_arrays(
@@ -170,11 +169,10 @@ def occurrences(docs: DataFrame, only: set[str] | None) -> DataFrame:
 def disclosing_terms(docs: DataFrame, disclosed: float = DISCLOSED, prior: float = PRIOR) -> DataFrame:
     """``entity``, ``term`` and ``share`` of the entity's information that the term gives away."""
     counts = settle(beside(docs).groupBy("entity", "term").agg(F.sum("n").alias("n")))
-    terms = counts.where("term is not null").select("term").distinct()
-    few = terms.limit(PAIRS_PER_PASS + 1).collect()
-    totals = occurrences(docs, {r["term"] for r in few} if len(few) <= PAIRS_PER_PASS else None)
-    totals = settle(totals if len(few) <= PAIRS_PER_PASS else totals.join(terms, totals["term"].eqNullSafe(terms["term"]), "left_semi").unionByName(
-        totals.where("term is null")))
+    # The null term, all words, is among them: every entity has a row with it.
+    terms = counts.select(F.col("term").alias("__asked")).distinct()
+    totals = occurrences(docs)
+    totals = settle(totals.join(terms, totals["term"].eqNullSafe(terms["__asked"]), "left_semi"))
     words = totals.where("term is null").agg(F.sum("total")).first()[0] or 1
     entities = counts.where("term is null").select("entity", F.col("n").alias("n_entity"))
     pairs = counts.where("term is not null").join(entities, "entity").join(totals, "term")
