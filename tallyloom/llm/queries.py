@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
-    bpe_codec, exact_topk, license_scan, ngram_join, packing, pii, quality_classifier, quality_rules, sharding, token_counts,
+    bpe_codec, centroids, exact_topk, license_scan, ngram_join, packing, pii, quality_classifier, quality_rules, resampling, sharding,
+    simhash, token_counts,
 )
 from tallyloom.session import scratch_path
 
@@ -198,6 +199,83 @@ def op10_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_grams", "log_weight", "sample_key", "selected")
 
 
+def _resampling_sql() -> str:
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    digit = "instr('0123456789ABCDEF', substr(h, {}, 1)) - 1"
+    return f"""
+WITH texts AS (
+  SELECT doc_id, false AS target, {words} AS w FROM documents UNION ALL SELECT row_number() OVER (), true, {words} FROM benchmark),
+listed AS (
+  SELECT *, list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1])) AS grams FROM texts),
+spread AS (SELECT doc_id, target, unnest(grams) AS gram FROM listed),
+hexed AS (SELECT DISTINCT gram, hex(encode(gram)) AS h FROM spread),
+bytes AS (
+  SELECT gram, list_transform(range(0, len(h) // 2), lambda i: 16 * ({digit.format("2 * i + 1")}) + {digit.format("2 * i + 2")}) AS b FROM hexed),
+hashed AS (
+  SELECT gram, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b),
+    lambda c, x: xor(c >> 8, {table}[xor(c & 255, x) + 1]::BIGINT))) % 10000 AS bucket FROM bytes),
+counts AS (
+  SELECT bucket, count(*) FILTER (NOT target) AS s, count(*) FILTER (target) AS t FROM spread JOIN hashed USING (gram) GROUP BY bucket),
+sums AS (SELECT sum(s)::DOUBLE AS s_all, sum(t)::DOUBLE AS t_all FROM counts),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000) / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS gain FROM counts, sums),
+weights AS (
+  SELECT doc_id, floor(sum(gain) / count(*))::BIGINT AS weight FROM spread JOIN hashed USING (gram) JOIN gains USING (bucket) WHERE NOT target GROUP BY doc_id),
+noise AS (SELECT doc_id, len(w) AS n_words, len(grams) AS n_features, ('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT AS h FROM listed WHERE NOT target),
+scored AS (
+  SELECT doc_id, n_words, n_features::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5)::DOUBLE / 4294967296)))::BIGINT AS score FROM noise LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= floor(25 * n / 100) THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
+@query(_resampling_sql())
+def op11_target_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    out = resampling.resample(docs, read(spark, sf, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _clustering_sql() -> str:
+    ctes = ["""kept AS (
+  SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""", """c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), vec_id, v) - 1 AS k, v FROM kept WHERE vec_id IS NOT NULL QUALIFY k < 40)"""]
+    far = "list_sum(list_transform(list_zip(kept.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    for i in range(6):
+        ctes.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, vec_id, kept.v, k, {far} AS distance FROM kept CROSS JOIN c{i} c QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, k) = 1)""")
+        if i < 5:
+            ctes.append(f"""s{i} AS (
+  SELECT k, i, sum(v[i]) AS s, count(*) AS n FROM a{i}, (SELECT unnest(range(1, 65)) AS i) GROUP BY k, i),
+m{i} AS (SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM s{i} GROUP BY k),
+c{i + 1} AS MATERIALIZED (SELECT k, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} m USING (k))""")
+    return "WITH " + ",\n".join(ctes) + """
+SELECT vec_id, k::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY k)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+FROM a5 JOIN c5 USING (k)
+"""
+
+
+@query(_clustering_sql())
+def op12_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    out = centroids.cluster(read(spark, sf, "embeddings"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroids.centroid_sha256().alias("centroid_sha256"))
+
+
+@query()
+def op13_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    out = simhash.near_duplicates(read(spark, sf, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query()
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline  # it imports this module
