@@ -9,6 +9,7 @@ from tallyloom.functions import case_first
 from tallyloom.operators.aggregate import delimited_values
 from tallyloom.operators.capacity import capacity_grid, utilisation, weekday_time_off
 from tallyloom.operators.intervals import assign_interval, build_intervals
+from tallyloom.operators.overlaps import assign_latest
 from tallyloom.operators.tickets import ticket_facts, ticket_time_in_status, ticket_worklogs
 from tallyloom.operators.work import (
     deepest_present, issue_hierarchy, issue_wide, spread_points, status_milestones, work_type,
@@ -227,6 +228,38 @@ def interval_half_open(spark: SparkSession, sf: str) -> DataFrame:
     return _placed(spark, sf, closed=False)
 
 
+def _campaigns(spark: SparkSession, sf: str) -> DataFrame:
+    """Every purchase opens a campaign for as many hours as it is worth; campaigns nest and cross. Users' lists follow each other."""
+    sales = read(spark, sf, "events").where(F.col("event_type") == "purchase")
+    hours = F.make_dt_interval(hours=F.floor("value").cast("int"))
+    return sales.select(F.col("ts").alias("start"), (F.col("ts") + hours).alias("end"), "user_id", "event_id", key("C", "event_id").alias("campaign"))
+
+
+def _campaign_of(spark: SparkSession, sf: str, closed: bool) -> DataFrame:
+    """The campaign every event falls in, the last one of the list where there are several; a campaign's own purchase is one too."""
+    facts = read(spark, sf, "events").select("event_id", "event_type", "ts")
+    return assign_latest(facts, _campaigns(spark, sf), "ts", ["user_id", "event_id"], ["campaign"], closed=closed)
+
+
+def _campaign_sql(condition: str) -> str:
+    return f"""
+WITH c AS (
+  SELECT ts AS s, ts + to_hours(CAST(floor(value) AS INTEGER)) AS e, user_id, event_id AS id FROM events WHERE event_type = 'purchase')
+SELECT f.event_id, f.event_type, f.ts, 'C' || arg_max(id, (c.user_id, c.id)) AS campaign
+FROM events f LEFT JOIN c ON f.ts >= s AND {condition} GROUP BY 1, 2, 3
+"""
+
+
+@query(_campaign_sql("f.ts <= e"))
+def interval_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    return _campaign_of(spark, sf, closed=True)
+
+
+@query(_campaign_sql("f.ts < e"))
+def interval_overlaps_halfopen(spark: SparkSession, sf: str) -> DataFrame:
+    return _campaign_of(spark, sf, closed=False)
+
+
 # -- capacity --------------------------------------------------------------------------------------------------------
 
 
