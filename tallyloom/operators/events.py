@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.cases import all_hold, case_first
 from tallyloom.functions.columns import LOCAL_ZONE, hour_of, local_time, segment
 from tallyloom.operators.aggregate import count_by, pivot_first
-from tallyloom.operators.joins import full_outer, lookup, spread_nulls
+from tallyloom.operators.joins import NULL_KEY, full_outer, lookup, spread_nulls
 from tallyloom.operators.shape import MISSING, ensure_columns, fill_text, union_by_name
 
 IDENT = "id_serial_number"
@@ -38,8 +38,32 @@ def widen_events(
     """
     left = headers.withColumn(IDENT, identity(header_id, serial))
     pairs = attributes.select(identity(attribute_id, serial).alias(IDENT), key, value)
-    wide = fill_text(pivot_first(pairs, IDENT, key, value, keys))
-    return fill_text(full_outer(left, wide, IDENT))
+    # Filled after the join alone: a filled identity would be a new column to Spark, which it would shuffle by anew.
+    return fill_text(full_outer(left, pivot_first(pairs, IDENT, key, value, keys), IDENT))
+
+
+def headers_by_identity(headers: DataFrame, header_id: str = "id", serial: str = "serialNumber") -> DataFrame:
+    """Headers as they are stored in buckets by identity; headers without one are spread over values that match nothing."""
+    spread = spread_nulls(IDENT, *headers.columns)
+    return headers.withColumn(IDENT, identity(header_id, serial)).withColumn(IDENT, spread)
+
+
+def attributes_by_identity(
+    attributes: DataFrame, attribute_id: str = "metadataId", serial: str = "serialNumber", key: str = "key", value: str = "value",
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """Attributes as they are stored in buckets by identity: one row per identity and key, the smallest value of each.
+
+    That is the value the pivot takes, and it leaves an identity no more rows than there are keys.
+    """
+    pairs = attributes.select(identity(attribute_id, serial).alias(IDENT), F.col(key).alias("key"), F.col(value).alias("value"), *carry)
+    return pairs.groupBy(IDENT, "key", *carry).agg(F.min("value").alias("value"))
+
+
+def widen_stored(headers: DataFrame, attributes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``widen_events`` over both tables as they lie in buckets by identity: neither the pivot nor the join moves a row."""
+    both = headers.join(pivot_first(attributes, IDENT, "key", "value", keys), IDENT, "full_outer")
+    return fill_text(both.withColumn(IDENT, F.when(~F.startswith(F.col(IDENT), F.lit(NULL_KEY)), F.col(IDENT))))
 
 
 def bridge_family(bridge: Column | str) -> Column:

@@ -53,6 +53,8 @@ def lookup(
 
 
 MEET = "_meet"
+#: What the replaced keys of ``spread_nulls`` begin with.
+NULL_KEY = "\u0000null-"
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: Keys, how: str = "inner") -> DataFrame:
@@ -74,7 +76,7 @@ def spread_nulls(key: Column | str, *seed: Column | str, salts: int = 1024) -> C
     """
     key = F.col(key) if isinstance(key, str) else key
     salt = F.pmod(F.xxhash64(*seed), F.lit(salts)).cast("string")
-    return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000null-"), salt))
+    return F.coalesce(key.cast("string"), F.concat(F.lit(NULL_KEY), salt))
 
 
 def may_have_hot_key(df: DataFrame, hot_bytes: int = HOT_BYTES) -> bool:

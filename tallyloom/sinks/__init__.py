@@ -1,3 +1,7 @@
+from tallyloom.sinks.buckets import BucketedTable, declare, replace_bucketed
 from tallyloom.sinks.tables import append, append_day, conform, must_succeed, overwrite, write_all, write_selected
 
-__all__ = ["append", "append_day", "conform", "must_succeed", "overwrite", "write_all", "write_selected"]
+__all__ = [
+    "BucketedTable", "append", "append_day", "conform", "declare", "must_succeed", "overwrite", "replace_bucketed", "write_all",
+    "write_selected",
+]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,14 +11,16 @@ from pyspark.sql import functions as F
 from tallyloom.functions import case_first, case_last, contains_rules, pattern, segment, strip_zeros
 from tallyloom.operators.aggregate import row_quality, unmatched_share
 from tallyloom.operators.events import (
-    Route, add_preaggregated, content_site, count_sets, hourly_event_counts, hourly_event_counts_local, identity, route,
-    widen_events,
+    IDENT, Route, add_preaggregated, attributes_by_identity, content_site, count_sets, headers_by_identity, hourly_event_counts,
+    hourly_event_counts_local, identity, route, widen_events, widen_stored,
 )
 from tallyloom.operators.rules import classify, classify_by_key, rules_schema
 from tallyloom.operators.shape import MISSING, ensure_columns, fill_text
 from tallyloom.plans.event_job import SETS as COUNT_SETS
 from tallyloom.plans.event_job import classified_events
 from tallyloom.plans.fixed_values import RULE_KEYS, event_routes
+from tallyloom.session import scratch_path
+from tallyloom.sinks import BucketedTable, declare, replace_bucketed
 from tallyloom.sources import Table, by_environment, day_slice, load_audit, run_sql
 from tallyloom.workload.registry import query
 from tallyloom.workload.standins import event_attributes, event_headers, k, plain, read
@@ -113,7 +116,7 @@ def counts_union_preagg(spark: SparkSession, sf: str) -> DataFrame:
     return add_preaggregated(fresh, counted_elsewhere).withColumn("datetime_h", plain("datetime_h"))
 
 
-@query("""
+WIDE_SQL = """
 WITH h AS (
   SELECT event_id || '-' || user_id AS id_serial_number, event_type AS thingType FROM events WHERE event_type <> 'error'
 ), a AS (
@@ -123,12 +126,31 @@ WITH h AS (
 SELECT coalesce(h.id_serial_number, a.id_serial_number) AS id_serial_number, coalesce(thingType, 'N/A') AS "thingType",
        coalesce(k, 'N/A') AS k, coalesce(type, 'N/A') AS type
 FROM h FULL JOIN a ON h.id_serial_number = a.id_serial_number
-""")
+"""
+
+
+@query(WIDE_SQL)
 def eav_widen(spark: SparkSession, sf: str) -> DataFrame:
     wide = widen_events(event_headers(spark, sf), event_attributes(spark, sf), ["k", "type"])
     return wide.select("id_serial_number", "thingType", "k", "type")
 
 
+@query(WIDE_SQL)
+def eav_widen_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Headers and attributes are stored by identity, day by day; the pivot and the join then read them in place."""
+    run, day = uuid.uuid4().hex, F.to_date("time").alias("day")
+    stored = {
+        name: BucketedTable(f"{name}_{run}", scratch_path(spark, name), f"{IDENT} string, {columns}, day date", [IDENT], 8, ["day"])
+        for name, columns in (("headers", "thingType string"), ("attributes", "key string, value string"))
+    }
+    headers = headers_by_identity(event_headers(spark, sf).withColumn("day", day))
+    attributes = attributes_by_identity(event_attributes(spark, sf).withColumn("day", day), carry=["day"])
+    replace_bucketed(headers, stored["headers"])
+    replace_bucketed(attributes, stored["attributes"])
+    wide = widen_stored(declare(spark, stored["headers"]), declare(spark, stored["attributes"]), ["k", "type"])
+    return wide.select(IDENT, "thingType", "k", "type")
+
+
 @query("SELECT event_id, event_type, 'N/A' AS \"transactionId\", 'N/A' AS \"doorEvent\" FROM events", name="ensure_columns")
 def repair_columns(spark: SparkSession, sf: str) -> DataFrame:
     repaired = ensure_columns(read(spark, sf, "events"), ["event_type", "transactionId", "doorEvent"])
