@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +12,9 @@ from pyspark.sql import functions as F
 from tallyloom.functions.cases import case_first, case_last, contains_rules, like_rules
 from tallyloom.functions.columns import LOCAL_ZONE, local_time, nth
 from tallyloom.operators.aggregate import sum_by
-from tallyloom.operators.joins import lookup
+from tallyloom.operators.joins import MAX_BROADCAST_BYTES, lookup
 from tallyloom.operators.shape import fill_zero
+from tallyloom.session import settle
 
 STORAGE_MARK = "SSD"
 
@@ -19,7 +22,7 @@ STORAGE_MARK = "SSD"
 def flatten_billing(lines: DataFrame, resource: bool = False) -> DataFrame:
     """Nested billing lines to flat columns: the first two credits, and type and amount of any further ones in ``credits_rest``.
 
-    Only the struct fields named here are read.
+    ``credits_rest`` is null without further ones, which is nearly always. Only the struct fields named here are read.
     """
     columns = [
         F.col("service.description").alias("service_description"),
@@ -34,10 +37,10 @@ def flatten_billing(lines: DataFrame, resource: bool = False) -> DataFrame:
     for i in (1, 2):
         credit = nth("credits", i - 1)
         columns += [credit[f].alias(f"credits_{i}_{f}") for f in ("name", "amount", "type")]
-    further = F.greatest(F.size("credits") - 2, F.lit(0))
+    further = F.size("credits") - 2
     rest = F.arrays_zip(
         F.slice("credits.type", 3, further).alias("type"), F.slice("credits.amount", 3, further).alias("amount"))
-    columns.append(rest.alias("credits_rest"))
+    columns.append(F.when(further > 0, rest).alias("credits_rest"))
     if resource:
         columns += [
             F.col("resource.name").alias("resource_name"),
@@ -50,20 +53,26 @@ def _types_and_amounts() -> list[tuple[Column, Column]]:
     return [(F.col(f"credits_{i}_type"), F.col(f"credits_{i}_amount")) for i in (1, 2)]
 
 
-def _further(flat: DataFrame, hit) -> tuple[Column, Column]:
-    """Whether a credit beyond the second hits, and the sum of those that do (null if an amount is missing)."""
+def _rest(flat: DataFrame, sums: Mapping[str, Callable[[Column], Column]], missing: float | None) -> dict[str, tuple[Column, Column]]:
+    """Whether a credit beyond the second hits and the sum of those that do, by name; all in one pass over those credits.
+
+    Lines without such credits do not begin the pass. A missing amount is ``missing``; null makes the sum null.
+    """
     if "credits_rest" not in flat.columns:
-        return F.lit(False), F.lit(0.0)
-    hits = F.filter("credits_rest", lambda c: F.coalesce(hit(c["type"]), F.lit(False)))
-    return F.coalesce(F.size(hits) > 0, F.lit(False)), F.aggregate(hits, F.lit(0.0), lambda a, c: a + c["amount"].cast("double"))
+        return {name: (F.lit(False), F.lit(0.0)) for name in sums}
+    start = F.struct(*[F.struct(F.lit(False).alias("hit"), F.lit(0.0).alias("amount")).alias(name) for name in sums])
 
+    def add(total: Column, credit: Column) -> Column:
+        amount = credit["amount"].cast("double") if missing is None else F.coalesce(credit["amount"].cast("double"), F.lit(missing))
+        parts = []
+        for name, hits in sums.items():
+            hit = F.coalesce(hits(credit["type"]), F.lit(False))
+            parts.append(F.struct(
+                (total[name]["hit"] | hit).alias("hit"), F.when(hit, total[name]["amount"] + amount).otherwise(total[name]["amount"]).alias("amount")).alias(name))
+        return F.struct(*parts)
 
-def _sum_further(flat: DataFrame, hit) -> Column:
-    """The same with missing amounts as 0."""
-    if "credits_rest" not in flat.columns:
-        return F.lit(0.0)
-    return F.coalesce(F.aggregate("credits_rest", F.lit(0.0), lambda a, c: a + F.when(
-        F.coalesce(hit(c["type"]), F.lit(False)), F.coalesce(c["amount"].cast("double"), F.lit(0.0))).otherwise(0.0)), F.lit(0.0))
+    found, some = F.aggregate("credits_rest", start, add), F.col("credits_rest").isNotNull()
+    return {name: (F.when(some, found[name]["hit"]).otherwise(False), F.when(some, found[name]["amount"]).otherwise(0.0)) for name in sums}
 
 
 def _sum_where(hits: Sequence[Column], amounts: Sequence[Column]) -> Column:
@@ -80,19 +89,19 @@ def split_credits(flat: DataFrame, policy: str = "like") -> DataFrame:
     """
     (t1, a1), (t2, a2) = _types_and_amounts()
     if policy == "like":
-        parts = {}
-        for kind in ("%DISCOUNT%", "%PROMOTION%"):
-            more, amount = _further(flat, lambda t, kind=kind: t.like(kind))
-            parts[kind] = _sum_where([t1.like(kind), t2.like(kind), more], [a1, a2, amount])
-        discount, promotion = parts["%DISCOUNT%"], parts["%PROMOTION%"]
+        kinds = ("%DISCOUNT%", "%PROMOTION%")
+        rest = _rest(flat, {kind: lambda t, kind=kind: t.like(kind) for kind in kinds}, None)
+        discount, promotion = (
+            _sum_where([t1.like(kind), t2.like(kind), rest[kind][0]], [a1, a2, rest[kind][1]]) for kind in kinds)
     elif policy == "exact":
         zero = F.lit(0.0)
         parts = [(F.coalesce(t == "PROMOTION", F.lit(False)), F.coalesce(a, zero)) for t, a in _types_and_amounts()]
         is_promotion = lambda t: F.coalesce(t == "PROMOTION", F.lit(False))
-        promotion = sum((F.when(hit, a).otherwise(zero) for hit, a in parts), _sum_further(flat, is_promotion))
-        discount = sum((F.when(hit, zero).otherwise(a) for hit, a in parts), _sum_further(flat, lambda t: ~is_promotion(t)))
+        rest = _rest(flat, {"promotion": is_promotion, "discount": lambda t: ~is_promotion(t)}, 0.0)
+        promotion = sum((F.when(hit, a).otherwise(zero) for hit, a in parts), rest["promotion"][1])
+        discount = sum((F.when(hit, zero).otherwise(a) for hit, a in parts), rest["discount"][1])
     elif policy == "all":
-        discount = F.coalesce(a1, F.lit(0.0)) + F.coalesce(a2, F.lit(0.0)) + _sum_further(flat, lambda t: F.lit(True))
+        discount = F.coalesce(a1, F.lit(0.0)) + F.coalesce(a2, F.lit(0.0)) + _rest(flat, {"all": lambda t: F.lit(True)}, 0.0)["all"][1]
         promotion = F.lit(0.0)
     else:
         raise ValueError(f"unknown credit policy: {policy}")
@@ -160,6 +169,22 @@ def map_component(
     return lines.withColumn(out, rule)
 
 
+def map_once(lines: DataFrame, columns: Sequence[str], mapped: Callable[[DataFrame], DataFrame], max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """What ``mapped`` adds to ``lines``, worked out once for each distinct combination of ``columns`` and joined back.
+
+    ``mapped`` may look at ``columns`` alone. Names repeat from line to line, so long lists of patterns are tried on few rows; every
+    line then costs one look-up, whatever the number of patterns. The answers are settled: their true size decides whether they
+    are broadcast, and adaptive execution splits a name with many lines otherwise. Nulls are names like any other.
+    """
+    names = lines.select(*columns).distinct()
+    answers = mapped(names)
+    added = [c for c in answers.columns if c not in columns]
+    answers = settle(answers.select(*[F.col(c).alias(f"_name_{i}") for i, c in enumerate(columns)], *added))
+    same = reduce(and_, (lines[c].eqNullSafe(answers[f"_name_{i}"]) for i, c in enumerate(columns)))
+    kept = [c for c in lines.columns if c not in added]
+    return lookup(lines.select(*kept), answers, same, "left", max_bytes).select(*kept, *added)
+
+
 def map_subcomponent(
     lines: DataFrame,
     rules: Sequence[tuple[str, str]],
@@ -184,10 +209,17 @@ def detailed_costs(
     verbatim: Sequence[str] = (),
     zone: str = LOCAL_ZONE,
     mark: str = STORAGE_MARK,
+    once: bool = False,
 ) -> DataFrame:
-    """Every billing line with its component, sub-component, local time and cost parts."""
+    """Every billing line with its component, sub-component, local time and cost parts.
+
+    ``once`` tries the patterns on the distinct names instead of on every line (``map_once``): for long lists of patterns.
+    """
+    def with_parts(rows: DataFrame) -> DataFrame:
+        return map_subcomponent(map_component(rows, name_rules, global_rules), sub_rules, verbatim)
+
     flat = fill_zero(flatten_billing(lines, resource=True), "cost", "credits_1_amount", "credits_2_amount")
-    mapped = map_subcomponent(map_component(flat, name_rules, global_rules), sub_rules, verbatim)
+    mapped = map_once(flat, ["resource_name", "resource_global_name"], with_parts) if once else with_parts(flat)
     parts = split_compute_storage(split_credits(mapped, "like"), mark=mark)
     return parts.withColumn("usage_start_time_local", local_time("usage_start_time", zone))
 

@@ -153,7 +153,7 @@ COMPONENT = """CASE WHEN resource_name LIKE '%bolt' THEN 'Fasteners' WHEN resour
             WHEN resource_global_name LIKE '//Brand#1%' THEN 'First brands' END"""
 
 
-@query(f"""
+COMPONENT_MAP = f"""
 WITH {BILLING}, m AS (SELECT *, {COMPONENT} AS component FROM c)
 SELECT component,
        CASE WHEN component IS NULL THEN 'N/A' WHEN resource_name LIKE '%blue%' THEN 'Blue'
@@ -162,9 +162,10 @@ SELECT component,
        date_trunc('month', local_time)::DATE AS month, sum(cost) AS cost,
        sum(cost + disc) AS total_after_discounts, count(*) AS lines
 FROM m GROUP BY 1, 2, 3
-""")
-def component_map(spark: SparkSession, sf: str) -> DataFrame:
-    detailed = billing.detailed_costs(billing_lines(spark, sf), BY_NAME, BY_GLOBAL, SUBS, verbatim=("cold%",))
+"""
+
+
+def _component_costs(detailed: DataFrame) -> DataFrame:
     month = detailed.withColumn("month", F.trunc("usage_start_time_local", "month"))
     return month.groupBy("component", "sub_component", "month").agg(
         F.sum("cost").alias("cost"), F.sum("total_after_discounts").alias("total_after_discounts"),
@@ -172,7 +173,18 @@ def component_map(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(f"""
+@query(COMPONENT_MAP)
+def component_map(spark: SparkSession, sf: str) -> DataFrame:
+    return _component_costs(billing.detailed_costs(billing_lines(spark, sf), BY_NAME, BY_GLOBAL, SUBS, verbatim=("cold%",)))
+
+
+@query(COMPONENT_MAP)
+def component_map_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The patterns are tried on the distinct names only."""
+    return _component_costs(billing.detailed_costs(billing_lines(spark, sf), BY_NAME, BY_GLOBAL, SUBS, verbatim=("cold%",), once=True))
+
+
+COMPONENT_LAST = f"""
 WITH {BILLING}
 SELECT coalesce(
          CASE WHEN contains(resource_name, 'ring') THEN 'Seals' WHEN contains(resource_name, 'gear') THEN 'Drives'
@@ -181,12 +193,25 @@ SELECT coalesce(
               WHEN contains(resource_global_name, 'PROMO') THEN 'Promotions' END, 'other') AS component,
        sum(cost) AS cost, count(*) AS lines
 FROM c GROUP BY 1
-""")
-def component_map_last(spark: SparkSession, sf: str) -> DataFrame:
-    flat = billing.flatten_billing(billing_lines(spark, sf), resource=True)
+"""
+
+
+def _last_component(rows: DataFrame) -> DataFrame:
     by_name = [(p.strip("%"), c) for p, c in BY_NAME]
     by_global = [("PROMO", "Promotions"), ("Brand#1", "First brands")]
-    mapped = billing.map_component(flat, by_name, by_global, mode="last", default="other")
+    return billing.map_component(rows, by_name, by_global, mode="last", default="other")
+
+
+@query(COMPONENT_LAST)
+def component_map_last(spark: SparkSession, sf: str) -> DataFrame:
+    mapped = _last_component(billing.flatten_billing(billing_lines(spark, sf), resource=True))
+    return mapped.groupBy("component").agg(F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("lines"))
+
+
+@query(COMPONENT_LAST)
+def component_map_last_once(spark: SparkSession, sf: str) -> DataFrame:
+    flat = billing.flatten_billing(billing_lines(spark, sf), resource=True)
+    mapped = billing.map_once(flat, ["resource_name", "resource_global_name"], _last_component)
     return mapped.groupBy("component").agg(F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("lines"))
 
 

@@ -131,3 +131,16 @@ def test_month_report_and_even_allocation(spark):
     assert rows(even, "tenant_parent_code", "month", "total_cost_by_tenant", "environment") == [
         ("A", "2024-01", 75.0, "ENV"), ("B", "2024-01", 75.0, "ENV"),
     ]
+
+
+@pytest.mark.parametrize("max_bytes", [0, 8 << 20])
+def test_names_mapped_once_as_line_by_line(spark, max_bytes):
+    names = [("a-gw-1", "g/x"), ("db-a", None), (None, "g/db"), (None, None), ("plain", "plain"), ("a-gw-1", "g/y"), ("db-gw", "g/x")]
+    lines = spark.range(700).join(
+        spark.createDataFrame([(i, *n) for i, n in enumerate(names)], "i int, resource_name string, resource_global_name string"),
+        F.col("id") % len(names) == F.col("i")).withColumn("component", F.lit("before"))
+    by_name, by_global = [("%gw%", "gateway"), ("db%", "store")] + [(f"%none{i}%", "x") for i in range(60)], [("%db", "store"), ("g/%", "group")]
+    for mode in ("first", "last"):
+        mapped = lambda rows, mode=mode: billing.map_component(rows, by_name, by_global, mode, default="N/A")
+        once = billing.map_once(lines, ["resource_name", "resource_global_name"], mapped, max_bytes)
+        assert rows(once, "id", "component") == rows(mapped(lines), "id", "component") and once.columns.count("component") == 1
