@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from tallyloom.operators.joins import split_by_match
 from tallyloom.operators.shape import clean_names, union_by_name
 from tallyloom.schemas import all_text
 from tallyloom.session import scratch_path
-from tallyloom.sinks import append_day, conform, overwrite, write_selected
+from tallyloom.sinks import append_day, commit_batch, conform, overwrite, read_batches, write_selected
 from tallyloom.sources import arrays_to_rows, flatten_structs, read_csv, read_json
 from tallyloom.workload.registry import query
 from tallyloom.workload.standins import REQUESTS, k, plain, read, requests, units
@@ -289,6 +291,40 @@ def write_by_partition(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("cost double, orders bigint, promotion_credits double, month string").parquet(path)
 
 
+@query("""
+WITH r AS (SELECT CAST(ts AS DATE) AS day, event_type, user_id, value FROM events)
+SELECT 'stats' AS output, event_type AS key, count(*) AS requests, sum(round(value * 100))::DOUBLE AS latency FROM r GROUP BY 2
+UNION ALL
+SELECT 'users', CAST(user_id AS VARCHAR), count(*), NULL FROM r GROUP BY 2
+""")
+def append_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch for each week with two outputs, each sent twice, one broken off between the outputs before: every row once."""
+    root = scratch_path(spark, "batches")
+    events = read(spark, sf, "events").withColumn("week", F.date_trunc("week", "ts").cast("date"))
+    broken = F.assert_true(F.lit(False), F.lit("broken off"))
+    for number, r in enumerate(events.select("week").distinct().orderBy("week").collect()):  # the calendar's weeks
+        part = events.where(F.col("week").eqNullSafe(F.lit(r["week"])))
+        outputs = {
+            "stats": part.groupBy("event_type").agg(F.count(F.lit(1)).alias("requests"), F.sum(units("value", 100)).alias("latency")),
+            "users": part.groupBy("user_id").agg(F.count(F.lit(1)).alias("requests")),
+        }
+        if number == 1:
+            try:
+                commit_batch(spark, root, f"week-{r['week']}", {**outputs, "users": outputs["users"].where(broken.isNull())})
+            except (PySparkException, Py4JError):
+                pass  # the broken batch, whose first output is written and must stay unseen
+        for _ in range(2):
+            commit_batch(spark, root, f"week-{r['week']}", outputs)
+    stats = read_batches(spark, root, "stats", "event_type string, requests bigint, latency double")
+    users = read_batches(spark, root, "users", "user_id bigint, requests bigint")
+    totals = [
+        stats.groupBy(F.col("event_type").alias("key")).agg(F.sum("requests").alias("requests"), F.sum("latency").alias("latency")),
+        users.groupBy(F.col("user_id").cast("string").alias("key")).agg(F.sum("requests").alias("requests"), F.lit(None).cast("double").alias("latency")),
+    ]
+    named = [t.select(F.lit(n).alias("output"), "key", "requests", "latency") for n, t in zip(("stats", "users"), totals)]
+    return named[0].unionByName(named[1])
+
+
 # -- keys, sets and scalars ------------------------------------------------------------------------------------------
 
 
