@@ -13,11 +13,12 @@ from tallyloom.functions import (
 )
 from tallyloom.operators import catalog, traffic
 from tallyloom.operators.aggregate import distinct_counts, first_per_key, last_per_key, pivot_sum
+from tallyloom.operators.bitmaps import counts_of_bitmaps, distinct_bitmaps, new_numbers, with_row_counts
 from tallyloom.operators.joins import split_by_match
 from tallyloom.operators.shape import clean_names, union_by_name
 from tallyloom.schemas import all_text
-from tallyloom.session import scratch_path
-from tallyloom.sinks import append_day, commit_batch, conform, overwrite, read_batches, write_selected
+from tallyloom.session import scratch_path, settle
+from tallyloom.sinks import append_day, commit_batch, conform, is_committed, overwrite, read_batches, write_selected
 from tallyloom.sources import arrays_to_rows, flatten_structs, read_csv, read_json
 from tallyloom.workload.registry import query
 from tallyloom.workload.standins import REQUESTS, k, plain, read, requests, units
@@ -352,6 +353,33 @@ def distinct_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_counts(read(spark, sf, "customer"), ["c_mktsegment"], {"nations": "c_nationkey"}, "customers")
 
 
+@query("""
+WITH e AS (SELECT date_trunc('month', ts) AS month, event_type, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)
+SELECT month, event_type, count(DISTINCT user_id) AS users, count(DISTINCT k) AS codes, count(*) AS events FROM e GROUP BY 1, 2
+UNION ALL SELECT month, 'all', count(DISTINCT user_id), count(DISTINCT k), count(*) FROM e GROUP BY 1
+""")
+def distinct_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Sets kept by day, loaded in two batches with the numbers they need, and merged to months, by type and over all types."""
+    root, columns = scratch_path(spark, "sets"), ("user_id", "k")
+    events = read(spark, sf, "events").select(F.to_date("ts").alias("day"), "event_type", "user_id", k().alias("k"))
+    known_as = "value bigint, number bigint"
+    for batch, part in (("until-15", events.where(F.dayofmonth("day") <= 15)), ("from-16", events.where(F.dayofmonth("day") > 15))):
+        while not is_committed(spark, root, batch):
+            known = {c: read_batches(spark, root, c, known_as) for c in columns}
+            fresh = {c: settle(new_numbers(part, c, known[c])) for c in columns}
+            days = distinct_bitmaps(part, ["day", "event_type"], {c: known[c].unionByName(fresh[c]) for c in columns})
+            counts = part.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("events"))
+            commit_batch(spark, root, batch, {**fresh, "days": days, "counts": counts})
+    days = read_batches(spark, root, "days", "day date, event_type string, measure string, bucket bigint, bitmap binary")
+    counts = read_batches(spark, root, "counts", "day date, event_type string, events bigint")
+    month, out = F.trunc("day", "month").cast("timestamp_ntz"), []
+    for kind in (F.col("event_type"), F.lit("all")):
+        sets, rows = (t.withColumns({"month": month, "event_type": kind}) for t in (days, counts))
+        found = counts_of_bitmaps(sets, ["month", "event_type"], {"users": "user_id", "codes": "k"})
+        out.append(with_row_counts(found, rows.groupBy("month", "event_type").agg(F.sum("events").alias("events")), ["month", "event_type"]))
+    return out[0].unionByName(out[1])
+
+
 @query("SELECT DISTINCT p_brand, p_type FROM part")
 def distinct_rows(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "part").select("p_brand", "p_type").distinct()
