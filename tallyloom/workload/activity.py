@@ -16,10 +16,10 @@ from tallyloom.operators.aggregate import distinct_counts, first_per_key, last_p
 from tallyloom.operators.bitmaps import counts_of_bitmaps, distinct_bitmaps, new_numbers, with_row_counts
 from tallyloom.operators.joins import split_by_match
 from tallyloom.operators.shape import clean_names, union_by_name
-from tallyloom.schemas import all_text
+from tallyloom.schemas import SALES, all_text
 from tallyloom.session import scratch_path, settle
 from tallyloom.sinks import append_day, commit_batch, conform, is_committed, overwrite, read_batches, write_selected
-from tallyloom.sources import arrays_to_rows, flatten_structs, read_csv, read_json
+from tallyloom.sources import arrays_to_rows, flatten_structs, read_checked, read_csv, read_json
 from tallyloom.workload.registry import query
 from tallyloom.workload.standins import REQUESTS, k, plain, read, requests, units
 
@@ -326,6 +326,37 @@ def append_batches(spark: SparkSession, sf: str) -> DataFrame:
     return named[0].unionByName(named[1])
 
 
+@query("""
+WITH t AS (
+  SELECT l_suppkey AS site, round(l_extendedprice * 100) / 100 AS usd, l_quantity::BIGINT AS qty,
+         CASE WHEN l_tax = 0 THEN '11 cells instead of 12' WHEN l_discount = 0.1 THEN '13 cells instead of 12'
+              WHEN l_discount = 0 THEN 'totalSalesUSD is no double: n/a' WHEN l_linestatus = 'F' AND l_linenumber = 7 THEN 'siteCode is empty' END AS reason
+  FROM lineitem)
+SELECT CASE WHEN reason IS NULL THEN 'S' || site END AS site, reason, count(*) AS rows,
+       sum(CASE WHEN reason IS NULL THEN round(usd * 100) END)::DOUBLE AS cents, sum(CASE WHEN reason IS NULL THEN qty END)::BIGINT AS qty
+FROM t GROUP BY 1, 2
+""")
+def sales_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales files with short and long lines, cells of the wrong type and empty cells: good rows counted, refused ones by reason."""
+    path, cell = scratch_path(spark, "sales"), lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    late = (F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 7)
+    usd = F.format_string("%.2f", F.rint(F.col("l_extendedprice") * 100) / 100)
+    cells = [
+        F.lit("SALE"), F.concat(cell("l_orderkey"), F.lit("-"), cell("l_linenumber")), F.lit('"a, b"'), F.lit(">G"), F.lit(""), F.to_date("l_shipdate").cast("string"),
+        cell("l_linestatus"), F.when(late, "").otherwise(F.concat(F.lit("S"), cell("l_suppkey"))), F.lit("Site"), F.lit("F"),
+        F.when(F.col("l_discount") == 0, "n/a").otherwise(usd), F.col("l_quantity").cast("int").cast("string"),
+    ]
+    line = F.when(F.col("l_tax") == 0, F.concat_ws(",", *cells[:-1])).when(
+        F.col("l_discount") == 0.1, F.concat_ws(",", *cells, F.lit("more"))).otherwise(F.concat_ws(",", *cells))
+    read(spark, sf, "lineitem").select(line.alias("value")).write.text(path)
+    good, refused = read_checked(spark, path, SALES, required=("siteCode",), header=False)
+    overwrite(refused, f"{path}-refused")
+    kept = good.groupBy(F.col("siteCode").alias("site")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(units("totalSalesUSD", 100)).alias("cents"), F.sum("totalSalesQty").cast("bigint").alias("qty"))
+    wrong = spark.read.schema("file string, line string, reason string").parquet(f"{path}-refused").groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    return union_by_name(kept.withColumn("reason", F.lit(None).cast("string")), wrong).select("site", "reason", "rows", "cents", "qty")
+
+
 # -- keys, sets and scalars ------------------------------------------------------------------------------------------
 
 

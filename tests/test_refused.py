@@ -1,0 +1,60 @@
+import pytest
+from frames import rows
+from pyspark.sql import functions as F
+
+from tallyloom.sources import read_checked
+
+SCHEMA = "id int, name string, amount double, day date"
+
+
+def split(spark, tmp_path, text, **options):
+    (tmp_path / "f.csv").write_bytes(text.encode())
+    return read_checked(spark, str(tmp_path / "f.csv"), SCHEMA, **options)
+
+
+def test_rows_that_do_not_fit_are_told_apart(spark, tmp_path):
+    text = "\r\n".join([
+        "id,name,amount,day", "1,a,1.5,2024-01-01", '2,"b, c ""d""",,', "x,a,1,2024-01-01", "3,a,much,2024-01-01", "4,a,1,2024-13-01",
+        "5,a", "6,a,1,2024-01-01,more", "99999999999,a,1,2024-01-01", "", ",a,2,2024-01-02", '7,"a,b,c",1,2024-01-01'])
+    good, refused = split(spark, tmp_path, text, required=("id",))
+    day = lambda s: __import__("datetime").date.fromisoformat(s)
+    assert rows(good) == [(1, "a", 1.5, day("2024-01-01")), (2, 'b, c "d"', None, None), (7, "a,b,c", 1.0, day("2024-01-01"))]
+    assert rows(refused, "line", "reason") == sorted([
+        ("x,a,1,2024-01-01", "id is no int: x"), ("3,a,much,2024-01-01", "amount is no double: much"), ("4,a,1,2024-13-01", "day is no date: 2024-13-01"),
+        ("5,a", "2 cells instead of 4"), ("6,a,1,2024-01-01,more", "5 cells instead of 4"), ("99999999999,a,1,2024-01-01", "id is no int: 99999999999"),
+        (",a,2.0,2024-01-02", "id is empty")])
+    assert all(r["file"].endswith("f.csv") for r in refused.collect())
+    assert good.schema.simpleString() == "struct<id:int,name:string,amount:double,day:date>"
+
+
+def test_every_row_is_on_one_side(spark, tmp_path):
+    lines = [f"{i},{'n' * (i % 3)},{i / 4 if i % 5 else 'bad'},2024-01-0{1 + i % 9}" + (",x" if i % 7 == 0 else "") for i in range(500)]
+    good, refused = split(spark, tmp_path, "\n".join(lines), header=False)
+    assert good.count() + refused.count() == 500 and refused.count() == sum(i % 5 == 0 or i % 7 == 0 for i in range(500))
+
+
+def test_headers_of_several_files(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,name,amount,day\n1,a,1,2024-01-01\n")
+    (folder / "b.csv").write_text("id,name,amount,day\n2,b,1,2024-01-01\n")
+    (folder / "c.csv").write_text("id,title,amount,day\n3,c,1,2024-01-01\n")
+    good, refused = read_checked(spark, str(folder), SCHEMA)
+    assert rows(good, "id") == [(1,), (2,), (3,)] and rows(refused, "reason") == [("id is no int: id",)]
+    text, none = read_checked(spark, str(folder), "a string, b string, c string, d string", header=True)
+    assert text.count() == 6 and none.count() == 0
+    named, none = read_checked(spark, str(folder), "id string, name string, amount string, day string")
+    assert named.count() == 4 and none.count() == 0
+
+
+def test_other_separators_and_unknown_columns(spark, tmp_path):
+    good, refused = split(spark, tmp_path, "1|a|2|2024-01-01\n1|a|2\n", header=False, separator="|")
+    assert rows(good, "id") == [(1,)] and rows(refused, "reason") == [("3 cells instead of 4",)]
+    with pytest.raises(ValueError, match="no such column: nix"):
+        split(spark, tmp_path, "", required=("nix",))
+    assert good.where("id is null").isEmpty() and refused.where(F.col("line").isNull()).isEmpty()
+
+
+def test_an_empty_file(spark, tmp_path):
+    good, refused = split(spark, tmp_path, "")
+    assert good.count() == refused.count() == 0
