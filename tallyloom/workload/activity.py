@@ -19,7 +19,7 @@ from tallyloom.operators.shape import clean_names, union_by_name
 from tallyloom.schemas import SALES, all_text
 from tallyloom.session import scratch_path, settle
 from tallyloom.sinks import append_day, commit_batch, conform, is_committed, overwrite, read_batches, write_selected
-from tallyloom.sources import arrays_to_rows, flatten_structs, read_checked, read_csv, read_json
+from tallyloom.sources import arrays_to_rows, flatten_structs, read_checked, read_csv, read_json, read_variants, shred
 from tallyloom.workload.registry import query
 from tallyloom.workload.standins import REQUESTS, k, plain, read, requests, units
 
@@ -258,6 +258,32 @@ def payload_columns(spark: SparkSession, sf: str) -> DataFrame:
     return flatten_structs(read_json(spark, path, schema))
 
 
+@query("""
+SELECT c_custkey AS code, CASE WHEN c_mktsegment <> 'BUILDING' THEN round(c_acctbal * 100) END::BIGINT AS cents,
+       CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS nation_key, n_name AS nation_name, c_mktsegment = 'BUILDING' AS unread
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+""")
+def payload_variants(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads whose fields differ by row: a balance that is a number, a text or no number at all, a nation with parts or by name."""
+    customers, nations = read(spark, sf, "customer"), read(spark, sf, "nation")
+    segment, nation = F.col("c_mktsegment"), F.struct(F.col("c_nationkey").alias("key"), F.col("n_name").alias("name"))
+    cents = F.rint(F.col("c_acctbal") * 100).cast("bigint")
+    balance = F.when(segment == "BUILDING", '"unknown"').when(
+        segment == "MACHINERY", F.concat(F.lit('"'), cents.cast("string"), F.lit('"'))).otherwise(cents.cast("string"))
+    where = F.when(F.col("c_acctbal") >= 0, F.to_json(nation)).otherwise(F.concat(F.lit('"'), "n_name", F.lit('"')))
+    joined = customers.join(nations, customers.c_nationkey == nations.n_nationkey, "left")
+    path = scratch_path(spark, "variants")
+    joined.select(F.concat(
+        F.lit('{"code":'), F.col("c_custkey").cast("string"), F.lit(',"balance":'), balance, F.lit(',"nation":'), F.coalesce(where, F.lit("null")), F.lit("}"),
+    ).alias("value")).write.text(path)
+    read_back = shred(read_variants(spark, path), "payload", {
+        "code": ("$.code", "bigint"), "cents": ("$.balance", "bigint"), "nation_key": ("$.nation.key", "int"),
+        "inner": ("$.nation.name", "string"), "plain": ("$.nation", "string"), "text": ("$.balance", "string"),
+    })
+    # An object asked for as text gives its JSON, so the name inside it comes first.
+    return read_back.select("code", "cents", "nation_key", F.coalesce("inner", "plain").alias("nation_name"), (F.col("text") == "unknown").alias("unread"))
+
+
 @query("""
 SELECT c_custkey, c_nationkey, n_name AS "Name", CAST(n_regionkey AS VARCHAR) AS "Region"
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey

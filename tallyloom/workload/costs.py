@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import day_text, hour_text, month_text
@@ -11,6 +11,7 @@ from tallyloom.operators.aggregate import share_of_total, sum_all, sum_by, sum_b
 from tallyloom.operators.events import hourly_event_counts
 from tallyloom.plans.cost_jobs import adjusted_report, local_cost_report
 from tallyloom.plans.fixed_values import UNIT_SUMS
+from tallyloom.sources import credits_of_text
 from tallyloom.workload.registry import query
 from tallyloom.workload.standins import (
     BILLING, PURCHASES, STORAGE, billing_lines, k, plain, purchases, read, units,
@@ -56,7 +57,7 @@ def alloc_unallocated(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- credits and parts -----------------------------------------------------------------------------------------------
 
-@query("""
+ANY_CREDITS = """
 WITH t AS (
   SELECT l_returnflag, l_linenumber % 4 AS n,
     [{'type': 'A_DISCOUNT', 'amount': -l_linenumber}, {'type': 'PROMOTION', 'amount': -2 * l_linenumber},
@@ -66,19 +67,24 @@ c AS (SELECT l_returnflag, n, list_filter(credits[1:n], lambda x: x.type LIKE '%
 SELECT l_returnflag AS id_project, n AS usage_amount, sum(coalesce(list_sum(list_transform(d, lambda x: x.amount)), 0))::DOUBLE AS discounts,
        sum(coalesce(list_sum(list_transform(p, lambda x: x.amount)), 0))::DOUBLE AS promotions
 FROM c GROUP BY 1, 2
-""")
-def split_credits_any_number(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines of none to three credits; all policies that tell discounts from promotions agree on them."""
+"""
+
+
+def _three_credits() -> Column:
     number, status = F.col("l_linenumber"), F.col("l_linestatus")
     credit = lambda kind, amount: F.struct(F.lit("c").alias("name"), amount.cast("double").alias("amount"), kind.alias("type"))
     three = F.array(
         credit(F.lit("A_DISCOUNT"), -number), credit(F.lit("PROMOTION"), -2 * number),
         credit(F.when(status == "F", F.lit("B_DISCOUNT")).otherwise("PROMOTION"), -F.col("l_partkey")))
+    return F.slice(three, 1, number % 4)
+
+
+def _sum_credits(spark: SparkSession, sf: str, credits: Column) -> DataFrame:
     named = lambda *names: F.struct(*[F.lit("x").alias(n) for n in names])
     lines = read(spark, sf, "lineitem").select(
         named("id", "description").alias("service"), named("id", "description").alias("sku"),
-        F.struct(F.col("l_returnflag").alias("id")).alias("project"), F.struct((number % 4).alias("amount"), F.lit("u").alias("unit")).alias("usage"),
-        F.slice(three, 1, number % 4).alias("credits"), F.lit(0.0).alias("cost"), F.lit("regular").alias("cost_type"),
+        F.struct(F.col("l_returnflag").alias("id")).alias("project"), F.struct((F.col("l_linenumber") % 4).alias("amount"), F.lit("u").alias("unit")).alias("usage"),
+        credits.alias("credits"), F.lit(0.0).alias("cost"), F.lit("regular").alias("cost_type"),
         F.col("l_shipdate").alias("usage_start_time"))
     flat = billing.flatten_billing(lines)
     like, exact = (billing.split_credits(flat, p) for p in ("like", "exact"))
@@ -87,6 +93,22 @@ def split_credits_any_number(spark: SparkSession, sf: str) -> DataFrame:
         (F.sum("credits_discounts") / 2).alias("discounts"), (F.sum("credits_promotion") / 2).alias("promotions"))
 
 
+@query(ANY_CREDITS)
+def split_credits_any_number(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of none to three credits; all policies that tell discounts from promotions agree on them."""
+    return _sum_credits(spark, sf, _three_credits())
+
+
+@query(ANY_CREDITS)
+def split_credits_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The same credits as they arrive printed: single quotes, nothing or a comma between them."""
+    printed = F.transform(_three_credits(), lambda c: F.concat(
+        F.lit("{'name': 'it is', 'amount': "), c["amount"].cast("string"), F.lit(", 'full_name': None, 'id': '', 'type': '"), c["type"], F.lit("'}")))
+    between = F.when(F.col("l_linestatus") == "F", F.lit("\n ")).otherwise(F.lit(", "))
+    text = F.concat(F.lit("["), F.aggregate(printed, F.lit(""), lambda a, p: F.when(a == "", p).otherwise(F.concat(a, between, p))), F.lit("]"))
+    return _sum_credits(spark, sf, credits_of_text(text))
+
+
 def _credits(spark: SparkSession, sf: str, policy: str) -> DataFrame:
     split = billing.split_credits(billing.flatten_billing(billing_lines(spark, sf)), policy)
     return sum_by(split, ["id_project", "service_description"], {
