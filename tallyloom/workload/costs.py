@@ -11,6 +11,8 @@ from tallyloom.operators.aggregate import share_of_total, sum_all, sum_by, sum_b
 from tallyloom.operators.events import hourly_event_counts
 from tallyloom.plans.cost_jobs import adjusted_report, local_cost_report
 from tallyloom.plans.fixed_values import UNIT_SUMS
+from tallyloom.session import scratch_path
+from tallyloom.sinks import overwrite, write_conserved
 from tallyloom.sources import credits_of_text
 from tallyloom.workload.registry import query
 from tallyloom.workload.standins import (
@@ -55,6 +57,26 @@ def alloc_unallocated(spark: SparkSession, sf: str) -> DataFrame:
     return left.withColumn("datetime_h", plain("datetime_h"))
 
 
+@query(f"""
+WITH {USAGE}, {PURCHASES}, used AS (SELECT DISTINCT datetime_h FROM usage WHERE isodow(datetime_h) < 6),
+p AS (SELECT datetime_h, sum(cost)::DOUBLE AS cost, sum(after)::DOUBLE AS after FROM pool WHERE datetime_h NOT IN (SELECT datetime_h FROM used) GROUP BY 1)
+SELECT datetime_h, 'cost' AS amount, cost AS pool, 0.0::DOUBLE AS allocated, cost AS difference FROM p WHERE abs(cost) > 1e-9
+UNION ALL SELECT datetime_h, 'cost_after_discount', after, 0.0::DOUBLE, after FROM p WHERE abs(after) > 1e-9
+""")
+def conservation_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """The hourly allocation of a service that is used on working days, written under watch: the hours whose cost was lost."""
+    path = scratch_path(spark, "conserved")
+    working_days = usage_counts(spark, sf).where(F.weekday("datetime_h") < 5)
+    result = write_conserved(
+        purchases(spark, sf), lambda pool: allocate.allocate_by_hourly_rate(working_days, pool),
+        {"cost": "allocated_cost", "cost_after_discount": "allocated_cost_after_discount"}, ["datetime_h"],
+        lambda df: overwrite(df, path), lambda: spark.read.parquet(path))
+    lost = result.differences
+    if lost is None:
+        lost = spark.createDataFrame([], "datetime_h timestamp_ntz, amount string, pool double, allocated double, difference double")
+    return lost.withColumn("datetime_h", plain("datetime_h"))
+
+
 # -- credits and parts -----------------------------------------------------------------------------------------------
 
 ANY_CREDITS = """
