@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
+ATTEMPT = "__attempt"
 ENTRY = "batch string, output string, folder string, files array<string>, bytes bigint"
 
 
@@ -84,7 +85,7 @@ def commit_batch(
         return False
     attempt, lines = uuid.uuid4().hex, []
     for name, df in outputs.items():
-        folder = f"data/{_checked(name)}/{batch}-{attempt}"
+        folder = f"data/{_checked(name)}/{ATTEMPT}={batch}-{attempt}"
         df.write.partitionBy(*(partition_by or {}).get(name, ())).parquet(f"{root}/{folder}")
         found, size = _written(spark, f"{root}/{folder}")
         lines.append({"batch": batch, "output": name, "folder": folder, "files": found, "bytes": size})
@@ -100,22 +101,19 @@ def batch_log(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_batches(spark: SparkSession, root: str, output: str, schema: T.StructType | str, batches: Sequence[str] | None = None) -> DataFrame:
-    """The table ``output``: the listed files of all committed batches, or of those named. ``schema`` has partition columns as well."""
+    """The table ``output``: the listed files of all committed batches, or of those named. ``schema`` has partition columns as well.
+
+    The paths of all files pass through the driver, as in any read of listed files; a job writes few files per batch.
+    """
     log = batch_log(spark, root).where(f"output = '{_checked(output)}'")
     if batches is not None:
         log = log.where(log["batch"].isin(*batches))
     parts = [(r["folder"], r["files"]) for r in log.select("folder", "files").orderBy("folder").collect() if r["files"]]
     if not parts:
         return spark.createDataFrame([], schema)
-    if not any("/" in name for _, names in parts for name in names):
-        return spark.read.schema(schema).parquet(*(f"{root}/{folder}/{name}" for folder, names in parts for name in names))
-    # Partition values are read off the folders, each of which has its own base.
-    frames = [
-        spark.read.schema(schema).option("basePath", f"{root}/{folder}").parquet(*(f"{root}/{folder}/{name}" for name in names)) for folder, names in parts]
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df)
-    return out
+    # One scan of all files; the folder of an attempt is a partition of the table, which is not handed on.
+    files = spark.read.schema(schema).option("basePath", f"{root}/data/{output}")
+    return files.parquet(*(f"{root}/{folder}/{name}" for folder, names in parts for name in names)).drop(ATTEMPT)
 
 
 def left_behind(spark: SparkSession, root: str, output: str) -> list[str]:

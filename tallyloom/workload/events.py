@@ -22,8 +22,9 @@ from tallyloom.plans.fixed_values import RULE_KEYS, event_routes
 from tallyloom.session import scratch_path
 from tallyloom.sinks import BucketedTable, declare, replace_bucketed
 from tallyloom.sources import Table, by_environment, day_slice, load_audit, run_sql
+from tallyloom.streaming import classified_stream, counts_so_far, read_landed, write_counts_stream
 from tallyloom.workload.registry import query
-from tallyloom.workload.standins import event_attributes, event_headers, k, plain, read
+from tallyloom.workload.standins import SCHEMAS, event_attributes, event_headers, k, plain, read
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -89,6 +90,28 @@ def serial_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counts.withColumn("datetime_h", plain("datetime_h"))
 
 
+@query("""
+SELECT date_trunc('hour', ts) AS datetime_h,
+       CASE event_type WHEN 'click' THEN 'USED' WHEN 'view' THEN 'USED' WHEN 'purchase' THEN 'SOLD' ELSE 'N/A' END AS feature, count(*) AS event_count
+FROM events GROUP BY 1, 2
+""")
+def hourly_counts_streamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that land twice, classified by rules on the stream and counted in increments by micro-batch."""
+    landed, root, state = (scratch_path(spark, n) for n in ("landed", "increments", "state"))
+    events = read(spark, sf, "events")
+    for _ in range(2):
+        events.repartitionByRange(3, "ts").write.mode("append").parquet(landed)
+    rules = spark.createDataFrame(
+        [("feature", n, kind, answer) for n, (kind, answer) in enumerate((("click", "USED"), ("view", "USED"), ("purchase", "SOLD")))], rules_schema(["event_type"]))
+    stream = classified_stream(
+        read_landed(spark, landed, SCHEMAS["events"], 2), rules, ["event_type"], ["feature"], ["event_id"], "ts", lateness="60 days")
+    running = write_counts_stream(stream, "ts", ["feature"], root, state)
+    running.awaitTermination()
+    if running.exception() is not None:
+        raise running.exception()
+    return counts_so_far(spark, root, "feature string").withColumn("datetime_h", plain("datetime_h"))
+
+
 SETS = {"by_type": ["datetime_h", "event_type"], "by_user": ["datetime_h", "user_id"]}
 
 
