@@ -144,15 +144,17 @@ def utilisation(
     person: str = "UPDATE_NAME",
     time: str = "START_DATE",
     root: str = "ISSUE_KEY",
+    incidents: Sequence[str] = INCIDENT_PREFIXES,
+    operational: Sequence[tuple[str, Sequence[str], Sequence[str]]] = OPERATIONAL_TYPES,
 ) -> DataFrame:
     """Logged work by sprint and person beside the capacity grid, idle capacity included.
 
     ``logs`` carries ``ISSUE_KEY_LOGGED`` and ``ISSUE_TYPE_NAME_LOGGED``; ``carried`` are the hierarchy columns to keep,
-    ``root`` among them.
+    ``root`` among them. ``incidents`` and ``operational`` are the rules of ``utilisation_type`` and ``worklog_type``.
     """
     matched = match_worklogs(logs, hierarchy, carried)
-    typed = matched.withColumn("UTILIZATION_TYPE", utilisation_type(root))
-    typed = typed.withColumn("WORKLOG_TYPE", worklog_type())
+    typed = matched.withColumn("UTILIZATION_TYPE", utilisation_type(root, incidents=incidents))
+    typed = typed.withColumn("WORKLOG_TYPE", worklog_type(operational=operational))
     small = listing_fits(intervals)
     placed = assign_interval(typed, intervals, time, "SPRINT_ASSIGNED", carry=("start", "end"), small=small)
     seats = grid.withColumnsRenamed({"NAME": person, "RESOURCE_SPRINT_NAME": "SPRINT_ASSIGNED"})

@@ -58,7 +58,10 @@ def item_counts(
     keys: Sequence[str] = ("tenant", "premise", "disposition", "bizStep", "action"),
     excluded: Sequence[str] = EXCLUDED_DISPOSITIONS,
 ) -> DataFrame:
-    """Distinct products, SKUs and tags, and items, per place and state, leaving out excluded dispositions."""
+    """Distinct products, SKUs and tags, and items, per place and state, leaving out excluded dispositions.
+
+    An item without a disposition is in no state, so it is left out as well.
+    """
     kept = items.where(~F.col("disposition").isin(list(excluded)))
     return distinct_counts(
         kept, keys, {"distinct_gtin": "gtin", "distinct_sku": "sku", "distinct_hexa": "hexa"}, "item_count"

@@ -98,21 +98,22 @@ def ideas_with_capacity(tree: DataFrame, seats: DataFrame) -> DataFrame:
 
 
 def logged_work(
-    logs: DataFrame, ideas: DataFrame, seats: DataFrame, calendar: DataFrame, carried: Sequence[str] = CARRIED
+    logs: DataFrame, ideas: DataFrame, seats: DataFrame, calendar: DataFrame, carried: Sequence[str] = CARRIED, **rules: Sequence
 ) -> DataFrame:
-    """Work logs beside the grid; what is not known about a person is called so."""
+    """Work logs beside the grid; what is not known about a person is called so. ``rules`` are those of ``utilisation``."""
     named = seats.withColumnsRenamed({old: log for old, (log, _) in RESOURCE_NAMES.items()})
-    out = utilisation(logs, ideas, named, calendar, carried)
+    out = utilisation(logs, ideas, named, calendar, carried, **rules)
     texts = [log for log, _ in RESOURCE_NAMES.values() if log in out.columns]
     return out.fillna(UNKNOWN, subset=[*texts, "SUB_SPRINT_NAME"])
 
 
 def work_tracking(
-    t: Tracker, level: Sequence[str] = LEVEL, carried: Sequence[str] = CARRIED, spread: Sequence[str] = SPREAD
+    t: Tracker, level: Sequence[str] = LEVEL, carried: Sequence[str] = CARRIED, spread: Sequence[str] = SPREAD, **rules: Sequence
 ) -> dict[str, DataFrame]:
     """All outputs of the job, by name. What several of them read is computed once and settled.
 
-    ``level``, ``carried`` and ``spread`` are the columns kept of every level, beside a work log and beside spread points.
+    ``level``, ``carried`` and ``spread`` are the columns kept of every level, beside a work log and beside spread points; ``rules``
+    (``incidents``, ``operational``) say what kind of work a log is.
     """
     wide = settle(wide_issues(t))
     requests, ideas = (settle(dated_hierarchy(t, wide, root, level)) for root in ("Product Request", "Idea"))
@@ -126,7 +127,7 @@ def work_tracking(
     out = {
         "requests": requests,
         "ideas": ideas_with_capacity(ideas, seats),
-        "worklogs": logged_work(logs, ideas, seats, calendar, carried),
+        "worklogs": logged_work(logs, ideas, seats, calendar, carried, **rules),
     }
     for name, tree in (("requests", requests), ("ideas", ideas)):
         for label in ("CUSTOMERS", "CATEGORY"):

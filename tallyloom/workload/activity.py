@@ -12,13 +12,13 @@ from tallyloom.functions import (
     local_time, month_text, nth, parse_time, path_prefix, segment, shift, strip_zeros, to_long, week_label, weekday_flag,
 )
 from tallyloom.operators import catalog, traffic
-from tallyloom.operators.aggregate import distinct_counts, first_per_key, last_per_key, pivot_sum
+from tallyloom.operators.aggregate import distinct_counts, first_per_key, last_per_key, pivot_sum, positions
 from tallyloom.operators.bitmaps import counts_of_bitmaps, distinct_bitmaps, new_numbers, with_row_counts
 from tallyloom.operators.joins import split_by_match
 from tallyloom.operators.shape import clean_names, union_by_name
 from tallyloom.schemas import SALES, all_text
 from tallyloom.session import scratch_path, settle
-from tallyloom.sinks import append_day, commit_batch, conform, is_committed, overwrite, read_batches, write_selected
+from tallyloom.sinks import append_day, commit_batch, conform, is_committed, overwrite, read_batches, write_all, write_selected
 from tallyloom.sources import arrays_to_rows, flatten_structs, read_checked, read_csv, read_json, read_variants, shred
 from tallyloom.workload.registry import query
 from tallyloom.workload.standins import REQUESTS, k, plain, read, requests, units
@@ -383,6 +383,41 @@ def sales_checked(spark: SparkSession, sf: str) -> DataFrame:
     return union_by_name(kept.withColumn("reason", F.lit(None).cast("string")), wrong).select("site", "reason", "rows", "cents", "qty")
 
 
+@query("""
+SELECT * FROM (VALUES ('good', 'ok'), ('last', 'ok'), ('broken', 'USER_RAISED_EXCEPTION')) s(sink, status),
+  (SELECT count(*) AS rows, sum(round(o_totalprice * 100))::DOUBLE AS cents FROM orders) t WHERE sink <> 'broken'
+UNION ALL SELECT 'broken', 'USER_RAISED_EXCEPTION', 0, NULL
+""")
+def failing_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Three sinks of the same orders, the second of which fails half way: the others hold every row, and its status says why."""
+    orders = read(spark, sf, "orders").select("o_orderkey", units("o_totalprice", 100).alias("cents"))
+    broken = orders.withColumn("cents", F.when(F.col("o_orderkey") > 0, F.raise_error(F.lit("half way")).cast("double")))
+    paths = {n: scratch_path(spark, n) for n in ("good", "broken", "last")}
+    frames = {"good": orders, "broken": broken, "last": orders}
+    status = write_all({n: (lambda n=n: overwrite(frames[n], paths[n])) for n in paths})
+    out = []
+    for n, path in paths.items():
+        rows = spark.read.schema("o_orderkey bigint, cents double").parquet(path) if status[n] == "ok" else orders.limit(0)
+        out.append(rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("cents").alias("cents")).select(
+            F.lit(n).alias("sink"), F.lit(status[n]).alias("status"), "rows", "cents"))
+    return union_by_name(*out)
+
+
+@query(f"""
+WITH {REQUESTS}, g AS (
+  SELECT strftime(time, '%Y-%m-%d') AS date, host, method,
+         split_part(uri, '/', 2) || '/' || split_part(uri, '/', 3) || '/' || split_part(uri, '/', 4) AS uri_1_to_3, count(*) AS call_count
+  FROM r WHERE status > 404 GROUP BY 1, 2, 3, 4)
+SELECT row_number() OVER (ORDER BY call_count DESC, date, host, method, uri_1_to_3) AS rank, date, host, method, uri_1_to_3, call_count FROM g
+""")
+def failing_endpoints_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """The order itself, as a number: most calls first, equal ones by their keys."""
+    found = traffic.failing_endpoints(requests(spark, sf)).withColumn("_down", -F.col("call_count"))
+    keys = ["date", "host", "method", "uri_1_to_3"]
+    ranked = positions(found, ["_down", *keys], "rank")
+    return ranked.select((F.col("rank") + 1).alias("rank"), *keys, "call_count")
+
+
 # -- keys, sets and scalars ------------------------------------------------------------------------------------------
 
 

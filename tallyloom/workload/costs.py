@@ -296,6 +296,15 @@ def project_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- allocators ------------------------------------------------------------------------------------------------------
 
+
+def stored_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    line, supplier = read(spark, sf, "lineitem"), read(spark, sf, "supplier")
+    return line.join(supplier, line.l_suppkey == supplier.s_suppkey, "left").select(
+        F.col("l_shipdate").alias("date"), F.col("s_name").alias("tenant"), F.col("l_linestatus").alias("real_name"),
+        F.col("l_quantity").alias("size_storage"),
+    )
+
+
 @query(f"""
 WITH {BILLING}, pool AS (
   SELECT strftime(local_time, '%Y-%m-%d') AS day, sum(cost) AS cost, sum(cost + disc) AS after FROM c
@@ -310,14 +319,36 @@ SELECT s.day, tenant, real_name, size AS size_storage, (size / total * 100) AS s
 FROM s JOIN t ON s.day = t.day LEFT JOIN pool ON s.day = pool.day
 """)
 def alloc_bytes(spark: SparkSession, sf: str) -> DataFrame:
-    line, supplier = read(spark, sf, "lineitem"), read(spark, sf, "supplier")
-    sizes = line.join(supplier, line.l_suppkey == supplier.s_suppkey, "left").select(
-        F.col("l_shipdate").alias("date"), F.col("s_name").alias("tenant"), F.col("l_linestatus").alias("real_name"),
-        F.col("l_quantity").alias("size_storage"),
-    )
     flat = billing.only_storage(billing.flatten_billing(billing_lines(spark, sf)), mark=STORAGE)
     costs = billing.split_compute_storage(billing.split_credits(flat), mark=STORAGE)
-    return allocate.allocate_by_bytes(sizes, costs)
+    return allocate.allocate_by_bytes(stored_bytes(spark, sf), costs)
+
+
+CLOCK_CHANGES = ("1996-04-07", "1996-10-27")  # a day of 23 hours and one of 25
+
+
+@query(f"""
+WITH {BILLING}, h AS (
+  SELECT usage_start_time + to_hours(CAST(usage_amount AS INTEGER)) AS t, cost, disc FROM c WHERE is_storage
+), pool AS (
+  SELECT strftime(timezone('America/Los_Angeles', timezone('UTC', t)), '%Y-%m-%d') AS day, count(*) AS lines, sum(cost) AS cost, sum(cost + disc) AS after
+  FROM h GROUP BY 1
+), s AS (
+  SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, s_name AS tenant, l_linestatus AS real_name, sum(l_quantity) AS size
+  FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3
+), t AS (SELECT day, sum(size) AS total FROM s GROUP BY 1)
+SELECT s.day, tenant, real_name, size AS size_storage, (size / total * 100) AS size_storage_percentage,
+       (size / total * cost) AS storage_cost_assigned, (size / total * after) AS storage_cost_assigned_after_discounts
+FROM s JOIN t ON s.day = t.day LEFT JOIN pool ON s.day = pool.day WHERE s.day IN {CLOCK_CHANGES}
+""")
+def alloc_bytes_clock_change(spark: SparkSession, sf: str) -> DataFrame:
+    """Local days on which the clocks change, each from the days around it alone."""
+    flat = billing.only_storage(billing.flatten_billing(billing_lines(spark, sf)), mark=STORAGE)
+    costs = billing.split_compute_storage(billing.split_credits(flat), mark=STORAGE)
+    hours = F.make_dt_interval(hours=F.col("usage_amount").cast("int"))
+    costs = costs.withColumn("usage_start_time", F.col("usage_start_time") + hours)
+    first, second = (allocate.allocate_by_bytes(stored_bytes(spark, sf), costs, day=day) for day in CLOCK_CHANGES)
+    return first.unionByName(second)
 
 
 @query(f"""

@@ -131,11 +131,24 @@ def test_utilisation_shows_logs_once_and_idle_seats(spark):
     ]
 
 
+def test_kinds_of_work_are_parameters(spark):
+    day = lambda n: dt.datetime(2024, 1, n)
+    logs = spark.createDataFrame([("OPS-1", "Chore", "ann", day(2)), ("TICKET-1", "Chore", "ann", day(2)), ("X-1", "Chore", "ann", day(2))],
+                                 "ISSUE_KEY_LOGGED string, ISSUE_TYPE_NAME_LOGGED string, UPDATE_NAME string, START_DATE timestamp")
+    tree = spark.createDataFrame([], "ISSUE_KEY string, CHILD_ISSUE_KEY string, SUB_ISSUE_KEY string")
+    calendar = build_intervals(spark.createDataFrame([(day(9), "v1")], "at timestamp, name string"), "at", "name", numbered=False)
+    grid = spark.createDataFrame([("ann", "v1", 0)], "NAME string, RESOURCE_SPRINT_NAME string, PTO int")
+    got = capacity.utilisation(
+        logs, tree, grid, calendar, ["ISSUE_KEY"], incidents=["OPS"], operational=[("Home", ("Chore",), ("X",)), ("Any", ("Errand",), ())])
+    assert rows(got, "ISSUE_KEY_LOGGED", "UTILIZATION_TYPE", "WORKLOG_TYPE") == [
+        ("OPS-1", "Incident", "Support"), ("TICKET-1", "Operational", "Unk"), ("X-1", "Operational", "Home")]
+
+
 def test_tickets(spark):
     df = spark.createDataFrame([
-        ("TICKET-1", "RED Honda printer", D(1), D(2), D(1, 6)), ("TICKET-2", "nothing", D(1), None, None), ("A-1", "RED", D(1), D(1), D(1)),
+        ("TICKET-1", "RED Zuberel printer", D(1), D(2), D(1, 6)), ("TICKET-2", "nothing", D(1), None, None), ("A-1", "RED", D(1), D(1), D(1)),
     ], "ISSUE_KEY string, SUMMARY string, CREATED timestamp, RESOLUTION_DATE timestamp, FIRST_RESPONSE_DATE timestamp")
-    facts = tickets.ticket_facts(df, [("RED", "R"), ("Honda", "H")])
+    facts = tickets.ticket_facts(df, [("RED", "R"), ("Zuberel", "H")])
     assert rows(facts, "ISSUE_KEY", "TENANT", "HOURS_TO_RESOLVED", "HOURS_TO_FIRST_RESPONSE") == [
         ("TICKET-1", "H", 24.0, 6.0), ("TICKET-2", None, None, None),
     ]
