@@ -16,6 +16,8 @@ SETTINGS = {
     # Aggregating right after a skewed join on the same key must not switch the splitting off.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Rows handed to Python: so many bytes at once, since ten thousand long texts would fill a worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 # Only a new session can take these: checkpoint files go when the frames that use them are gone.
 START_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
