@@ -9,32 +9,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm import bpe_codec, ngram_join, packing, pii, quality_classifier, quality_rules
 from tallyloom.llm.queries import VOCABULARY, packed_digest, read
-from tallyloom.session import scratch_path
+from tallyloom.session import apply_settings, scratch_path
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or the likelihood ratio go."""
-    return quality_rules.keep_good(docs, read(spark, sf_dir, "labels"))
+    return quality_rules.keep_good(docs, read(apply_settings(spark), sf_dir, "labels"))
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents outside the importance sample go."""
-    return quality_classifier.keep_selected(docs, read(spark, sf_dir, "labels"))
+    return quality_classifier.keep_selected(docs, read(apply_settings(spark), sf_dir, "labels"))
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    apply_settings(spark)
     return ngram_join.keep_one(docs)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data, and terms that disclose it, become labels."""
+    apply_settings(spark)
     return pii.sanitise(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts become pieces of sequences."""
-    return packed_digest(packing.pack(docs, bpe_codec.vocabulary(spark, VOCABULARY)))
+    return packed_digest(packing.pack(docs, bpe_codec.vocabulary(apply_settings(spark), VOCABULARY)))
 
 
 STAGES = [
