@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.bpe_codec import column_batches
 from tallyloom.operators.joins import skew_join
 from tallyloom.session import settle
 
@@ -43,7 +44,7 @@ POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 2**64)) for k in range(SHINGLE)]
 class WordHashes(dict):
     """Remembers the hash of each word, for so many words."""
 
-    MOST = 500_000
+    MOST = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
@@ -93,9 +94,9 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         hashes = WordHashes()
-        for batch in batches:
+        for batch, texts in column_batches(batches, "text"):
             cls, n, sig = [], [], []
-            for text in batch.column("text").to_pylist():
+            for text in texts:
                 found = shingles(text, hashes)
                 n.append(len(found))
                 cls.append(digest(found) if len(found) else None)
@@ -246,8 +247,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     def sets(batches):
         hashes = WordHashes()
-        for batch in batches:
-            found = [shingles(t, hashes) for t in batch.column("text").to_pylist()]
+        for batch, texts in column_batches(batches, "text"):
+            found = [shingles(t, hashes) for t in texts]
             right = [digest(s) == c for s, c in zip(found, batch.column("cls").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("cls"), batch.column("copies"), pa.array([minhashes(s).tobytes() for s in found], pa.binary()),

@@ -236,9 +236,9 @@ def sanitise(docs: DataFrame) -> DataFrame:
     found = find(ours)
 
     def run(batches):
-        for batch in batches:
-            texts = [replaced(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())]
-            yield with_columns(batch, text=pa.array(texts, pa.string()))
+        for batch, texts in column_batches(batches, "text"):
+            clean = [replaced(t, s) for t, s in zip(texts, batch.column("spans").to_pylist())]
+            yield with_columns(batch, text=pa.array(clean, pa.string()))
 
     clean = found.mapInArrow(run, extended(found, T.StructField("text", T.StringType()))).drop("spans").withColumnRenamed("__own_spans", "spans")
     if "n_chars" in docs.columns:
