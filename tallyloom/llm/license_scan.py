@@ -28,7 +28,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.words import let
+from tallyloom.llm.words import carried, let
 from tallyloom.operators.joins import skew_join
 
 # The short notices by which licences are commonly declared.
@@ -165,7 +165,7 @@ def second_look(text: Column, special: Column, templates: dict[str, str], header
 
 def own_licenses(
         files: DataFrame, templates: dict[str, str], least: float, headers: list[tuple[str, str]] = HEADERS, texts: dict[str, str] = TEXTS) -> DataFrame:
-    kept = [c for c in files.columns if c not in RESULTS]
+    kept = carried(files.columns, RESULTS)
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(CUE))
     whole = F.when(F.element_at(F.split("path", "/"), -1).rlike(LICENSE_FILE) & text.rlike(CUE), F.array(text)).otherwise(F.array().cast("array<string>"))
@@ -202,6 +202,6 @@ def scan(
     out = skew_join(own, above, "__dir", "left")
     alone = F.col("own_license").isNotNull()
     return out.select(
-        *[c for c in files.columns if c not in RESULTS], "own_license", "score",
+        *carried(files.columns, RESULTS), "own_license", "score",
         F.coalesce("own_license", "__near.__given").alias("license"),
         F.when(~alone, F.col("__near.__holder")).alias("inherited_from"))

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.llm.bpe_codec import column_batches
+from tallyloom.llm.words import carried, set_aside
 from tallyloom.operators.aggregate import positions
 from tallyloom.session import scratch_path
 
@@ -147,7 +148,7 @@ def resample(
     ``percent`` of the documents of ``least_words`` words or more are drawn; ``target`` has a column ``text``.
     """
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "ngrams")
-    own = docs.select(*(c for c in docs.columns if c.lower() not in RESULTS))
+    own = docs.select(*carried(docs.columns, RESULTS))
     scanned = scan(own, sizes, buckets)
     scanned.write.option("compression", "zstd").parquet(path)
     scanned = spark.read.schema(scanned.schema).parquet(path)
@@ -168,7 +169,6 @@ def resample(
 
 def draw(docs: DataFrame, target: DataFrame, **options) -> DataFrame:
     """The drawn documents themselves, texts and all, with the columns they came with."""
-    ours = docs.withColumnsRenamed({c: f"__own_{c}" for c in docs.columns if c.lower() in RESULTS})
+    ours, back = set_aside(docs, RESULTS)
     drawn = resample(ours.withColumn("__text", F.col("text")), target, **options).where("rank is not null")
-    return drawn.withColumnRenamed("__text", "text").drop(*RESULTS).withColumnsRenamed(
-        {f"__own_{c}": c for c in docs.columns if c.lower() in RESULTS}).select(*docs.columns)
+    return drawn.withColumnRenamed("__text", "text").drop(*RESULTS).withColumnsRenamed(back).select(*docs.columns)

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.llm.offsets import join_offsets, running_offsets
-from tallyloom.session import scratch_path
+from tallyloom.llm.words import carried
+from tallyloom.session import scratch_path, settle
 
 BUCKET_BYTES = 16 << 20
 #: Records that make up more than one in ``CROWD`` of all rows, and more than ``CROWD_ROWS``, are scattered copy by copy. There
@@ -30,17 +31,21 @@ RESULTS = ("size", "shard", "slot")
 
 def scatter(docs: DataFrame, seed: int, bucket_bytes: int) -> tuple[DataFrame, int, int]:
     """``docs`` with ``size``, ``__hash`` and ``__bucket``; the number of rows and of buckets."""
-    columns = [c for c in docs.columns if c not in RESULTS]
+    columns = carried(docs.columns, RESULTS)
+    # Maps have no hash of their own.
+    hashed = [F.to_json(F.struct(c)) if "map<" in docs.schema[c].dataType.simpleString() else F.col(c) for c in columns]
     sized = docs.select(
         *columns, (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
-        F.xxhash64(F.lit(seed), *columns).alias("__hash"))
+        F.xxhash64(F.lit(seed), *hashed).alias("__hash"))
     rows, size = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     buckets = max(1, -(-size // bucket_bytes))
     counts = sized.groupBy("__hash").count()
     crowded = [r[0] for r in counts.where(F.col("count") > max(CROWD_ROWS, rows // CROWD)).select("__hash").limit(CROWD).collect()]
     number = F.when(F.col("__hash").isin(crowded), F.monotonically_increasing_id()).otherwise(0) if crowded else F.lit(0)
     bucket = F.pmod(F.xxhash64(F.lit(seed), "__hash", number), F.lit(buckets))
-    return sized.withColumn("__bucket", bucket), rows, buckets
+    scattered = sized.withColumn("__bucket", bucket)
+    # A row's number depends on the run, so it is drawn once: totals and shuffle must see the same buckets.
+    return settle(scattered) if crowded else scattered, rows, buckets
 
 
 def shuffled(scattered: DataFrame, seed: int) -> DataFrame:
@@ -73,5 +78,5 @@ def shard(docs: DataFrame, shards: int, seed: int = 7, bucket_bytes: int = BUCKE
     # Shard s begins at the first place p with p * shards >= s * rows.
     placed = placed.withColumn("slot", F.expr(f"__at - (shard * {n}L + {shards - 1}) div {shards}"))
     placed.drop("__hash", "__bucket", "__place", "__start", "__at").write.partitionBy("shard").option("compression", "zstd").parquet(path)
-    return spark.read.schema(T.StructType([f for f in docs.schema.fields if f.name not in RESULTS] + [
+    return spark.read.schema(T.StructType([docs.schema[c] for c in carried(docs.columns, RESULTS)] + [
         T.StructField("size", T.LongType()), T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])).parquet(path)

@@ -12,6 +12,8 @@ occur. Other columns play no part.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from tallyloom.llm.words import words_of
 KEYS = ["source", "lang", "version"]
 DELTA = "source string, lang string, version string, docs bigint, tokens bigint"
 MARKER = "_SUCCESS"
+NAME = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -39,14 +42,23 @@ def signed(changes: DataFrame) -> DataFrame:
 
 
 def commit(changes: DataFrame, root: str, batch: str) -> bool:
-    """Apply a batch; False if it was applied before."""
+    """Apply a batch; False if it was applied before. Its name is letters, digits, '.', '_' and '-', not ``compact-``."""
+    if not NAME.fullmatch(batch) or batch.startswith("compact-"):
+        raise ValueError(f"{batch!r} is no name for a batch")
     spark, path = changes.sparkSession, f"{root}/batch={batch}"
     if _exists(spark, f"{path}/{MARKER}") or any(batch in _folded(spark, p) for p in _committed(spark, root, "compact-")):
         return False
-    signed(changes).write.mode("overwrite").parquet(path)
+    _write(signed(changes), path)
     return True
 
 
+def _write(deltas: DataFrame, path: str) -> None:
+    """Write with the marker, whatever the session says about markers, and see that it is there."""
+    deltas.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
+    if not _exists(deltas.sparkSession, f"{path}/{MARKER}"):
+        raise RuntimeError(f"{path} was written without {MARKER}: it would never be counted")
+
+
 def _committed(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
     place = spark._jvm.org.apache.hadoop.fs.Path(root)
     files = place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -79,7 +91,7 @@ def compact(spark: SparkSession, root: str, name: str) -> None:
     members = [p.rsplit("batch=", 1)[1] for p in _committed(spark, root)]
     members += [b for p in _committed(spark, root, "compact-") for b in _folded(spark, p)]
     spark.createDataFrame([(b,) for b in sorted(set(members))], "batch string").coalesce(1).write.mode("overwrite").json(f"{root}/members=compact-{name}")
-    totals(spark, root).write.mode("overwrite").parquet(path)
+    _write(totals(spark, root), path)
 
 
 def word_tokens(text: Column) -> Column:

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GAP = r"[\x20\x09-\x0D]+"
 
 
+def carried(names: list[str], results: Sequence[str]) -> list[str]:
+    """The columns that an operator hands on: all but those named like a result, in whatever case."""
+    taken = {r.lower() for r in results}
+    return [n for n in names if n.lower() not in taken]
+
+
+def set_aside(docs: DataFrame, results: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its own columns of these names under other ones, and how to name them back."""
+    own = set(docs.columns) - set(carried(docs.columns, results))
+    return docs.withColumnsRenamed({c: f"__own_{c}" for c in own}), {f"__own_{c}": c for c in own}
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where the body uses it inside another lambda."""
     return F.transform(F.array(value), body)[0]
