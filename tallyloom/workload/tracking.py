@@ -115,14 +115,12 @@ def order_issues(spark: SparkSession, sf: str, root: str) -> DataFrame:
         )
 
     finished = F.when(F.col("l_returnflag") != "N", units("l_extendedprice", 100))
+    parent = F.when(F.col("l_linestatus") == "F", key("O", "l_orderkey"))  # open lines are issues that belong nowhere yet
     return (
         issue(nation, key("N", "n_nationkey"), F.lit(None), root, F.lit(None))
         .unionAll(issue(customer, key("C", "c_custkey"), F.lit(None), "Epic", units("c_acctbal", 100)))
         .unionAll(issue(orders, key("O", "o_orderkey"), key("C", "o_custkey"), "Story", units("o_totalprice", 100)))
-        .unionAll(issue(
-            line.where(F.col("l_linestatus") == "F"), key("L", "l_orderkey", "l_partkey", "l_suppkey"),
-            key("O", "l_orderkey"), "Sub-task", finished,
-        ))
+        .unionAll(issue(line, key("L", "l_orderkey", "l_partkey", "l_suppkey"), parent, "Sub-task", finished))
     )
 
 
