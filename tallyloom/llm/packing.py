@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.bpe_codec import column_batches
 from tallyloom.llm.offsets import join_offsets, running_offsets
-from tallyloom.llm.word_bpe import Encoder, WordBpe
+from tallyloom.llm.word_bpe import Encoder, loaded
 from tallyloom.session import scratch_path
 
 WINDOW = 2048
@@ -31,7 +31,7 @@ def place(docs: DataFrame, shared, end_id: int = END_ID) -> DataFrame:
     end = end_id.to_bytes(4, "little")
 
     def run(batches):
-        encoder, part, at = Encoder(WordBpe(shared.value)), TaskContext.get().partitionId(), 0
+        encoder, part, at = Encoder(loaded(shared.value)), TaskContext.get().partitionId(), 0
         for batch, texts in column_batches(batches, "text"):
             ids = [i + end for i in encoder.encode(texts)]
             sizes = np.array([len(i) // 4 for i in ids], np.int64)

@@ -8,11 +8,13 @@ costs more than n log n.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import itertools
 import json
 import re
 import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import regex
@@ -20,10 +22,13 @@ import regex
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: White space as the tokenizer has it; str.split() also takes the four characters of ODD_SPACE for space.
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-ODD_SPACE = re.compile("[\x1c-\x1f]")
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
 #: After letters each of these is a piece of its own.
 SINGLE = frozenset(".,;:!?)")
 NO_RANK = np.int32(2**31 - 1)
+#: Places of the table of merges; most hold nothing, so a pair that is no merge is told at the first look.
+SLOT_BITS = 19
+SLOTS = 1 << SLOT_BITS
 #: Bytes of a piece up to which whole matrices are merged.
 WIDE = 48
 
@@ -35,6 +40,24 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(plain) else chr(256 + rest.index(b)) for b in range(256)]
 
 
+def slot_of(keys: np.ndarray) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def hash_table(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Keys and their numbers by place, -1 where there is none, and how far a key may lie beyond its own place."""
+    if len(keys) > SLOTS // 2:
+        raise ValueError(f"{len(keys)} merges are more than the {SLOTS} places of the table hold")
+    slots, numbers, farthest = np.full(SLOTS, -1, np.int64), np.full(SLOTS, NO_RANK, np.int32), 0
+    for number, (key, at) in enumerate(zip(keys.tolist(), slot_of(keys).tolist())):
+        step = 0
+        while slots[(at + step) % SLOTS] >= 0:
+            step += 1
+        slots[(at + step) % SLOTS], numbers[(at + step) % SLOTS] = key, number
+        farthest = max(farthest, step)
+    return slots, numbers, farthest
+
+
 class WordBpe:
     """``data``: the bytes of the vocabulary file."""
 
@@ -53,8 +76,7 @@ class WordBpe:
         self.letter_byte = {c: b for b, c in enumerate(letters)}
         pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
         keys = np.array([(vocab[a] << 16) + vocab[b] for a, b in pairs], np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.ranks = keys[order], order.astype(np.int32)
+        self.slots, self.slot_ranks, self.tries = hash_table(keys)
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int32)
         self.rank_of = {int(k): r for r, k in enumerate(keys)}
         self._library = None
@@ -69,7 +91,7 @@ class WordBpe:
 
     def chunks(self, text: str) -> list[str]:
         """The runs between white space; pieces never cross it."""
-        return [c for c in SPACE.split(text) if c] if ODD_SPACE.search(text) else text.split()
+        return [c for c in SPACE.split(text) if c] if any(c in text for c in ODD_SPACE) else text.split()
 
     def pieces(self, chunks: list[str]) -> tuple[list[str], list[str], list[tuple[str, list[str]]]]:
         """Chunks that are one piece each, those pieces, and the other chunks with their pieces."""
@@ -102,8 +124,19 @@ class WordBpe:
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left.astype(np.int64) << 16) + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ranks[at], NO_RANK)
+        at = slot_of(key)
+        held = self.slots[at]
+        found = np.where(held == key, self.slot_ranks[at], NO_RANK)
+        # Few keys meet another one in their first place and go on to the next.
+        place, step = np.nonzero((held != key) & (held >= 0)), 0
+        while step < self.tries and len(place[0]):
+            step += 1
+            next_ = (at[place] + step) & (SLOTS - 1)
+            held, wanted = self.slots[next_], key[place]
+            hit = held == wanted
+            found[tuple(p[hit] for p in place)] = self.slot_ranks[next_[hit]]
+            place = tuple(p[~hit & (held >= 0)] for p in place)
+        return found
 
     def _merge_matrix(self, words: list[bytes], width: int) -> list[bytes]:
         """Words of ``width`` bytes each."""
@@ -163,46 +196,70 @@ class WordBpe:
             offer(i)
         return np.array([s for s in symbols if s >= 0], "<u4").tobytes()
 
-    def merge(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of each distinct word, as little-endian unsigned 32-bit integers."""
-        by_width: dict[int, list[bytes]] = {}
-        for word in words:
-            by_width.setdefault(len(word), []).append(word)
-        found: dict[bytes, bytes] = {}
-        for width, group in by_width.items():
-            ids = self._merge_matrix(group, width) if width <= WIDE else map(self._merge_long, group)
-            found.update(zip(group, ids))
+    def merge_each(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, as little-endian unsigned 32-bit integers. Words of equal length are merged together."""
+        found: list[bytes] = [b""] * len(words)
+        by_width: dict[int, list[int]] = {}
+        for at, width in enumerate(map(len, words)):
+            by_width.setdefault(width, []).append(at)
+        for width, places in by_width.items():
+            group = [words[at] for at in places]
+            for at, ids in zip(places, self._merge_matrix(group, width) if width <= WIDE else map(self._merge_long, group)):
+                found[at] = ids
         return found
 
+    def merge(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of each distinct word."""
+        return dict(zip(words, self.merge_each(words)))
+
+
+@lru_cache(maxsize=1)
+def loaded(data: bytes) -> WordBpe:
+    """The vocabulary, parsed once per worker process."""
+    return WordBpe(data)
+
 
 class Encoder:
-    """Encodes whole texts; remembers the chunks seen, up to ``MEMO`` of them.
+    """Encodes whole texts; remembers the chunks seen, up to ``MEMO`` of them and those of one call.
 
     ``lexicon`` answers for frequent words (``lookup(words) -> ids or None for each``); all others are merged.
     """
 
-    MEMO = 500_000
+    MEMO = 150_000
 
     def __init__(self, bpe: WordBpe, lexicon=None):
         self.bpe, self.lexicon, self.known = bpe, lexicon, {}
 
     def _learn(self, chunks: set[str]) -> None:
         if len(self.known) > self.MEMO:
-            self.known.clear()
+            # What is used again stays: chunks that come once are most of the memory and none of the use.
+            self.known = {chunk: ids for chunk, ids in self.known.items() if chunk in chunks}
         alone, words, rest = self.bpe.pieces(list(chunks.difference(self.known)))
         distinct = list({*words, *itertools.chain.from_iterable(p for _, p in rest)})
         # Pieces hold no line break either.
         raw = "\n".join(distinct).encode().split(b"\n") if distinct else []
         if self.lexicon is None:
-            found = self.bpe.merge(raw)
+            found = self.bpe.merge_each(raw)
         else:
-            found = dict(zip(raw, self.lexicon.lookup(raw)))
-            found |= self.bpe.merge([w for w in raw if found[w] is None])
-        ids = dict(zip(distinct, map(found.__getitem__, raw)))
+            found = self.lexicon.lookup(raw)
+            unseen = [at for at, ids in enumerate(found) if ids is None]
+            for at, ids in zip(unseen, self.bpe.merge_each([raw[at] for at in unseen])):
+                found[at] = ids
+        ids = dict(zip(distinct, found))
         self.known.update(zip(alone, map(ids.__getitem__, words)))
         self.known.update((chunk, b"".join([ids[p] for p in pieces])) for chunk, pieces in rest)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        # Lists and dictionaries of strings hold no cycles; looking for some takes a tenth of the time.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         parts = [
             [(special, [] if special is not None else self.bpe.chunks(part)) for special, part in self.bpe.segments(text or "")]
             for text in texts
