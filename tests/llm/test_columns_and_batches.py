@@ -74,3 +74,15 @@ def test_batches_count_where_the_session_wants_no_markers(spark, tmp_path):
     finally:
         conf.unset(option)
     assert [tuple(r) for r in token_counts.totals(spark, str(tmp_path / "t")).collect()] == [("s", "l", "v", 1, 3)]
+
+
+def test_the_cut_of_the_lexicon_by_counting(spark, monkeypatch):
+    draw = __import__("random").Random(7)
+    counts = [draw.choice([1, 1, 1, 2, 3, 5, 8, 1000, 10**9 + draw.randint(0, 50)]) for _ in range(400)]
+    frame = spark.createDataFrame([(f"w{i}", n) for i, n in enumerate(counts)], "word string, n bigint")
+    for fan_out in (2, 7, 4096):
+        monkeypatch.setattr(bpe_codec, "FAN_OUT", fan_out)
+        for words in (0, 1, 50, 200, 399, 400, 1000):
+            ordered = sorted(counts, reverse=True)
+            assert bpe_codec.frequency_cut(frame, words) == (ordered[words] if words < len(counts) else 0), (fan_out, words)
+    assert bpe_codec.frequency_cut(frame.limit(0), 5) == 0

@@ -153,12 +153,14 @@ def test_codec_on_awkward_rows(spark, docs, clashing, no_docs, tokenizer):
     assert bpe_codec.encode(no_docs, shared, bpe_codec.fit_lexicon(no_docs, shared)).count() == 0
 
 
-def test_word_summary_keeps_the_frequent_words(spark, monkeypatch):
-    monkeypatch.setattr(bpe_codec, "SUMMARY", 50)
+def test_word_summary_keeps_the_frequent_words(spark):
     text = " ".join(f"rare{i} often" for i in range(2000))
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string").coalesce(1)
-    found = Counter({r["word"]: r["n"] for r in bpe_codec.word_counts(docs, bpe_codec.vocabulary(spark, VOCABULARY)).collect()})
-    assert "often" in found or sum(found.values()) > 0
+    shared = bpe_codec.vocabulary(spark, VOCABULARY)
+    whole, short = ({r["word"]: r["n"] for r in bpe_codec.word_counts(docs, shared, n).collect()} for n in (bpe_codec.SUMMARY, 50))
+    assert whole["often"] == whole["rare"] == 2000
+    # Counted by chunk: 2,001 of them, of which the summary keeps those that are more than the 26th.
+    assert short == {"often": 1999}
 
 
 def check_pieces(pieces, given, tokenizer, window):
