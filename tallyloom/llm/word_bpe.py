@@ -225,7 +225,7 @@ class Encoder:
     ``lexicon`` answers for frequent words (``lookup(words) -> ids or None for each``); all others are merged.
     """
 
-    MEMO = 150_000
+    MEMO = 300_000
 
     def __init__(self, bpe: WordBpe, lexicon=None):
         self.bpe, self.lexicon, self.known = bpe, lexicon, {}
