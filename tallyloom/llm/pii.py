@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +28,9 @@ from tallyloom.session import settle
 
 KINDS = ("email", "ip", "card", "phone", "term")
 PRIOR, DISCLOSED = 2.0, 0.9
-NEAR_WORDS, NEAR_CHARS = 8, 400
+NEAR_WORDS = 8
+#: Characters in which the words before an entity are looked for at first; twice as many each time that is too few.
+FIRST_LOOK = 400
 SHORTEST = 3
 #: Pairs of entity and term that one pass over the texts is given at most; more pairs take more passes.
 PAIRS_PER_PASS = 200_000
@@ -94,18 +97,26 @@ def term_of(word: str) -> str | None:
     return term if len(term) >= SHORTEST and term.isalpha() else None
 
 
+def words_before(text: str, start: int) -> list[tuple[str, int]]:
+    """The last ``NEAR_WORDS`` words before a place, however long they are."""
+    width = FIRST_LOOK
+    while True:
+        low = max(0, start - width)
+        found = [(m[0], m.start()) for m in WORD.finditer(text, low, start)]
+        if low and found and found[0][1] == low and not text[low - 1].isspace():
+            found = found[1:]  # its beginning is further away
+        if len(found) >= NEAR_WORDS or not low:
+            return found[-NEAR_WORDS:]
+        width *= 2
+
+
 def surroundings(text: str, spans: list[tuple[str, int, int]]):
     """For each entity: its name, and (term, start, end) of the words beside it."""
     taken = sorted((s, e) for _, s, e in spans)
     for kind, start, end in spans:
-        low, high = max(0, start - NEAR_CHARS), min(len(text), end + NEAR_CHARS)
-        before = [(m[0], m.start() + low) for m in WORD.finditer(text[low:start])]
-        if before and low and before[0][1] == low and not text[low - 1].isspace():
-            before = before[1:]  # its beginning is further away
-        after = [(m[0], m.start() + end) for m in WORD.finditer(text[end:high])]
-        if after and high < len(text) and after[-1][1] + len(after[-1][0]) == high and not text[high].isspace():
-            after = after[:-1]
-        near = before[-NEAR_WORDS:] + after[:NEAR_WORDS]
+        before = words_before(text, start)
+        near = before + [(m[0], m.start()) for m in islice(WORD.finditer(text, end), NEAR_WORDS)]
+        low, high = (near[0][1], near[-1][1] + len(near[-1][0])) if near else (start, end)
         near_taken = [(s, e) for s, e in taken if e > low and s < high] if len(taken) > 1 else taken
         terms = []
         for word, at in near:
@@ -118,6 +129,18 @@ def surroundings(text: str, spans: list[tuple[str, int, int]]):
         yield f"{kind}:{text[start:end].lower()}", terms
 
 
+def without_entities(text: str | None) -> str:
+    """A text with a space in place of each entity: a word that is glued to one is a word of its own here, as it is beside it."""
+    spans = base_spans(text)
+    if not spans:
+        return text or ""
+    parts, at = [], 0
+    for start, end in sorted((s, e) for _, s, e in spans):
+        parts += [text[at:start], " "] if start > at else []
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
 def beside(docs: DataFrame) -> DataFrame:
     """``entity``, ``term`` (null: the entity itself) and ``n``; a term between two places of one entity counts once."""
 
@@ -138,7 +161,7 @@ def beside(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``term`` and ``total``: occurrences in all documents; term null: all words."""
+    """``term`` and ``total``: occurrences in all documents, entities cut out; term null: all words."""
 
     def run(batches):
         counts, words = Counter(), 0
@@ -155,7 +178,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
         for _, texts in column_batches(batches, "text"):
             for text in texts:
-                split = (text or "").split()
+                split = without_entities(text).split()
                 words += len(split)
                 counts.update(split)
             if len(counts) > COUNTED:

@@ -86,3 +86,27 @@ def test_the_cut_of_the_lexicon_by_counting(spark, monkeypatch):
             ordered = sorted(counts, reverse=True)
             assert bpe_codec.frequency_cut(frame, words) == (ordered[words] if words < len(counts) else 0), (fan_out, words)
     assert bpe_codec.frequency_cut(frame.limit(0), 5) == 0
+
+
+def test_words_beside_an_entity_however_long_they_are():
+    long = ["a" * 700, "b" * 3000]
+    text = f"first second {' '.join(long)}\n\n   three four five six a@b.example {long[0]} after"
+    spans = pii.base_spans(text)
+    (_, terms), = pii.surroundings(text, spans)
+    assert [t for t, _, _ in terms] == ["first", "second", *long, "three", "four", "five", "six", long[0], "after"]
+    assert all(text[s:e] == t for t, s, e in terms)
+    many = " ".join(f"w{chr(97 + i)}" for i in range(20)) + " x@y.example"
+    (_, terms), = pii.surroundings(many, pii.base_spans(many))
+    assert [t for t, _, _ in terms] == []  # all are shorter than a term
+    assert pii.words_before(many, many.index("x@")) == [(f"w{chr(97 + i)}", many.index(f"w{chr(97 + i)}")) for i in range(12, 20)]
+
+
+def test_a_term_that_stands_only_glued_to_its_entity_is_found(spark):
+    draw = __import__("random").Random(5)
+    fill = [f"common{chr(97 + i)}" for i in range(20)]
+    words = lambda n: " ".join(draw.choice(fill) for _ in range(n))
+    texts = [f"{words(8)} Zorblatt<zo@x.example> {words(8)}" for _ in range(4)] + [words(60) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: {r["text"][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "term"} for r in pii.find(docs).collect()}
+    assert all(found[i] == {"Zorblatt"} for i in range(4)) and not any(found[i] for i in range(4, 64))
+    assert pii.without_entities("acct:a@b.cc,x") == "acct: ,x" and pii.without_entities(None) == ""
