@@ -13,7 +13,7 @@ each task are added up by Spark; the driver holds the centroids, ``clusters * di
 
 Defined results: vectors take part that have ``dims`` components, none null or non-finite. Rows without an id are assigned but
 never a start. Repeated rows are as many vectors. With fewer vectors than clusters each is a start; with none the result is
-empty. Distances and sums must fit a long (components within +-2**24 do, for 2**32 vectors). Other columns play no part.
+empty. Distances and sums must fit a long: components within +-2**10 do for 2**35 vectors. Other columns play no part.
 """
 
 from __future__ import annotations
