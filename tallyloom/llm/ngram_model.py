@@ -2,8 +2,8 @@
 
 Words and word pairs are hashed into ``2**BITS`` buckets. The counts are sums over every document, so they grow with the
 corpus, while the model is one array of fixed size: 2**16 whole numbers, log ratios in thousandths. Whole numbers make the sum
-over a document exact in any order. Trusted documents are labelled rows; at most ``TRUSTED_ROWS`` of them are used, those with
-the smallest hashed ids, which is the proven bound of the one broadcast here.
+over a document exact in any order. Trusted documents are labelled rows, all of them: their ids are broadcast within the bound of
+``lookup`` and joined shuffled beyond, and cuts are found by counting (``ranks``).
 """
 
 from __future__ import annotations
@@ -13,11 +13,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.ranks import quantile
 from tallyloom.llm.words import bigram_hashes, bucket, hashes_of, let, words_of
+from tallyloom.operators.joins import MAX_BROADCAST_BYTES, lookup
+from tallyloom.session import settle
 
 BITS = 16
 UNIT = 1000
-TRUSTED_ROWS = 20_000
 SMOOTHING = 1.0
 #: The toxic ratios: n-grams of prior, the log ratio from which a bucket counts, n-grams added to a document's length.
 PRIOR, TELLING, LEAST_GRAMS = 5.0, 1.5, 100
@@ -25,23 +27,22 @@ PRIOR, TELLING, LEAST_GRAMS = 5.0, 1.5, 100
 CLEAN_LOSS = 0.005
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids labelled good and never labelled bad or toxic, at most ``rows`` of them, chosen by a hash of the id."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids labelled good and never labelled bad or toxic."""
     good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     ids = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.coalesce(good, F.lit(False))).alias("good"))
-    return ids.where("good").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return ids.where("good").select("doc_id")
 
 
-def toxic_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids labelled toxic, at most ``rows`` of them, chosen by a hash of the id."""
-    ids = labels.where(F.col("doc_id").isNotNull() & (F.col("toxic") == 1)).select("doc_id").distinct()
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def toxic_ids(labels: DataFrame) -> DataFrame:
+    """Ids labelled toxic."""
+    return labels.where(F.col("doc_id").isNotNull() & (F.col("toxic") == 1)).select("doc_id").distinct()
 
 
-def mark_trusted(docs: DataFrame, trusted: DataFrame, name: str) -> DataFrame:
+def mark_trusted(docs: DataFrame, trusted: DataFrame, name: str, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``docs`` with the boolean ``name``: whether the document is among the trusted ones."""
-    known = F.broadcast(trusted.select(F.col("doc_id").alias("__id"), F.lit(True).alias(name)))
-    return docs.join(known, F.col("doc_id") == F.col("__id"), "left").drop("__id").withColumn(name, F.coalesce(name, F.lit(False)))
+    known = trusted.select(F.col("doc_id").try_cast(docs.schema["doc_id"].dataType), F.lit(True).alias(name))
+    return lookup(docs, known, "doc_id", max_bytes=max_bytes).withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, bits: int = BITS) -> DataFrame:
@@ -93,7 +94,7 @@ def fit_toxic(docs: DataFrame, labels: DataFrame, bits: int = BITS, loss: float
         ratios[b] = round(UNIT * ratio) if ratio > TELLING else 0
     held_out = mark_trusted(docs.select("doc_id", "text"), trusted.where(half == 1), "__held").where("__held")
     scores = held_out.select(let(let(words_of(F.col("text")), hashes_of), lambda h: let(bigram_hashes(h), lambda g: toxicity(h, g, ratios))).alias("x"))
-    cut = scores.agg(F.percentile("x", F.lit(1 - loss))).first()[0]
+    cut = quantile(settle(scores), "x", 1 - loss)
     return None if cut is None else (ratios, cut)
 
 

@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm import ngram_model as model
+from tallyloom.llm.ranks import quantile
 from tallyloom.llm.words import bigram_hashes, carried, hashes_of, let, set_aside, words_of
+from tallyloom.session import settle
 
 SEED = 20
 HORIZON = 100
@@ -82,8 +84,7 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, keep: flo
         half = F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(2))
         ratios = model.fit(docs, trusted.where(half == 0))
         held_out = model.mark_trusted(docs.select("doc_id", "text"), trusted.where(half == 1), "__held").where("__held")
-        # At most TRUSTED_ROWS labelled ids.
-        least = weigh(held_out, ratios, seed).agg(F.percentile("sample_key", F.lit(1 - keep))).first()[0]
+        least = quantile(settle(weigh(held_out, ratios, seed).select("sample_key")), "sample_key", 1 - keep)
     chosen = F.lit(True) if least is None else F.col("sample_key") >= F.lit(least)
     return weigh(docs, ratios, seed).withColumn("selected", chosen)
 

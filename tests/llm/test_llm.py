@@ -19,7 +19,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
 from tallyloom.llm import (  # noqa: E402
-    bpe_codec, exact_topk, license_scan, ngram_join, offsets, packing, pii, quality_classifier, quality_rules, sharding, token_counts,
+    bpe_codec, exact_topk, license_scan, ngram_join, ngram_model, offsets, packing, pii, quality_classifier, quality_rules, ranks, sharding,
+    token_counts,
 )
 from tallyloom.llm.lexicon import Lexicon, compile_words  # noqa: E402
 from tallyloom.llm.queries import QUERIES, VOCABULARY  # noqa: E402
@@ -113,6 +114,28 @@ def test_sample_has_k_rows_of_the_largest_keys(docs, clashing, no_docs, labels,
     assert quality_classifier.resample(docs, labels.limit(0)).where("selected").count() == docs.count()
 
 
+def test_every_label_counts(spark, labels):
+    many = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") % 2).cast("int").alias("toxic"))
+    assert ngram_model.trusted_ids(many).count() == ngram_model.toxic_ids(many).count() == 10_250
+    clean = many.withColumn("toxic", F.lit(0))
+    assert ngram_model.trusted_ids(clean).count() == 20_500 and ngram_model.toxic_ids(clean.withColumn("toxic", F.lit(1))).count() == 20_500
+    docs = clean.select("doc_id", F.lit("a b").alias("text"))
+    assert {(r["raw"], r["target"]) for r in ngram_model.bucket_counts(docs, ngram_model.trusted_ids(clean)).collect()} == {(20_500, 20_500)}
+    for ids in ("bigint", "int"):  # joined shuffled
+        given = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (3, "x"), (9, "x"), (None, "x")], f"doc_id {ids}, text string")
+        marked = ngram_model.mark_trusted(given, ngram_model.trusted_ids(labels), "known", max_bytes=0).collect()
+        assert len(marked) == 6 and sorted((r["doc_id"], r["text"]) for r in marked if r["known"]) == [(1, "x"), (1, "y"), (3, "x")]
+
+
+def test_quantiles_are_those_of_percentile(spark):
+    draw = random.Random(9)
+    for values in ([0.25], [1.0, 2.0], [3.0] * 50, [-1e-300, 0.0, 5e-324, 1e300, -1e300], [draw.gauss(0, 1) for _ in range(9000)] + [0.5] * 9000):
+        given = spark.createDataFrame([(v,) for v in values], "x double")
+        for share in (0.0, 0.005, 0.5, 0.995, 1.0):
+            assert ranks.quantile(given, "x", share) == given.agg(F.percentile("x", F.lit(share))).first()[0]
+    assert ranks.quantile(given.limit(0), "x", 0.5) is None
+
+
 # -- encoding and packing --------------------------------------------------------------------------------------------------
 
 def test_lexicon_is_exact_and_minimal():
