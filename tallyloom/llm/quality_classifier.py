@@ -74,17 +74,21 @@ def kth_key(weighed: DataFrame, k: int) -> float | None:
     return low / 10**DIGITS
 
 
+def sample_size(keys: DataFrame, keep: float) -> int:
+    """How many keys reach the ``1 - keep`` quantile of those held out; all, if none is."""
+    cut = quantile(keys.where("__held"), "sample_key", 1 - keep)
+    return (keys if cut is None else keys.where(F.col("sample_key") >= F.lit(cut))).count()
+
+
 def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, keep: float = KEEP, seed: int = SEED) -> DataFrame:
     """``docs`` with ``RESULTS``; ``selected`` marks the sample."""
     trusted = model.trusted_ids(labels)
-    if k is not None:
-        ratios = model.fit(docs, trusted)
-        least = kth_key(weigh(docs, ratios, seed), k)
-    else:
-        half = F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(2))
-        ratios = model.fit(docs, trusted.where(half == 0))
-        held_out = model.mark_trusted(docs.select("doc_id", "text"), trusted.where(half == 1), "__held").where("__held")
-        least = quantile(settle(weigh(held_out, ratios, seed).select("sample_key")), "sample_key", 1 - keep)
+    half = F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(2))
+    ratios = model.fit(docs, trusted if k is not None else trusted.where(half == 0))
+    marked = model.mark_trusted(docs.select("doc_id", "text"), trusted.where(half == 1), "__held")
+    # One number and one mark for each document, which several passes read.
+    keys = settle(weigh(marked, ratios, seed).select("sample_key", "__held"))
+    least = kth_key(keys, sample_size(keys, keep) if k is None else k)
     chosen = F.lit(True) if least is None else F.col("sample_key") >= F.lit(least)
     return weigh(docs, ratios, seed).withColumn("selected", chosen)
 

@@ -114,6 +114,20 @@ def test_sample_has_k_rows_of_the_largest_keys(docs, clashing, no_docs, labels,
     assert quality_classifier.resample(docs, labels.limit(0)).where("selected").count() == docs.count()
 
 
+def test_the_query_draws_the_k_largest_keys(spark, monkeypatch):
+    drawn, kth_key = [], quality_classifier.kth_key
+    monkeypatch.setattr(quality_classifier, "kth_key", lambda keys, k: drawn.append((k, kth_key(keys, k))) or drawn[-1][1])
+    out = QUERIES["op10_quality_classifier"](spark, SF).collect()
+    (k, least), = drawn
+    keys = sorted((r["sample_key"] for r in out), reverse=True)
+    assert 0 < k < len(keys) and keys[k - 1] == least
+    assert sum(r["selected"] for r in out) == k and all(r["selected"] == (r["sample_key"] >= least) for r in out)
+    half = F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(2))
+    held = {r[0] for r in ngram_model.trusted_ids(spark.read.parquet(f"{SF}/labels.parquet")).where(half == 1).collect()}
+    cut = np.quantile([r["sample_key"] for r in out if r["doc_id"] in held], 1 - quality_classifier.KEEP)
+    assert held and k == sum(x >= cut for x in keys)
+
+
 def test_every_label_counts(spark, labels):
     many = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") % 2).cast("int").alias("toxic"))
     assert ngram_model.trusted_ids(many).count() == ngram_model.toxic_ids(many).count() == 10_250
