@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.operators.aggregate import positions
-from tallyloom.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup, skew_join
+from tallyloom.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup
 from tallyloom.session import settle
 
 DAY = 86_400_000_000
@@ -98,20 +99,27 @@ def assign_latest(
 ) -> DataFrame:
     """Add to each fact the ``carry`` columns of the last interval its instant falls in, null without any: one row per fact.
 
-    Facts and segments meet on stretches of ``width`` microseconds. A segment is listed once for each stretch it touches; one
-    without a start or end once, at the first or last cut, and facts beyond the cuts look there.
+    Starts of segments and facts are sorted together, dealt into ranges of near equal size: a fact meets the segment that began last, in
+    its own range or in one before it. So the work is a sort, however many facts and segments share a day or an instant. ``width``
+    is left for callers; nothing depends on it.
     """
     segments = settle(winning_segments(intervals, order, start, end, carry, closed, max_bytes))
-    stretch = lambda at: F.floor(F.unix_micros(at.cast("timestamp")) / F.lit(width)).cast("bigint")
-    last_moment = F.col("end") - F.expr("INTERVAL '0.000001' SECOND")
-    first, last = F.coalesce(stretch(F.col("start")), stretch(last_moment)), F.coalesce(stretch(last_moment), stretch(F.col("start")))
-    never = F.lit(0).cast("bigint")
-    listed = segments.withColumn("_stretch", F.explode(F.sequence(F.coalesce(first, never), F.coalesce(last, never))))
-    listed = listed.select("_stretch", F.col("start").alias("_from"), F.col("end").alias("_to"), *[F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)])
-    ends = segments.agg(F.coalesce(F.min(first), never).alias("a"), F.coalesce(F.max(last), never).alias("b"))
-    lowest, highest = ends.select("a").scalar(), ends.select("b").scalar()
-    keyed = facts.withColumn("_at_stretch", F.greatest(F.least(stretch(F.col(time)), highest), lowest))
-    at = F.col(time)
-    holds = (F.col("_from").isNull() | (at >= F.col("_from"))) & (F.col("_to").isNull() | (at < F.col("_to")))
-    matched = lookup(keyed, listed, (F.col("_at_stretch") == F.col("_stretch")) & at.isNotNull() & holds, "left", max_bytes)
-    return matched.select(*facts.columns, *[F.col(f"_carry_{i}").alias(c) for i, c in enumerate(carry)])
+    segment = F.struct(F.col("start").alias("from"), F.col("end").alias("to"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
+    fact = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(facts.columns)])
+    plain = [f.name for f in facts.schema if isinstance(f.dataType, T.AtomicType)]
+    begun = segments.select(F.col("start").alias("_at"), F.lit(0).alias("_turn"), F.lit(0).cast("bigint").alias("_spread"), segment.alias("_segment"))
+    asked = facts.select(F.col(time).alias("_at"), F.lit(1).alias("_turn"), F.xxhash64(F.lit(0), *plain).alias("_spread"), fact.alias("_fact"))
+    # Equal instants may fill several ranges; nulls, of an open start too, come first.
+    ranged = begun.unionByName(asked, allowMissingColumns=True).repartitionByRange("_at", "_turn", "_spread")
+    ranged = settle(ranged.withColumn("_range", F.spark_partition_id()))
+    latest = ranged.groupBy("_range").agg(F.max("_segment").alias("_latest"))  # one row per range
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = latest.select("_range", F.max("_latest").over(before).alias("_earlier"))
+    within = Window.partitionBy("_range").orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = ranged.withColumn("_own", F.last("_segment", ignorenulls=True).over(within)).where("_turn = 1")
+    met = met.join(F.broadcast(earlier), "_range").withColumn("_met", F.coalesce("_own", "_earlier"))
+    at, until = F.col("_at"), F.col("_met.to")
+    holds = at.isNotNull() & (until.isNull() | (at < until))
+    return met.select(
+        *[F.col(f"_fact.c{i}").alias(c) for i, c in enumerate(facts.columns)],
+        *[F.when(holds, F.col(f"_met.c{i}")).alias(c) for i, c in enumerate(carry)])

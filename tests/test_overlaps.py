@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from frames import rows
@@ -86,3 +87,13 @@ def test_no_product_of_facts_and_intervals(spark):
     got = assign_latest(facts(spark, [D(1)] * 20), listed, "t", ["ordinal"], max_bytes=0)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("closed", [True, False])
+def test_dense_instants_are_sorted_and_never_compared_with_all_segments_of_a_day(spark, conf, closed):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="13")
+    listed = [(n, D(1, 1) + dt.timedelta(seconds=n % 40), D(1, 1) + dt.timedelta(seconds=n % 40 + n % 7), f"i{n}") for n in range(200)]
+    times = [D(1, 1) + dt.timedelta(seconds=n % 60 - 5) for n in range(900)] + [D(1, 1) + dt.timedelta(seconds=20)] * 900 + [None] * 300
+    got = assign_latest(facts(spark, times).repartition(5), spark.createDataFrame(listed, LISTED), "t", ["ordinal"], closed=closed, max_bytes=0)
+    assert [r.label for r in got.orderBy("id").collect()] == last_of_list(times, listed, closed)
+    assert not re.search(r"Join.*(>=|<)", got._jdf.queryExecution().executedPlan().toString())
