@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,9 +98,19 @@ def credits_of_text(text: Column | str) -> Column:
     Between the credits there may be commas, white space or both. Empty or unreadable text is an empty array, null stays null.
     """
     text = F.col(text) if isinstance(text, str) else text
-    listed = F.regexp_replace(text, r"\}[\s,]*\{", "},{")
-    # Outside quotes only: a word right after the colon, which no quote begins.
-    listed = F.regexp_replace(F.regexp_replace(listed, r":\s*(?:None|nan)\s*(?=[,}])", ": null"), r"^\s*(?=\{)", "[")
-    listed = F.when(listed.rlike(r"\]\s*$"), listed).otherwise(F.concat(listed, F.lit("]")))
-    parsed = F.from_json(listed, CREDITS, {"allowSingleQuotes": "true"})
-    return F.when(text.isNotNull(), F.coalesce(F.filter(parsed, lambda c: c.isNotNull()), F.array().cast(CREDITS)))
+
+    def once(value: Column, body: Callable[[Column], Column]) -> Column:
+        # As an element of an array the value is worked out once, wherever the body uses it.
+        return F.transform(F.array(value), body)[0]
+
+    def listed(text: Column) -> Column:
+        found = F.regexp_replace(text, r"\}[\s,]*\{", "},{")
+        # Outside quotes only: a word right after the colon, which no quote begins.
+        return F.regexp_replace(F.regexp_replace(found, r":\s*(?:None|nan)\s*(?=[,}])", ": null"), r"^\s*(?=\{)", "[")
+
+    def parsed(found: Column) -> Column:
+        closed = F.when(found.rlike(r"\]\s*$"), found).otherwise(F.concat(found, F.lit("]")))
+        credits = F.from_json(closed, CREDITS, {"allowSingleQuotes": "true"})
+        return F.coalesce(F.filter(credits, lambda c: c.isNotNull()), F.array().cast(CREDITS))
+
+    return once(text, lambda t: F.when(t.isNotNull(), once(listed(t), parsed)))

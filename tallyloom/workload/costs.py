@@ -101,16 +101,19 @@ def _three_credits() -> Column:
     return F.slice(three, 1, number % 4)
 
 
-def _sum_credits(spark: SparkSession, sf: str, credits: Column) -> DataFrame:
+def _sum_credits(lines: DataFrame, credits: Column) -> DataFrame:
     named = lambda *names: F.struct(*[F.lit("x").alias(n) for n in names])
-    lines = read(spark, sf, "lineitem").select(
+    lines = lines.select(
         named("id", "description").alias("service"), named("id", "description").alias("sku"),
         F.struct(F.col("l_returnflag").alias("id")).alias("project"), F.struct((F.col("l_linenumber") % 4).alias("amount"), F.lit("u").alias("unit")).alias("usage"),
         credits.alias("credits"), F.lit(0.0).alias("cost"), F.lit("regular").alias("cost_type"),
         F.col("l_shipdate").alias("usage_start_time"))
     flat = billing.flatten_billing(lines)
-    like, exact = (billing.split_credits(flat, p) for p in ("like", "exact"))
-    same = like.unionByName(exact)
+    # Both policies on the same row, so that the lines are read, and their credits parsed, once.
+    for policy in ("like", "exact"):
+        split = F.struct("credits_discounts", "credits_promotion").alias(policy)
+        flat = billing.split_credits(flat, policy).select("*", split).drop("credits_discounts", "credits_promotion")
+    same = flat.select("id_project", "usage_amount", F.inline(F.array("like", "exact")))
     return same.groupBy("id_project", "usage_amount").agg(
         (F.sum("credits_discounts") / 2).alias("discounts"), (F.sum("credits_promotion") / 2).alias("promotions"))
 
@@ -118,7 +121,7 @@ def _sum_credits(spark: SparkSession, sf: str, credits: Column) -> DataFrame:
 @query(ANY_CREDITS)
 def split_credits_any_number(spark: SparkSession, sf: str) -> DataFrame:
     """Lines of none to three credits; all policies that tell discounts from promotions agree on them."""
-    return _sum_credits(spark, sf, _three_credits())
+    return _sum_credits(read(spark, sf, "lineitem"), _three_credits())
 
 
 @query(ANY_CREDITS)
@@ -128,7 +131,9 @@ def split_credits_text(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("{'name': 'it is', 'amount': "), c["amount"].cast("string"), F.lit(", 'full_name': None, 'id': '', 'type': '"), c["type"], F.lit("'}")))
     between = F.when(F.col("l_linestatus") == "F", F.lit("\n ")).otherwise(F.lit(", "))
     text = F.concat(F.lit("["), F.aggregate(printed, F.lit(""), lambda a, p: F.when(a == "", p).otherwise(F.concat(a, between, p))), F.lit("]"))
-    return _sum_credits(spark, sf, credits_of_text(text))
+    # Parsing costs far more than moving the few columns it needs, and a file may hold all rows in one group, which is one task's.
+    lines = read(spark, sf, "lineitem").select("l_returnflag", "l_linenumber", "l_linestatus", "l_partkey", "l_shipdate").hint("rebalance")
+    return _sum_credits(lines, credits_of_text(text))
 
 
 def _credits(spark: SparkSession, sf: str, policy: str) -> DataFrame:

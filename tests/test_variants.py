@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.sources import credits_of_text, read_variants, shred, shred_all, variant_path, variant_schema
+from tallyloom.workload import QUERIES
 
 
 @pytest.fixture
@@ -54,3 +55,8 @@ def test_credits_that_arrive_as_text(spark):
     got = {r["i"]: None if r["c"] is None else [tuple(c) for c in r["c"]] for r in frame.select("i", credits_of_text("t").alias("c")).collect()}
     first, second = ("x", -1.5, "f", "", "PROMOTION"), ("it's, {odd}: None", None, "a}b", "i", "D")
     assert got == {0: [first], 1: [first, second], 2: [first, second], 3: [first], 4: [], 5: [], 6: [], 7: None, 8: [("x", 2.0, None, None, "T")]}
+
+
+def test_printed_credits_are_parsed_once_a_line_and_spread_over_tasks(spark):
+    plan = QUERIES["split_credits_text"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(part) for part in ("from_json(", "RLIKE(", "Relation [", "RebalancePartitions")] == [1, 1, 1, 1], plan
