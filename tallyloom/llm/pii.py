@@ -208,6 +208,11 @@ def disclosing_terms(docs: DataFrame, disclosed: float = DISCLOSED, prior: float
 
 def find(docs: DataFrame, disclosed: float = DISCLOSED) -> DataFrame:
     """``docs`` with ``spans``, an array of (kind, start, end): those of the patterns by kind and start, then the terms."""
+    return _passes(docs, disclosed, clean=False)
+
+
+def _passes(docs: DataFrame, disclosed: float, clean: bool) -> DataFrame:
+    """``docs`` with ``spans``; ``clean``: with labels in ``text`` in place of them, and ``spans`` only if there were several passes."""
     pairs = settle(disclosing_terms(docs, disclosed).select("entity", "term"))
     passes = max(1, -(-pairs.count() // PAIRS_PER_PASS))
     out = docs
@@ -216,11 +221,13 @@ def find(docs: DataFrame, disclosed: float = DISCLOSED) -> DataFrame:
         part: dict[str, set[str]] = {}
         for r in pairs.where(F.pmod(F.xxhash64("entity", "term"), F.lit(passes)) == k).toLocalIterator():
             part.setdefault(r["entity"], set()).add(r["term"])
-        out = _mark(out, docs.sparkSession.sparkContext.broadcast(part), first=k == 0)
+        out = _mark(out, docs.sparkSession.sparkContext.broadcast(part), first=k == 0, clean=clean and k == passes - 1)
     return out
 
 
-def _mark(docs: DataFrame, shared, first: bool) -> DataFrame:
+def _mark(docs: DataFrame, shared, first: bool, clean: bool) -> DataFrame:
+    """One pass; ``clean``: its spans are replaced at once, since every mapInArrow of a task takes a Python worker of its own."""
+
     def run(batches):
         disclosing = shared.value
         for batch, texts in column_batches(batches, "text"):
@@ -233,10 +240,11 @@ def _mark(docs: DataFrame, shared, first: bool) -> DataFrame:
                     for entity, near in surroundings(text, spans):
                         known = disclosing.get(entity, ())
                         terms.update(("term", s, e) for t, s, e in near if t in known)
-                out.append([{"kind": k, "start": s, "end": e} for k, s, e in spans + sorted(terms)])
-            yield with_columns(batch, spans=pa.array(out, ARROW_SPANS))
+                found = [{"kind": k, "start": s, "end": e} for k, s, e in spans + sorted(terms)]
+                out.append(replaced(text, found) if clean else found)
+            yield with_columns(batch, text=pa.array(out, pa.string())) if clean else with_columns(batch, spans=pa.array(out, ARROW_SPANS))
 
-    return docs.mapInArrow(run, extended(docs, T.StructField("spans", SPANS)))
+    return docs.mapInArrow(run, extended(docs, T.StructField("text", T.StringType()) if clean else T.StructField("spans", SPANS)))
 
 
 def replaced(text: str | None, spans: list[dict]) -> str | None:
@@ -256,14 +264,7 @@ def replaced(text: str | None, spans: list[dict]) -> str | None:
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with the personal data in ``text`` replaced by labels such as <EMAIL>; ``n_chars``, if there, is counted again."""
     ours = docs.withColumnRenamed("spans", "__own_spans")
-    found = find(ours)
-
-    def run(batches):
-        for batch, texts in column_batches(batches, "text"):
-            clean = [replaced(t, s) for t, s in zip(texts, batch.column("spans").to_pylist())]
-            yield with_columns(batch, text=pa.array(clean, pa.string()))
-
-    clean = found.mapInArrow(run, extended(found, T.StructField("text", T.StringType()))).drop("spans").withColumnRenamed("__own_spans", "spans")
+    clean = _passes(ours, DISCLOSED, clean=True).drop("spans").withColumnRenamed("__own_spans", "spans")
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         clean = clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast(kind)))

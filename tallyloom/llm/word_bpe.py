@@ -260,17 +260,20 @@ class Encoder:
                 gc.enable()
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
-        parts = [
-            [(special, [] if special is not None else self.bpe.chunks(part)) for special, part in self.bpe.segments(text or "")]
-            for text in texts
-        ]
-        self._learn(set().union(*(chunks for text in parts for _, chunks in text)))
+        # Every text is split twice: to keep the chunks of all of them would take ten times the memory of the texts.
+        unseen: set[str] = set()
+        for text in texts:
+            for special, part in self.bpe.segments(text or ""):
+                if special is None:
+                    unseen.update(self.bpe.chunks(part))
+        self._learn(unseen)
         get = self.known.__getitem__
         return [
             b"".join([
-                special.to_bytes(4, "little") if special is not None else b"".join(map(get, chunks)) for special, chunks in text
+                special.to_bytes(4, "little") if special is not None else b"".join(map(get, self.bpe.chunks(part)))
+                for special, part in self.bpe.segments(text or "")
             ])
-            for text in parts
+            for text in texts
         ]
 
     def decode(self, ids: bytes) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tallyloom.llm import (
     bpe_codec, license_scan, ngram_join, packing, pii, quality_classifier, quality_rules, resampling, sharding, simhash, token_counts,
 )
 from tallyloom.llm.queries import VOCABULARY
+from tallyloom.llm.word_bpe import Encoder, loaded
 
 NAMES = ("Kept", "LLR", "N_Words", "IDS", "Decoded", "Spans", "SIZE", "Shard", "Slot", "Selected", "Sample_Key", "N_GRAMS", "License", "Score", "Rank", "FP")
 
@@ -110,3 +113,25 @@ def test_a_term_that_stands_only_glued_to_its_entity_is_found(spark):
     found = {r["doc_id"]: {r["text"][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "term"} for r in pii.find(docs).collect()}
     assert all(found[i] == {"Zorblatt"} for i in range(4)) and not any(found[i] for i in range(4, 64))
     assert pii.without_entities("acct:a@b.cc,x") == "acct: ,x" and pii.without_entities(None) == ""
+
+
+def test_a_task_of_the_pipeline_has_one_python_worker(spark, docs, conf):
+    # Every mapInArrow of a task runs in a worker of its own, and each keeps the vocabulary once it has encoded.
+    conf(spark__sql__adaptive__enabled="false")
+    plan = pii.sanitise(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_encoding_holds_few_words_of_a_batch_at_a_time():
+    with open(VOCABULARY, "rb") as file:
+        encoder = Encoder(loaded(file.read()))
+    texts = [" ".join(f"word{(i * j) % 50}" for j in range(2000)) for i in range(1, 201)]
+    expected = [encoder.encode([t])[0] for t in texts]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        assert encoder.encode(texts) == expected
+        # The ids are four times 400,000 numbers; a list of all words would take 25 MB more.
+        assert tracemalloc.get_traced_memory()[1] - before < 3 * sum(map(len, expected))
+    finally:
+        tracemalloc.stop()
